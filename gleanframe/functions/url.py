@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +30,24 @@ def _part(url: Column, group: int) -> Column:
     return F.regexp_extract(url, _PARTS, group)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
+def url_parts(url: Column | str) -> Column:
+    """``struct<url, scheme, host, path, query, tail>``; tail is query and fragment as written."""
+    text = _col(url)
+    return F.struct(
+        text.alias("url"),
+        _part(text, 1).alias("scheme"),
+        _part(text, 3).alias("host"),
+        _part(text, 4).alias("path"),
+        _part(text, 5).alias("query"),
+        F.regexp_extract(text, r"[?#][\s\S]*$", 0).alias("tail"),
+    )
+
+
 def url_host(url: Column | str) -> Column:
     """The authority of the URL, letter case kept."""
     return _part(_col(url), 3)
@@ -62,67 +82,74 @@ def clean_query(query: Column) -> Column:
     return F.array_join(F.transform(wanted, lambda pair: F.concat(_encode(pair.k), F.lit("="), _encode(pair.v))), "&")
 
 
+def _rebuilt(parts: Column) -> Column:
+    scheme, host = F.lower(parts.scheme), F.lower(parts.host)
+    portless = F.coalesce(
+        *[F.when(scheme == name, F.regexp_replace(host, f":0*{port}$", "")) for name, port in DEFAULT_PORTS.items()],
+        host,
+    )
+    path = F.regexp_replace(parts.path, "/+$", "")
+    unreadable = F.contains(host, F.lit("[")) != F.contains(host, F.lit("]"))
+    spelled = F.concat(
+        F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
+        F.when(host != "", F.concat(F.lit("//"), portless)).otherwise(""),
+        F.coalesce(F.nullif(path, F.lit("")), F.lit("/")),
+    )
+    query = F.when(parts.query == "", "").otherwise(clean_query(parts.query))
+    # removes the mark again where no parameter was left
+    return F.when(~unreadable, F.regexp_replace(F.concat(spelled, F.lit("?"), query), r"\?$", ""))
+
+
 def canonical_url(url: Column | str) -> Column:
     """One spelling per address; a blank or unreadable URL comes back unchanged."""
     raw = _col(url)
     text = F.regexp_replace(strip_space(raw), r"[\t\r\n]", "")
-    scheme = F.lower(_part(text, 1))
-    host = F.lower(_part(text, 3))
-    for name, port in DEFAULT_PORTS.items():
-        host = F.when(scheme == name, F.regexp_replace(host, f":0*{port}$", "")).otherwise(host)
-    path = F.regexp_replace(_part(text, 4), "/+$", "")
-    path = F.when(path == "", "/").otherwise(path)
-    query = F.when(F.contains(text, F.lit("?")), clean_query(_part(text, 5))).otherwise("")
-    rebuilt = F.concat(
-        F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
-        F.when(host != "", F.concat(F.lit("//"), host)).otherwise(""),
-        path,
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
+    return _let(
+        url_parts(text), lambda parts: F.when(parts.url == "", raw).otherwise(F.coalesce(_rebuilt(parts), raw))
     )
-    unreadable = F.contains(host, F.lit("[")) != F.contains(host, F.lit("]"))
-    return F.when((text == "") | unreadable, raw).otherwise(F.coalesce(rebuilt, raw))
 
 
-def _without_dots(segments: Column) -> Column:
-    """Apply ``.`` and ``..`` segments of a split path and join it again."""
-    walked = F.aggregate(
-        segments,
-        F.array().cast("array<string>"),
-        lambda kept, segment: F.when(
-            segment == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))
+def canonical_urls(urls: Column) -> Column:
+    """``canonical_url`` of each element of an array."""
+    return F.transform(urls, canonical_url)
+
+
+def _without_dots(path: Column) -> Column:
+    """Apply ``.`` and ``..`` segments of a path."""
+
+    def walk(segments: Column) -> Column:
+        kept = F.aggregate(
+            segments,
+            F.array().cast("array<string>"),
+            lambda done, segment: F.when(
+                segment == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+            )
+            .when(segment == ".", done)
+            .otherwise(F.concat(done, F.array(segment))),
         )
-        .when(segment == ".", kept)
-        .otherwise(F.concat(kept, F.array(segment))),
-    )
-    ends_in_dots = F.element_at(segments, -1).isin(".", "..")
-    joined = F.array_join(F.when(ends_in_dots, F.concat(walked, F.array(F.lit("")))).otherwise(walked), "/")
-    return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
-
-
-def resolve_link(base: Column | str, href: Column | str) -> Column:
-    """Absolute form of ``href`` found on page ``base`` (RFC 3986 reference resolution)."""
-    base, href = _col(base), _col(href)
-    prefix = F.concat(_part(base, 1), F.lit(":"))
-    root = F.concat(prefix, F.lit("//"), _part(base, 3))
-    base_path = _part(base, 4)
-    own_path = _part(href, 4)
-    suffix = F.regexp_extract(href, r"[?#][\s\S]*$", 0)
-    has_dots = own_path.rlike(r"(^|/)\.\.?(/|$)")
-    rooted = F.when(has_dots, _without_dots(F.split(own_path, "/"))).otherwise(own_path)
-    folder = F.regexp_replace(base_path, "[^/]*$", "")
-    merged = F.concat(
-        F.when(folder == "", "/").otherwise(F.regexp_replace(folder, "/+", "/")),
-        F.regexp_replace(own_path, "/+", "/"),
-    )
-    relative = F.when(
-        has_dots | base_path.rlike(r"(^|/)\.\.?(/|$)"), _without_dots(F.split(merged, "/"))
-    ).otherwise(merged)
+        # a path that ends in dots names a folder
+        ending = F.when(F.element_at(segments, -1).isin(".", ".."), "/").otherwise("")
+        return F.regexp_replace(F.concat(F.lit("/"), F.array_join(kept, "/"), ending), "^//", "/")
+
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), _let(F.split(path, "/"), walk)).otherwise(path)
+
+
+def resolve_link(base: Column, href: Column) -> Column:
+    """Absolute form of ``href`` found on a page (RFC 3986 reference resolution).
+
+    ``base`` holds the page's ``url_parts``.
+    """
+    root = F.concat(base.scheme, F.lit("://"), base.host)
+    own_path = F.regexp_extract(href, "^[^?#]*", 0)
+    tail = F.regexp_extract(href, r"[?#][\s\S]*$", 0)
+    folder = F.regexp_replace(F.regexp_replace(base.path, "[^/]*$", ""), "/+", "/")
+    merged = F.concat(F.coalesce(F.nullif(folder, F.lit("")), F.lit("/")), F.regexp_replace(own_path, "/+", "/"))
     return (
-        F.when(F.coalesce(href, F.lit("")) == "", base)
+        F.when(F.coalesce(href, F.lit("")) == "", base.url)
+        .when(href.startswith("//"), F.concat(base.scheme, F.lit(":"), href))
+        .when(href.startswith("/"), F.concat(root, _without_dots(own_path), tail))
         .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
-        .when(href.startswith("//"), F.concat(prefix, href))
-        .when(href.startswith("/"), F.concat(root, rooted, suffix))
-        .when(href.startswith("?"), F.concat(root, base_path, href))
-        .when(href.startswith("#"), F.concat(F.regexp_replace(base, r"#[\s\S]*$", ""), href))
-        .otherwise(F.concat(root, relative, suffix))
+        .when(href.startswith("?"), F.concat(root, base.path, href))
+        .when(href.startswith("#"), F.concat(F.regexp_replace(base.url, r"#[\s\S]*$", ""), href))
+        .otherwise(F.concat(root, _without_dots(merged), tail))
     )

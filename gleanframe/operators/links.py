@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanframe.functions.url import canonical_url, resolve_link
+from gleanframe.functions.url import canonical_urls, resolve_link, url_parts
 from gleanframe.session import cut_lineage
 
 
-def page_link_array(page_url: Column | str, hrefs: Column | str) -> Column:
-    """Canonical links of one page, each once, in order of first appearance."""
-    base = F.col(page_url) if isinstance(page_url, str) else page_url
-    links = F.transform(hrefs, lambda href: canonical_url(resolve_link(base, href)))
-    return F.array_distinct(F.coalesce(links, F.array().cast("array<string>")))
+def page_link_array(base: Column, hrefs: Column | str) -> Column:
+    """Canonical links of one page, each once, in order of first appearance.
+
+    ``base`` holds the page's ``url_parts``.
+    """
+    resolved = F.transform(hrefs, lambda href: resolve_link(base, href))
+    return F.array_distinct(F.coalesce(canonical_urls(resolved), F.array().cast("array<string>")))
 
 
 def link_edges(pages: DataFrame, page_url: str = "url", hrefs: str = "hrefs", referer: bool = True) -> DataFrame:
     """``listing_url, detail_url, referer, position`` per link; no shuffle."""
-    exploded = pages.select(
-        F.col(page_url).alias("listing_url"),
-        F.posexplode(page_link_array(page_url, hrefs)).alias("position", "detail_url"),
+    based = pages.select(F.col(page_url).alias("listing_url"), url_parts(page_url).alias("base"), F.col(hrefs).alias("hrefs"))
+    exploded = based.select(
+        "listing_url", F.posexplode(page_link_array(F.col("base"), "hrefs")).alias("position", "detail_url")
     )
     source = F.col("listing_url") if referer else F.lit(None).cast("string")
     return exploded.select("listing_url", "detail_url", source.alias("referer"), "position")

@@ -49,7 +49,7 @@ FROM raw_price"""
 _HTML = """
 '<!DOCTYPE html><html><head><title>x</title>'
 || CASE WHEN pid IS NOT NULL AND p_partkey % 2 = 1 THEN '<meta name="crm-id" content=" ' || pid || ' ">' ELSE '' END
-|| '<script>if (a < b) { "<h1>" }</script></head><body>'
+|| '<script>if (a < b) say("<h1>")</script></head><body>'
 || CASE WHEN pid IS NOT NULL AND p_partkey % 2 = 0 THEN '<h6 class="font-semibold x text-black-custom font-barlow">ID: <span class="text-gold-shade-55">' || pid || '</span></h6>' ELSE '' END
 || '<h1 class="big">no</h1><h1 class="font-extrabold"> “' || p_name || '” <b> in ' || p_brand || '</b></h1>'
 || CASE WHEN raw IS NULL THEN '' ELSE '<h2 class="text-gold-shade-55 font-bold">' || raw || '</h2>' END
