@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,18 +33,18 @@ TRANSIENT_STATUS = (429, 500, 502, 503, 504)
 RATE_LIMIT_STATUS = (429, 503)
 
 
-def _any_of(fragments: tuple[str, ...]) -> str:
-    return "|".join(fragments)
+def _names_any(text: Column, fragments: tuple[str, ...]) -> Column:
+    return reduce(Column.__or__, [F.contains(text, F.lit(fragment)) for fragment in fragments])
 
 
 def is_retryable(error: Column | str) -> Column:
     """Does the error text name a transient failure; permanent wording wins."""
     low = F.lower(_col(error))
-    return ~low.rlike(_any_of(PERMANENT_FRAGMENTS)) & low.rlike(_any_of(TRANSIENT_FRAGMENTS))
+    return ~_names_any(low, PERMANENT_FRAGMENTS) & _names_any(low, TRANSIENT_FRAGMENTS)
 
 
 def is_browser_death(error: Column | str) -> Column:
-    return _col(error).rlike(_any_of(DEAD_BROWSER_PHRASES))
+    return _names_any(_col(error), DEAD_BROWSER_PHRASES)
 
 
 def should_retry_status(status: Column | str) -> Column:

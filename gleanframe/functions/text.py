@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode whitespace, symbol ranges removed as emoji, quote marks
+# Unicode whitespace (as a class and one by one), symbol ranges removed as emoji, quote marks
 # cut from both ends, promo labels that are no status, currency signs in order.
 SPACE_CLASS = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 EMOJI_CLASS = (
     r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F9FF}\x{2600}-\x{26FF}"
     r"\x{2700}-\x{27BF}\x{1FA00}-\x{1FA6F}\x{1FA70}-\x{1FAFF}\x{FE00}-\x{FEFF}]"
@@ -36,7 +37,7 @@ def blank_to_null(text: Column | str) -> Column:
 
 def strip_space(text: Column | str) -> Column:
     """Trim Unicode whitespace from both ends."""
-    return F.regexp_replace(_col(text), f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
+    return F.btrim(_col(text), F.lit(SPACES))
 
 
 def clean_text(text: Column | str) -> Column:

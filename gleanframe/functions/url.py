@@ -36,7 +36,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def url_parts(url: Column | str) -> Column:
-    """``struct<url, scheme, host, path, query, tail>``; tail is query and fragment as written."""
+    """``struct<url, scheme, host, path, query>``, as written."""
     text = _col(url)
     return F.struct(
         text.alias("url"),
@@ -44,7 +44,6 @@ def url_parts(url: Column | str) -> Column:
         _part(text, 3).alias("host"),
         _part(text, 4).alias("path"),
         _part(text, 5).alias("query"),
-        F.regexp_extract(text, r"[?#][\s\S]*$", 0).alias("tail"),
     )
 
 
@@ -97,16 +96,15 @@ def _rebuilt(parts: Column) -> Column:
     )
     query = F.when(parts.query == "", "").otherwise(clean_query(parts.query))
     # removes the mark again where no parameter was left
-    return F.when(~unreadable, F.regexp_replace(F.concat(spelled, F.lit("?"), query), r"\?$", ""))
+    return F.when(~unreadable & (parts.url != ""), F.regexp_replace(F.concat(spelled, F.lit("?"), query), r"\?$", ""))
 
 
 def canonical_url(url: Column | str) -> Column:
     """One spelling per address; a blank or unreadable URL comes back unchanged."""
     raw = _col(url)
-    text = F.regexp_replace(strip_space(raw), r"[\t\r\n]", "")
-    return _let(
-        url_parts(text), lambda parts: F.when(parts.url == "", raw).otherwise(F.coalesce(_rebuilt(parts), raw))
-    )
+    text = F.translate(strip_space(raw), "\t\r\n", "")
+    spelled = _let(text, lambda stripped: _let(url_parts(stripped), _rebuilt))
+    return F.coalesce(spelled, raw)
 
 
 def canonical_urls(urls: Column) -> Column:
