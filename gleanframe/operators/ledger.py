@@ -31,29 +31,23 @@ def ledger_changes(
     seen at the earliest opening row are those that came after it. The grouping
     is on the same key as the scan.
     """
-    failed = F.col("error").isNotNull()
-    lasting = failed & is_retryable("error")
     retry = F.col("phase") == "retry"
-    typed = log.select(
-        url,
-        *order,
-        "error",
-        (lasting & ~retry).alias("_opens"),
-        (lasting & retry).alias("_raises"),
-        # a success has no error text to look at
-        (retry & ~(failed & F.coalesce(lasting, F.lit(False)))).alias("_removes"),
-    ).filter("_opens or _raises or _removes")
-    scanned = OrderedRows.of(typed, [url], order, descending=True, max_group_rows=max_group_rows).running(
-        _removals=running_sum(F.col("_removes").cast("long")),
-        _raised=running_sum(F.col("_raises").cast("long")),
+    effect = F.when(is_retryable("error"), F.when(retry, "raise").otherwise("open")).when(retry, "remove")
+    acts = (
+        log.filter(F.col("error").isNotNull() | retry)  # a success in the crawl changes nothing
+        .select(url, *order, "error", effect.alias("_effect"))
+    )
+    scanned = OrderedRows.of(acts, [url], order, descending=True, max_group_rows=max_group_rows).running(
+        _removals=running_sum(F.when(F.col("_effect") == "remove", 1).otherwise(0)),
+        _raised=running_sum(F.when(F.col("_effect") == "raise", 1).otherwise(0)),
     )
     live = F.col("_removals") == 0
-    opening = live & F.coalesce("_opens", F.lit(False))
+    opening = live & (F.col("_effect") == "open")
     return scanned.df.groupBy(url).agg(
-        F.max("_removes").alias("removed"),
+        (F.max("_removals") > 0).alias("removed"),
         F.count_if(opening).alias("opened"),
         F.coalesce(F.max(F.when(opening, F.col("_raised"))), F.lit(0)).alias("raised"),
-        F.count_if(live & F.coalesce("_raises", F.lit(False))).alias("raised_all"),
+        F.count_if(live & (F.col("_effect") == "raise")).alias("raised_all"),
         F.max_by("error", F.when(opening, F.struct(*order))).alias("error"),
         F.max(F.when(opening, F.col(order[0]))).alias(order[0]),
     )

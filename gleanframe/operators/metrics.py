@@ -62,7 +62,8 @@ def crawl_report(log: DataFrame, seconds: Column) -> DataFrame:
         F.max("_s").alias("last"),
     )
     minutes = (F.max("last") - F.min("first")) / 60
-    n_failed, n_recovered = F.count_if("crawl_failures > 0"), F.count_if("crawl_failures > 0 and retry_ok > 0")
+    lost = F.col("crawl_failures") > 0
+    n_failed, n_recovered = F.count_if(lost), F.count_if(lost & (F.col("retry_ok") > 0))
     return per_url.agg(
         F.sum("ok").alias("scraped"),
         F.round(F.sum("ok") / F.nullif(minutes, F.lit(0)), 6).alias("per_minute"),

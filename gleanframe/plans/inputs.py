@@ -111,6 +111,12 @@ _MICROS = {
     "check": "epoch_us(ts)",
 }
 
+# what a retry of each logged URL gave, and the ids exported before it
+RETRY_RESULTS = """SELECT url, CASE WHEN n % 7 = 0 THEN NULL ELSE 'C-' || CAST(n % 50 AS STRING) END AS property_id,
+  CASE n % 5 WHEN 1 THEN 'Timeout 30000ms exceeded' WHEN 2 THEN 'HTTP 404 for ' || url END AS error
+FROM (SELECT DISTINCT url, CAST(regexp_extract(url, '([0-9]+)$', 1) AS BIGINT) AS n FROM request_log) AS u WHERE n % 11 <> 0"""
+RETRY_KNOWN = "SELECT 'C-' || CAST(n_nationkey AS STRING) AS property_id FROM nation WHERE n_nationkey % 2 = 0"
+
 # --- attempts of requests, from lineitem -------------------------------------------
 
 NOW = 1445410800.0  # 2015-10-21 07:00:00 UTC, the reference time of the headers
@@ -163,6 +169,8 @@ _DERIVED = {
     "known_ids": (KNOWN_IDS, ("orders",)),
     "runs": (RUNS, ("orders",)),
     "request_log": (REQUEST_LOG, ("events",)),
+    "retry_results": (RETRY_RESULTS, ("request_log",)),
+    "retry_known": (RETRY_KNOWN, ("nation",)),
     "attempts": (ATTEMPTS, ("lineitem",)),
     "raw_urls": (RAW_URLS, ("pages", "events")),
     "state": (STATE, ("customer",)),
