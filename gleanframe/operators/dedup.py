@@ -57,15 +57,19 @@ def duplicate_report(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
+def first_per_id(records: DataFrame, order: list[str], within: tuple[str, ...] = (), key: str = "property_id") -> DataFrame:
+    """First record of each id; records without id all stay."""
+    has_id = blank_to_null(key)
+    # a record without id is a group of its own
+    alone = F.when(has_id.isNull(), _order(order))
+    return _pick_row(records, [*[F.col(name) for name in within], has_id, alone], order, latest=False)
+
+
 def run_new_records(
     records: DataFrame, known: DataFrame, order: list[str], run: str = "run_id", key: str = "property_id"
 ) -> DataFrame:
     """Per run, the first record of each id that is not known; id-less records all stay."""
-    fresh = new_records(records, known, key)
-    has_id = blank_to_null(key)
-    # a record without id is a group of its own
-    alone = F.when(has_id.isNull(), _order(order))
-    return _pick_row(fresh, [F.col(run), has_id, alone], order, latest=False)
+    return first_per_id(new_records(records, known, key), order, (run,), key)
 
 
 def mark_known(

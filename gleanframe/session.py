@@ -18,6 +18,10 @@ def build_session(app_name: str = "gleanframe", **conf: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # split a skewed join side even when a later step then needs a shuffle
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # stateful streaming control keeps typed state
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
