@@ -39,16 +39,21 @@ EXPORT = T.StructType(
 )
 RAW_LISTING = T.StructType([T.StructField(name, _field_type(name)) for name in RAW_FIELDS])
 
-PAGES = T.StructType.fromDDL("page_id BIGINT, url STRING, html STRING")
-FAILURE_LEDGER = T.StructType.fromDDL("url STRING, error STRING, attempts INT, ts TIMESTAMP")
-STATE = T.StructType.fromDDL("key STRING, value_json STRING, updated_at TIMESTAMP")
-REQUEST_LOG = T.StructType.fromDDL(
-    "seq BIGINT, ts TIMESTAMP, host STRING, url STRING, phase STRING, status INT, "
-    "error STRING, duration_secs DOUBLE, worker_id INT"
-)
-METRICS = T.StructType.fromDDL(
-    "ts TIMESTAMP, kind STRING, name STRING, labels MAP<STRING,STRING>, value DOUBLE"
-)
-LOG_LINES = T.StructType.fromDDL(
-    "ts STRING, level STRING, logger STRING, msg STRING, file STRING, exc STRING"
-)
+def struct_of(**fields: T.DataType) -> T.StructType:
+    """Schema of nullable fields; needs no session, unlike DDL text."""
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+STRING, LONG, INT, DOUBLE, TIME, FLAG = (
+    T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.TimestampType(), T.BooleanType(),
+)
+
+PAGES = struct_of(page_id=LONG, url=STRING, html=STRING)
+FAILURE_LEDGER = struct_of(url=STRING, error=STRING, attempts=INT, ts=TIME)
+STATE = struct_of(key=STRING, value_json=STRING, updated_at=TIME)
+REQUEST_LOG = struct_of(
+    seq=LONG, ts=TIME, host=STRING, url=STRING, phase=STRING, status=INT,
+    error=STRING, duration_secs=DOUBLE, worker_id=INT,
+)
+METRICS = struct_of(ts=TIME, kind=STRING, name=STRING, labels=T.MapType(STRING, STRING), value=DOUBLE)
+LOG_LINES = struct_of(ts=STRING, level=STRING, logger=STRING, msg=STRING, file=STRING, exc=STRING)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from gleanframe.operators.dedup import new_records
 from gleanframe.operators.extract import export_rows
 from gleanframe.operators.upsert import upsert_merge
-from gleanframe.schemas import EXPORT, EXPORT_COLUMNS, FAILURE_LEDGER
+from gleanframe.schemas import EXPORT, EXPORT_COLUMNS, FAILURE_LEDGER, LONG, STRING, TIME, struct_of
 from gleanframe.sources.readers import _or_empty
 
 logger = logging.getLogger(__name__)
@@ -48,7 +48,7 @@ class SnapshotTable:
     the version before its own, so its effect is not applied twice.
     """
 
-    _LOG = T.StructType.fromDDL("version BIGINT, tag STRING")
+    _LOG = struct_of(version=LONG, tag=STRING)
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self._spark, self._path, self._schema = spark, path, schema
@@ -80,7 +80,7 @@ class SnapshotTable:
 class KnownIds:
     """Ids a sink has taken: one small part per batch, appended, never rewritten."""
 
-    _IDS = T.StructType.fromDDL("property_id STRING, batch STRING")
+    _IDS = struct_of(property_id=STRING, batch=STRING)
 
     def __init__(self, spark: SparkSession, path: str):
         self._spark, self._path = spark, path
@@ -104,7 +104,7 @@ class ListingTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, now: Column | None = None):
-        schema = T.StructType([*EXPORT.fields, T.StructField("scraped_at", T.TimestampType())])
+        schema = T.StructType([*EXPORT.fields, *struct_of(scraped_at=TIME).fields])
         self._table, self._now = SnapshotTable(spark, path, schema), now
 
     def read(self) -> DataFrame:

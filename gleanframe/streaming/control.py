@@ -11,16 +11,18 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from gleanframe.operators.requestlog import MULTIPLIER_MAX
 from gleanframe.operators.runs import EARLY_STOP_AFTER
+from gleanframe.schemas import DOUBLE, FLAG, LONG, STRING, struct_of
 
-STREAK_OUTPUT = T.StructType.fromDDL("crawl_id BIGINT, seq BIGINT, property_id STRING, is_known BOOLEAN, streak BIGINT")
-ADMISSION_OUTPUT = T.StructType.fromDDL(
-    "host BIGINT, seq BIGINT, t DOUBLE, outcome STRING, state STRING, admitted BOOLEAN, multiplier DOUBLE"
+STREAK_OUTPUT = struct_of(crawl_id=LONG, seq=LONG, property_id=STRING, is_known=FLAG, streak=LONG)
+STREAK_STATE = struct_of(streak=LONG, stopped=FLAG)
+ADMISSION_OUTPUT = struct_of(
+    host=LONG, seq=LONG, t=DOUBLE, outcome=STRING, state=STRING, admitted=FLAG, multiplier=DOUBLE
 )
+ADMISSION_STATE = struct_of(failures=LONG, last_fail=DOUBLE, multiplier=DOUBLE)
 
 
 def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -34,7 +36,7 @@ class EarlyStop(StatefulProcessor):
         self.threshold = threshold
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("streak", T.StructType.fromDDL("streak BIGINT, stopped BOOLEAN"))
+        self._state = handle.getValueState("streak", STREAK_STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         streak, stopped = self._state.get() if self._state.exists() else (0, False)
@@ -65,9 +67,7 @@ class Admission(StatefulProcessor):
         self.threshold, self.recovery_secs = threshold, recovery_secs
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState(
-            "breaker", T.StructType.fromDDL("failures BIGINT, last_fail DOUBLE, multiplier DOUBLE")
-        )
+        self._state = handle.getValueState("breaker", ADMISSION_STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         failures, last_fail, multiplier = self._state.get() if self._state.exists() else (0, 0.0, 1.0)
