@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gleanframe.functions.url import canonical_urls, resolve_link, url_parts
@@ -33,6 +33,12 @@ def pages_without_links(pages: DataFrame, page_url: str = "url", hrefs: str = "h
     return pages.filter(F.coalesce(F.size(hrefs), F.lit(0)) <= 0).select(F.col(page_url).alias("url"))
 
 
+def _cut_and_count(rows: DataFrame) -> tuple[DataFrame, int]:
+    counted = Observation()
+    cut = cut_lineage(rows.observe(counted, F.count(F.lit(1)).alias("n")))
+    return cut, counted.get["n"]
+
+
 def page_walk(starts: DataFrame, nexts: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Follow next links from each crawl's start page: ``crawl_id, page_no, url``.
 
@@ -42,31 +48,31 @@ def page_walk(starts: DataFrame, nexts: DataFrame, max_pages: int | None = None)
     after ``max_pages``, and at a page already visited.
     """
     fetched = nexts.select("url")
-    reached = cut_lineage(
+    reached, size = _cut_and_count(
         starts.join(fetched, "url", "left_semi").select("crawl_id", F.lit(1).cast("long").alias("page_no"), "url")
     )
-    links = nexts.filter("next_url is not null")
-    jumps = cut_lineage(
-        links.join(fetched.withColumnRenamed("url", "next_url"), "next_url", "left_semi").select(
-            "url", F.col("next_url").alias("target")
-        )
+    # links to pages that were fetched, each as a jump of one step
+    jumps = (
+        nexts.filter("next_url is not null")
+        .join(fetched.withColumnRenamed("url", "next_url"), "next_url", "left_semi")
+        .select("url", F.col("next_url").alias("target"))
     )
-    stride, size = 1, reached.count()
+    stride = 1
     while max_pages is None or stride < max_pages:
+        jumps = cut_lineage(jumps)
         ahead = reached.join(jumps, "url").select(
             "crawl_id", (F.col("page_no") + stride).alias("page_no"), F.col("target").alias("url")
         )
         if max_pages is not None:
             ahead = ahead.filter(F.col("page_no") <= max_pages)
-        reached = cut_lineage(
+        reached, grown = _cut_and_count(
             reached.unionByName(ahead).groupBy("crawl_id", "url").agg(F.min("page_no").alias("page_no"))
         )
-        grown = reached.count()
         if grown == size:
             break
         size, stride = grown, stride * 2
         onward = jumps.select(F.col("url").alias("target"), F.col("target").alias("beyond"))
-        jumps = cut_lineage(jumps.join(onward, "target").select("url", F.col("beyond").alias("target")))
+        jumps = jumps.join(onward, "target").select("url", F.col("beyond").alias("target"))
     return reached.select("crawl_id", "page_no", "url")
 
 

@@ -11,22 +11,24 @@ import re
 from dataclasses import dataclass, field
 from html import unescape
 
+# a comment, a declaration, an element with raw text, an end tag, or a start tag;
+# text is what lies between tokens
 _TOKEN = re.compile(
-    r"""<(?:(?P<comment>!--.*?(?:-->|\Z))
+    r"""<(?:!--(?P<comment>.*?)(?:-->|\Z)
       |[!?][^>]*+>
+      |(?P<raw>script|style|title|textarea)(?=[\s/>])(?P<raw_attrs>[^>]*+)>(?P<body>.*?)(?:</(?P=raw)[^>]*+>|\Z)
       |/(?P<end>[A-Za-z][^\s/>]*+)[^>]*+>
       |(?P<start>[A-Za-z][^\s/>]*+)
        (?P<attrs>(?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+|[^>]*+)>)""",
-    re.S | re.X,
+    re.S | re.X | re.I,
 )
 _ATTR = re.compile(r"""([^\s=/>"'][^\s=/>]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _COMPOUND = re.compile(r"([a-z0-9]*)((?:\.[^.\[]+)*)(?:\[([\w-]+)='([^']*)'\])?")
 
-# Fixed values of HTML: elements without content, elements whose content is raw
+# Fixed values of HTML: elements without content, elements whose text is no page
 # text, which start tags end an open element, and how strongly elements nest
 # (an end tag does not reach past an element of higher rank).
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = {tag: re.compile(f"</{tag}[^>]*>", re.I) for tag in ("script", "style", "title", "textarea")}
 _UNREAD = ("script", "style")
 _ENDED_BY = {
     "p": frozenset(
@@ -76,11 +78,13 @@ def _steps(selector: str) -> list[tuple]:
 
 
 class _Element:
+    """An open element: what it is, what to do when it closes, the grids it is."""
+
     __slots__ = ("tag", "attrs", "classes", "on_close", "grids")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.on_close, self.grids = tag, attrs, [], []
-        self.classes = attrs.get("class", "").split()
+        self.tag, self.attrs, self.on_close, self.grids = tag, attrs, [], ()
+        self.classes = attrs["class"].split() if "class" in attrs else ()
 
     def fits(self, step: tuple) -> bool:
         tag, classes, name, value = step
@@ -91,184 +95,196 @@ class _Element:
         )
 
 
+class _Card:
+    """A direct ``div`` of a grid: texts of its first paragraph and of a span in it."""
+
+    __slots__ = ("grid", "text", "value", "first", "in_p", "in_first")
+
+    def __init__(self, grid: str):
+        self.grid, self.text, self.value, self.first = grid, None, None, None
+        self.in_p = self.in_first = False
+
+    def note_first(self, piece: str, element: _Element | None = None) -> None:
+        """Keep what stands first in the paragraph: a text, or an element as markup."""
+        if self.in_first:
+            self.first.append(piece)
+        elif self.in_p and self.first is None:
+            self.first = [piece]
+            if element is not None:
+                self.in_first = True
+                element.on_close.append(lambda: setattr(self, "in_first", False))
+
+
 class PageReader:
     """Reads pages by one rule set; make one per task and call ``read`` per page."""
 
     def __init__(self, rules: PageRules):
-        self.rules = rules
-        self._picks = [(name, pick, _steps(pick.selector)) for name, pick in rules.picks.items()]
-        self._tags = {step[0] for _, _, steps in self._picks for step in steps} | ({"div"} if rules.grids else set())
+        self._rules = rules
+        picks = [(name, pick, _steps(pick.selector)) for name, pick in rules.picks.items()]
+        tags = {step[0] for _, _, steps in picks for step in steps}
+        self._any_tag = [entry for entry in picks if not entry[2][-1][0]]
+        self._by_tag = {tag: [entry for entry in picks if entry[2][-1][0] in ("", tag)] for tag in tags}
+        self._with_attrs = None if "" in tags else tags | ({"div"} if rules.grids else set())
 
     def read(self, html: str | None) -> dict:
-        found: dict = {name: None for name in self.rules.picks}
-        found.update({name: [] for name in self.rules.grids})
+        found: dict = {name: None for name in self._rules.picks}
+        found.update({name: [] for name in self._rules.grids})
         try:
-            self._walk(html or "", found)
+            _PageWalk(self, found).run(html or "")
         except Exception:  # one broken page must not fail the task
             pass
         return found
 
-    def _walk(self, html: str, found: dict) -> None:
-        stack: list[_Element] = []
-        texts: list[list[str]] = []  # captures that are open now
-        pending: list[str] = []
-        cards: list[dict] = []  # open cards
-        seen_grids: set[str] = set()
-
-        def flush() -> None:
-            if pending:
-                text = unescape("".join(pending))
-                pending.clear()
-                for parts in texts:
-                    parts.append(text.strip())
-                self._note_first(cards, text)
-
-        def close_to(depth: int) -> None:
-            while len(stack) > depth:
-                for done in reversed(stack.pop().on_close):
-                    done()
-
-        position, size = 0, len(html)
-        while position < size:
-            token = _TOKEN.search(html, position)
-            if token is None:
-                pending.append(html[position:])
-                break
-            if token.start() > position:
-                pending.append(html[position : token.start()])
+
+class _PageWalk:
+    """State of reading one page: open elements, open texts, open cards."""
+
+    def __init__(self, reader: PageReader, found: dict):
+        self.reader, self.found = reader, found
+        self.grids = dict(reader._rules.grids)
+        self.stack: list[_Element] = []
+        self.texts: list[list[str]] = []
+        self.cards: list[_Card] = []
+
+    def run(self, html: str) -> None:
+        position = 0
+        for token in _TOKEN.finditer(html):
+            start = token.start()
+            if start > position and self.texts:
+                self.take_text(unescape(html[position:start]))
             position = token.end()
-            flush()
-            if token["comment"] is not None:
-                self._note_first(cards, token["comment"][3:].removesuffix("-->"))
-            elif token["end"] is not None:
-                tag = token["end"].lower()
-                for card in cards:
-                    if card["in_first"]:
-                        card["first"].append(f"</{tag}>")
-                rank = _RANK.get(tag, 100)
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth].tag == tag:
-                        close_to(depth)
-                        break
-                    if _RANK.get(stack[depth].tag, 100) > rank:
-                        break
-            elif token["start"] is not None:
+            kind = token.lastgroup
+            if kind == "attrs":
+                attrs = token["attrs"]
                 tag = token["start"].lower()
-                while stack and tag in _ENDED_BY.get(stack[-1].tag, ()):
-                    close_to(len(stack) - 1)
-                attrs = self._attributes(token["attrs"]) if tag in self._tags or "" in self._tags else {}
-                element = _Element(tag, attrs)
-                parent = stack[-1] if stack else None
-                stack.append(element)
-                self._open_picks(element, stack, texts, found)
-                if self.rules.grids:
-                    self._open_card(element, parent, texts, cards, seen_grids, found)
-                    self._note_first(cards, token[0], element)
-                if tag in _RAW:
-                    end = _RAW[tag].search(html, position)
-                    raw_end = end.start() if end else size
-                    if tag not in _UNREAD:
-                        pending.append(html[position:raw_end])
-                        flush()
-                    position = end.end() if end else size
-                    close_to(len(stack) - 1)
-                elif tag in _VOID or token["attrs"].endswith("/"):
-                    close_to(len(stack) - 1)
-        flush()
-        close_to(0)
-
-    @staticmethod
-    def _attributes(text: str) -> dict[str, str]:
+                self.open(tag, attrs, token)
+                if tag in _VOID or attrs.endswith("/"):
+                    self.close_to(len(self.stack) - 1)
+            elif kind == "end":
+                self.end(token["end"].lower())
+            elif kind == "body":
+                tag = token["raw"].lower()
+                self.open(tag, token["raw_attrs"], token)
+                if tag not in _UNREAD and self.texts:
+                    self.take_text(unescape(token["body"]))
+                self.close_to(len(self.stack) - 1)
+            elif kind == "comment":
+                for card in self.cards:
+                    card.note_first(token["comment"])
+        if position < len(html) and self.texts:
+            self.take_text(unescape(html[position:]))
+        self.close_to(0)
+
+    def take_text(self, text: str) -> None:
+        stripped = text.strip()
+        for parts in self.texts:
+            parts.append(stripped)
+        for card in self.cards:
+            card.note_first(text)
+
+    def close_to(self, depth: int) -> None:
+        stack = self.stack
+        while len(stack) > depth:
+            for done in reversed(stack.pop().on_close):
+                done()
+
+    def end(self, tag: str) -> None:
+        for card in self.cards:
+            if card.in_first:
+                card.first.append(f"</{tag}>")
+        rank = _RANK.get(tag, 100)
+        for depth in range(len(self.stack) - 1, -1, -1):
+            open_tag = self.stack[depth].tag
+            if open_tag == tag:
+                self.close_to(depth)
+                return
+            if _RANK.get(open_tag, 100) > rank:
+                return
+
+    def open(self, tag: str, attr_text: str, token: re.Match) -> None:
+        stack, reader = self.stack, self.reader
+        while stack and tag in _ENDED_BY.get(stack[-1].tag, ()):
+            self.close_to(len(stack) - 1)
         attrs: dict[str, str] = {}
-        for name, double, single, bare in _ATTR.findall(text):
-            attrs.setdefault(name.lower(), unescape(double or single or bare))
-        return attrs
-
-    def _open_picks(self, element: _Element, stack: list[_Element], texts: list, found: dict) -> None:
-        for name, pick, steps in self._picks:
-            if found[name] is not None and not pick.many:
-                continue
-            if not element.fits(steps[-1]) or not self._inside(steps[:-1], stack[:-1]):
-                continue
-            if pick.attr is not None:
-                value = element.attrs.get(pick.attr)
-                if not pick.many:
-                    found[name] = (value or "").strip()
-                elif value:
-                    found[name] = [*(found[name] or []), value]
-                continue
-            parts = self._listen(element, texts)
-            if pick.many:
-                found[name] = found[name] or []
-                slot = len(found[name])
-                found[name].append("")
-                element.on_close.append(lambda o=found[name], k=slot, p=parts: o.__setitem__(k, "".join(p)))
-            else:
-                found[name] = ""
-                element.on_close.append(lambda o=found, k=name, p=parts: o.__setitem__(k, "".join(p)))
-
-    @staticmethod
-    def _listen(element: _Element, texts: list) -> list[str]:
+        if attr_text and (reader._with_attrs is None or tag in reader._with_attrs):
+            for name, double, single, bare in _ATTR.findall(attr_text):
+                attrs.setdefault(name.lower(), unescape(double or single or bare))
+        element = _Element(tag, attrs)
+        parent = stack[-1] if stack else None
+        stack.append(element)
+        for name, pick, steps in reader._by_tag.get(tag, reader._any_tag):
+            if (pick.many or self.found[name] is None) and element.fits(steps[-1]) and self.inside(steps):
+                self.pick(name, pick, element)
+        if tag == "div" and (self.grids or parent and parent.grids):
+            self.open_div(element, parent)
+        elif self.cards:
+            for card in self.cards:
+                if tag == "p" and card.text is None:
+                    card.text, card.in_p = self.listen(element), True
+                    element.on_close.append(lambda card=card: setattr(card, "in_p", False))
+                    continue
+                if tag == "span" and card.value is None and card.in_p:
+                    card.value = self.listen(element)
+                card.note_first(token[0], element)
+
+    def inside(self, steps: list[tuple]) -> bool:
+        """Do the open elements satisfy all steps before the last."""
+        wanted = len(steps) - 1
+        for ancestor in reversed(self.stack[:-1]):
+            if not wanted:
+                break
+            if ancestor.fits(steps[wanted - 1]):
+                wanted -= 1
+        return not wanted
+
+    def pick(self, name: str, pick: Pick, element: _Element) -> None:
+        found = self.found
+        if pick.attr is not None:
+            value = element.attrs.get(pick.attr)
+            if not pick.many:
+                found[name] = (value or "").strip()
+            elif value:
+                found[name] = [*(found[name] or []), value]
+            return
+        parts = self.listen(element)
+        if pick.many:
+            target = found[name] = found[name] or []
+            slot = len(target)
+            target.append("")
+        else:
+            target, slot = found, name
+            found[name] = ""
+        element.on_close.append(lambda: target.__setitem__(slot, "".join(parts)))
+
+    def listen(self, element: _Element) -> list[str]:
         """Collect the stripped texts inside the element until it closes."""
         parts: list[str] = []
-        texts.append(parts)
+        self.texts.append(parts)
 
         def stop() -> None:
-            texts[:] = [other for other in texts if other is not parts]
+            self.texts = [other for other in self.texts if other is not parts]
 
         element.on_close.append(stop)
         return parts
 
-    @staticmethod
-    def _inside(steps: list[tuple], ancestors: list[_Element]) -> bool:
-        wanted = len(steps)
-        for ancestor in reversed(ancestors):
-            if not wanted:
-                break
-            if ancestor.fits(steps[wanted - 1]):
-                wanted -= 1
-        return not wanted
-
-    def _open_card(self, element, parent, texts, cards, seen_grids, found) -> None:
-        if element.tag == "div":
-            class_text = " ".join(element.classes)
-            for name, words in self.rules.grids.items():
-                if name not in seen_grids and all(word in class_text for word in words):
-                    seen_grids.add(name)
-                    element.grids.append(name)
-            for name in parent.grids if parent else ():
-                card = {"grid": name, "text": None, "value": None, "first": None, "in_p": False, "in_first": False}
-                cards.append(card)
-                element.on_close.append(lambda card=card: self._close_card(card, cards, found))
-            return
-        for card in cards:
-            if element.tag == "p" and card["text"] is None:
-                card["text"] = self._listen(element, texts)
-                card["in_p"] = True
-                element.on_close.append(lambda card=card: card.update(in_p=False))
-            elif element.tag == "span" and card["value"] is None and card["in_p"]:
-                card["value"] = self._listen(element, texts)
-
-    @staticmethod
-    def _close_card(card: dict, cards: list, found: dict) -> None:
-        cards[:] = [other for other in cards if other is not card]
-        if card["text"] is not None:
-            found[card["grid"]].append(
+    def open_div(self, element: _Element, parent: _Element | None) -> None:
+        class_text = " ".join(element.classes)
+        for name, words in list(self.grids.items()) if class_text else ():
+            if all(word in class_text for word in words):
+                del self.grids[name]  # only the first such element counts
+                element.grids = (*element.grids, name)
+        for name in parent.grids if parent else ():
+            card = _Card(name)
+            self.cards.append(card)
+            element.on_close.append(lambda card=card: self.close_card(card))
+
+    def close_card(self, card: _Card) -> None:
+        self.cards = [other for other in self.cards if other is not card]
+        if card.text is not None:
+            self.found[card.grid].append(
                 {
-                    "first": "".join(card["first"] or []),
-                    "value": None if card["value"] is None else "".join(card["value"]),
-                    "text": "".join(card["text"]),
+                    "first": "".join(card.first or ()),
+                    "value": None if card.value is None else "".join(card.value),
+                    "text": "".join(card.text),
                 }
             )
-
-    @staticmethod
-    def _note_first(cards: list, piece: str, element: _Element | None = None) -> None:
-        """Keep what stands first in a card's paragraph: a text, or an element as markup."""
-        for card in cards:
-            if card["in_first"]:
-                card["first"].append(piece)
-            elif card["in_p"] and card["first"] is None and not (element and element.tag == "p"):
-                card["first"] = [piece]
-                if element is not None:
-                    card["in_first"] = True
-                    element.on_close.append(lambda card=card: card.update(in_first=False))

@@ -24,6 +24,24 @@ MAX_GROUP_ROWS = 4_000_000
 _CHUNK = "_chunk"
 
 
+@dataclass(frozen=True)
+class GroupSizes:
+    """Rows of the largest group, and of all groups.
+
+    Measured once on a base table it also bounds what filters, joins on unique
+    keys and longer keys make of it, so that a chain of steps counts only once.
+    """
+
+    largest: int
+    total: int
+
+    @classmethod
+    def of(cls, df: DataFrame, keys: list[str]) -> "GroupSizes":
+        counts = df.groupBy(*keys).count()
+        top = counts.agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
+        return cls(top.largest or 0, top.total or 0)
+
+
 @dataclass(frozen=True)
 class Running:
     """One running value: ``kind`` is sum, count, max, min or last (last non-null)."""
@@ -89,10 +107,16 @@ class OrderedRows:
         order: list[str],
         descending: bool = False,
         max_group_rows: int = MAX_GROUP_ROWS,
+        sizes: GroupSizes | None = None,
     ) -> "OrderedRows":
-        """``order`` must tell all rows of a key apart; its last column usually is a row id."""
-        sizes = df.groupBy(*keys).count().agg(F.max("count").alias("top"), F.sum("count").alias("total")).first()
-        if (sizes.top or 0) <= max_group_rows:
+        """``order`` must tell all rows of a key apart; its last column usually is a row id.
+
+        ``sizes`` is an upper bound measured before; groups are counted without
+        one, or when it does not rule out a big group.
+        """
+        if sizes is None or sizes.largest > max_group_rows:
+            sizes = GroupSizes.of(df, keys)
+        if sizes.largest <= max_group_rows:
             return cls(df, keys, order, descending, chunked=False)
         chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) + sizes.total // max_group_rows
         sort = [F.col(name) for name in keys] + cls._sort(order, descending)

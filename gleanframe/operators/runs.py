@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleanframe.functions.text import blank_to_null
 from gleanframe.operators.ordered import (
     MAX_GROUP_ROWS,
+    GroupSizes,
     OrderedRows,
     running_count,
     running_max,
@@ -18,8 +19,8 @@ EARLY_STOP_AFTER = 24
 BATCH_ROWS = 50
 
 
-def _streaks(marked: DataFrame, order: list[str], run: str, max_group_rows: int) -> OrderedRows:
-    rows = OrderedRows.of(marked, [run], order, max_group_rows=max_group_rows)
+def _streaks(marked: DataFrame, order: list[str], run: str, max_group_rows: int, sizes: GroupSizes | None) -> OrderedRows:
+    rows = OrderedRows.of(marked, [run], order, max_group_rows=max_group_rows, sizes=sizes)
     known = F.col("is_known").cast("long")
     counted = rows.running(_known=running_sum(known))
     # known rows so far, less those counted when the last new row came
@@ -29,10 +30,10 @@ def _streaks(marked: DataFrame, order: list[str], run: str, max_group_rows: int)
 
 
 def known_streak(
-    marked: DataFrame, order: list[str], run: str = "run_id", max_group_rows: int = MAX_GROUP_ROWS
+    marked: DataFrame, order: list[str], run: str = "run_id", max_group_rows: int = MAX_GROUP_ROWS, sizes: GroupSizes | None = None
 ) -> DataFrame:
     """Add ``streak``: how many known rows in a row end here; ``is_known`` must be set."""
-    return _streaks(marked, order, run, max_group_rows).df.drop("_known", "_at_reset")
+    return _streaks(marked, order, run, max_group_rows, sizes).df.drop("_known", "_at_reset")
 
 
 def early_stop(
@@ -42,6 +43,7 @@ def early_stop(
     run: str = "run_id",
     mode: Column | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
+    sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Rows a daily run examines: up to the first streak of ``threshold``, that row included.
 
@@ -50,7 +52,7 @@ def early_stop(
     hit = F.col("streak") >= threshold
     if mode is not None:
         hit = hit & (mode == "daily")
-    rows = _streaks(marked, order, run, max_group_rows).running(
+    rows = _streaks(marked, order, run, max_group_rows, sizes).running(
         exclusive=True, _hits=running_sum(hit.cast("long"))
     )
     return rows.df.filter(F.col("_hits") == 0).drop("_known", "_at_reset", "_hits")
@@ -62,9 +64,10 @@ def export_batches(
     batch_rows: int = BATCH_ROWS,
     run: str = "run_id",
     max_group_rows: int = MAX_GROUP_ROWS,
+    sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Number the new rows of a run into batches, from 1; the last may be partial."""
-    counted = OrderedRows.of(new_rows, [run], order, max_group_rows=max_group_rows).running(_nth=running_count())
+    counted = OrderedRows.of(new_rows, [run], order, max_group_rows=max_group_rows, sizes=sizes).running(_nth=running_count())
     return counted.df.withColumn("batch_no", F.floor((F.col("_nth") - 1) / batch_rows) + 1).drop("_nth")
 
 

@@ -8,7 +8,8 @@ same input to the check; only the two dialects' time functions differ.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from gleanframe.sources.readers import spread
 
 HOST = "https://site.example"
 FIRST_RUN = 199607  # ids seen before this month are the known ids
@@ -182,12 +183,12 @@ _DERIVED = {
 }
 
 
-def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The derived input as a DataFrame."""
+def derived(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """The derived input; ``heavy`` spreads its tables over all cores first."""
     if name not in _DERIVED:
-        return table(spark, sf_dir, name)
+        return spread(table(spark, sf_dir, name)) if heavy else table(spark, sf_dir, name)
     text, sources = _DERIVED[name]
-    frames = {source: derived(spark, sf_dir, source) for source in sources}
+    frames = {source: derived(spark, sf_dir, source, heavy) for source in sources}
     body = text.replace("{micros}", _MICROS["spark"])
     for source in sources:
         body = _bind(body, source)

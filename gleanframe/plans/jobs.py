@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleanframe.functions.url import canonical_url
 from gleanframe.operators import dedup, ledger as failures, quality, runs
 from gleanframe.operators.extract import normalize_listing, raw_listing
+from gleanframe.operators.ordered import GroupSizes
 from gleanframe.sources.readers import read_exported_csv
 from gleanframe.sources.sinks import Exporter, SnapshotTable, write_csv
 
@@ -41,14 +42,15 @@ def crawl_run(
     """
     listings = clean_listings(unseen_pages(pages, known_urls)).withColumn("run_id", F.lit(run_id)).persist()
     try:
-        marked = dedup.mark_known(listings, known, PAGE_ORDER)
+        sizes = GroupSizes.of(listings, ["run_id"])
+        marked = dedup.mark_known(listings, known, PAGE_ORDER, sizes=sizes)
         daily = mode == "daily"
-        examined = runs.early_stop(marked, PAGE_ORDER, mode=F.lit(mode)) if daily else marked
+        examined = runs.early_stop(marked, PAGE_ORDER, mode=F.lit(mode), sizes=sizes) if daily else marked
         new = examined.filter(~F.col("is_known"))
         counts = examined.agg(
             F.count(F.lit(1)).alias("scraped"), F.count_if("is_known").alias("skipped")
         ).first()
-        stopped = daily and counts.scraped < listings.count()
+        stopped = daily and counts.scraped < sizes.total
         taken = exporter.export(new.withColumn("_order", F.col("page_id")), run_id)
     finally:
         listings.unpersist()

@@ -76,7 +76,7 @@ _PIECES = cte("listing_pieces")
 
 
 def _raw(spark, sf_dir):
-    return raw_listing(derived(spark, sf_dir, "listing_html"), keep=("p_partkey",))
+    return raw_listing(derived(spark, sf_dir, "listing_html", heavy=True), keep=("p_partkey",))
 
 
 def _listings(spark, sf_dir):
@@ -114,7 +114,7 @@ _TOP_FIELDS = ("total_area", "internal_area", "number_of_bedrooms", "floor", "st
 
 @query("label_map", f"{_PIECES} SELECT p_partkey, {', '.join(_TOP_FIELDS)} FROM ({_RAW_SQL}) AS r")
 def label_map(spark, sf_dir):
-    pages = derived(spark, sf_dir, "listing_html").select("p_partkey", read_page("html", LISTING_RULES).alias("page"))
+    pages = derived(spark, sf_dir, "listing_html", heavy=True).select("p_partkey", read_page("html", LISTING_RULES).alias("page"))
     pairs = pages.select("p_partkey", top_pairs(F.col("page.top")).alias("top"))
     return pairs.select("p_partkey", *[pair_value(F.col("top"), name).alias(name) for name in _TOP_FIELDS])
 
@@ -125,7 +125,7 @@ def label_map(spark, sf_dir):
 FROM ({_RAW_SQL}) AS r""",
 )
 def info_fields(spark, sf_dir):
-    pages = derived(spark, sf_dir, "listing_html").select("p_partkey", read_page("html", LISTING_RULES).alias("page"))
+    pages = derived(spark, sf_dir, "listing_html", heavy=True).select("p_partkey", read_page("html", LISTING_RULES).alias("page"))
     pairs = pages.select("p_partkey", info_pairs(F.col("page.info")).alias("info"))
     info = F.col("info")
     return pairs.select(
@@ -139,7 +139,7 @@ def info_fields(spark, sf_dir):
 
 @query("amenity_text", f"{_PIECES} SELECT p_partkey, karakteristikat FROM ({_RAW_SQL}) AS r")
 def amenities(spark, sf_dir):
-    pages = derived(spark, sf_dir, "listing_html").select("p_partkey", read_page("html", LISTING_RULES).alias("page"))
+    pages = derived(spark, sf_dir, "listing_html", heavy=True).select("p_partkey", read_page("html", LISTING_RULES).alias("page"))
     return pages.select("p_partkey", amenity_text(F.col("page.amenities")).alias("karakteristikat"))
 
 
@@ -211,7 +211,7 @@ def _decoded(text: str) -> str:
 
 
 def _articles(spark, sf_dir, rules: PageRules = ARTICLE_RULES):
-    pages = table(spark, sf_dir, "pages")
+    pages = derived(spark, sf_dir, "pages", heavy=True)
     return pages.select("page_id", "url", read_page("html", rules).alias("page"))
 
 
@@ -342,7 +342,7 @@ WHERE n = 1""",
 def crawl_to_table(spark, sf_dir):
     """Pages to canonical URL, headline, cleaned title, validation, first page per URL."""
     rules = PageRules({"headline": Pick("h1")})
-    pages = table(spark, sf_dir, "pages").select(
+    pages = derived(spark, sf_dir, "pages", heavy=True).select(
         "page_id", canonical_url("url").alias("url"), read_page("html", rules).alias("page")
     )
     titled = pages.select("page_id", "url", tx.clean_text("page.headline").alias("title"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleanframe.operators import dedup, runs
+from gleanframe.operators.ordered import GroupSizes
 from gleanframe.operators.upsert import upsert_merge
 from gleanframe.plans.inputs import MERGE_COLUMNS, RUN_ORDER, cte, derived
 from gleanframe.plans.registry import query
@@ -25,15 +26,19 @@ batched AS (SELECT *, CAST((row_number() OVER (PARTITION BY run_id ORDER BY {_OR
 
 
 def _marked(spark, sf_dir):
-    return dedup.mark_known(derived(spark, sf_dir, "run_items"), derived(spark, sf_dir, "known_ids"), RUN_ORDER)
+    """Run items marked as known or not, and the rows per run, counted once for all steps."""
+    items = derived(spark, sf_dir, "run_items")
+    sizes = GroupSizes.of(items, ["run_id"])
+    return dedup.mark_known(items, derived(spark, sf_dir, "known_ids"), RUN_ORDER, sizes=sizes), sizes
 
 
 def _examined(spark, sf_dir):
-    return runs.early_stop(_marked(spark, sf_dir), RUN_ORDER)
+    marked, sizes = _marked(spark, sf_dir)
+    return runs.early_stop(marked, RUN_ORDER, sizes=sizes), sizes
 
 
-def _batched(examined):
-    return runs.export_batches(examined.filter(~F.col("is_known")), RUN_ORDER)
+def _batched(examined, sizes):
+    return runs.export_batches(examined.filter(~F.col("is_known")), RUN_ORDER, sizes=sizes)
 
 
 # --- dedup --------------------------------------------------------------------------
@@ -143,12 +148,13 @@ def merged(spark, sf_dir):
 
 @query("known_streak", f"{_MARKED_SQL} SELECT {_KEYS}, is_known, streak FROM streaks")
 def known_streak(spark, sf_dir):
-    return runs.known_streak(_marked(spark, sf_dir), RUN_ORDER).select(*_OUT, "is_known", "streak")
+    marked, sizes = _marked(spark, sf_dir)
+    return runs.known_streak(marked, RUN_ORDER, sizes=sizes).select(*_OUT, "is_known", "streak")
 
 
 @query("early_stop", f"{_MARKED_SQL} SELECT {_KEYS}, streak FROM examined")
 def early_stop(spark, sf_dir):
-    return _examined(spark, sf_dir).select(*_OUT, "streak")
+    return _examined(spark, sf_dir)[0].select(*_OUT, "streak")
 
 
 @query(
@@ -158,12 +164,13 @@ UNION ALL SELECT {_KEYS}, streak FROM streaks WHERE run_id % 2 = 1""",
 )
 def early_stop_daily_only(spark, sf_dir):
     mode = F.when(F.col("run_id") % 2 == 0, "daily").otherwise("resume")
-    return runs.early_stop(_marked(spark, sf_dir), RUN_ORDER, mode=mode).select(*_OUT, "streak")
+    marked, sizes = _marked(spark, sf_dir)
+    return runs.early_stop(marked, RUN_ORDER, mode=mode, sizes=sizes).select(*_OUT, "streak")
 
 
 @query("export_batches", f"{_MARKED_SQL} SELECT {_KEYS}, batch_no FROM batched")
 def export_batches(spark, sf_dir):
-    return _batched(_examined(spark, sf_dir)).select(*_OUT, "batch_no")
+    return _batched(*_examined(spark, sf_dir)).select(*_OUT, "batch_no")
 
 
 @query(
@@ -173,7 +180,7 @@ SELECT run_id, property_id AS last_exported_id FROM (SELECT *, row_number() OVER
   FROM ends WHERE n = 1 AND property_id IS NOT NULL) AS e WHERE m = 1""",
 )
 def last_exported(spark, sf_dir):
-    return runs.last_exported(_batched(_examined(spark, sf_dir)), RUN_ORDER)
+    return runs.last_exported(_batched(*_examined(spark, sf_dir)), RUN_ORDER)
 
 
 @query(
@@ -183,8 +190,8 @@ FROM (SELECT run_id, count(*) AS scraped, count(*) FILTER (WHERE is_known) AS sk
 LEFT JOIN (SELECT run_id, count(*) AS exported, max(batch_no) AS batches FROM batched GROUP BY run_id) AS b ON b.run_id = e.run_id""",
 )
 def run_summary(spark, sf_dir):
-    examined = _examined(spark, sf_dir)
-    return runs.run_summary(examined, _batched(examined))
+    examined, sizes = _examined(spark, sf_dir)
+    return runs.run_summary(examined, _batched(examined, sizes))
 
 
 # --- across runs --------------------------------------------------------------------

@@ -90,12 +90,12 @@ FROM (SELECT {id_column}, raw, text, scheme,
 
 @query("clean_text", f"SELECT doc_id, {sql_clean('text')} AS cleaned FROM documents")
 def clean_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", tx.clean_text("text").alias("cleaned"))
+    return derived(spark, sf_dir, "documents", heavy=True).select("doc_id", tx.clean_text("text").alias("cleaned"))
 
 
 @query("first_number", f"SELECT doc_id, {sql_number('text')} AS number FROM documents")
 def first_number(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", tx.first_number("text").alias("number"))
+    return derived(spark, sf_dir, "documents", heavy=True).select("doc_id", tx.first_number("text").alias("number"))
 
 
 @query("parse_price", f"{cte('raw_price')} SELECT p_partkey, raw, {sql_price('raw')} AS price FROM raw_price")
@@ -112,7 +112,7 @@ def price_currency(spark, sf_dir):
     parts = derived(spark, sf_dir, "raw_price").select(
         F.lit("part").alias("origin"), F.col("p_partkey").alias("id"), tx.price_currency("raw").alias("currency")
     )
-    texts = table(spark, sf_dir, "documents").select(
+    texts = derived(spark, sf_dir, "documents", heavy=True).select(
         F.lit("document").alias("origin"), F.col("doc_id").alias("id"), tx.price_currency("text").alias("currency")
     )
     return parts.unionByName(texts)
@@ -148,7 +148,7 @@ def yes_no(spark, sf_dir):
 
 @query("canonical_url", f"{cte('raw_urls')} {sql_canonical('raw_urls', 'id', 'url')}")
 def canonical_url(spark, sf_dir):
-    return derived(spark, sf_dir, "raw_urls").select("id", urls.canonical_url("url").alias("canonical"))
+    return derived(spark, sf_dir, "raw_urls", heavy=True).select("id", urls.canonical_url("url").alias("canonical"))
 
 
 @query(

@@ -26,8 +26,18 @@ def _or_empty(spark: SparkSession, read, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with less partitions than cores is dealt out to all of them.
+
+    Meant for scans ahead of heavy per-row work; a big table already has enough
+    partitions and is left alone. Planning a scan's partitions runs no job.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PAGES).parquet(path)
+    return spread(spark.read.schema(PAGES).parquet(path))
 
 
 def stream_pages(spark: SparkSession, path: str, files_per_batch: int = 50) -> DataFrame:
