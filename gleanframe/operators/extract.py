@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanframe.functions import text as tx
+from gleanframe.functions.url import site_matches
 from gleanframe.operators.markup import PageReader, PageRules, Pick
 from gleanframe.schemas import EXPORT_COLUMNS, FIELD_RENAMES, RAW_FIELDS
 
@@ -80,14 +81,18 @@ def page_type(rules: PageRules) -> T.StructType:
     return T.StructType([*picks, *[T.StructField(name, T.ArrayType(_CARD)) for name in rules.grids]])
 
 
-def read_page(html: Column | str, rules: PageRules) -> Column:
-    """All picks and grids of a page as one struct column."""
+def _arrow_type(rules: PageRules) -> pa.DataType:
     card = pa.struct([(name, pa.string()) for name in ("first", "value", "text")])
-    arrow_type = pa.struct(
+    return pa.struct(
         [(name, pa.list_(pa.string()) if pick.many else pa.string()) for name, pick in rules.picks.items()]
         + [(name, pa.list_(card)) for name in rules.grids]
     )
 
+
+def read_page(html: Column | str, rules: PageRules) -> Column:
+    """All picks and grids of a page as one struct column."""
+    arrow_type = _arrow_type(rules)
+
     @F.arrow_udf(page_type(rules))
     def reader(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pages = PageReader(rules)
@@ -97,6 +102,28 @@ def read_page(html: Column | str, rules: PageRules) -> Column:
     return reader.asNondeterministic()(html)
 
 
+def read_page_of_site(html: Column | str, url: Column | str, sites: dict[str, PageRules]) -> Column:
+    """Like ``read_page``, with the rules of the first domain the URL's host contains.
+
+    All rule sets must have the same pick and grid names. A page of no known
+    site gives null and is not read.
+    """
+    rules = list(sites.values())
+    if any(page_type(other) != page_type(rules[0]) for other in rules):
+        raise ValueError("rule sets of all sites must have the same names")
+    arrow_type = _arrow_type(rules[0])
+    site = F.coalesce(*[F.when(site_matches(url, domain), domain) for domain in sites])
+
+    @F.arrow_udf(page_type(rules[0]))
+    def reader(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        readers = {domain: PageReader(own) for domain, own in sites.items()}
+        for htmls, domains in batches:
+            pairs = zip(htmls, domains.to_pylist())
+            yield pa.array([d and readers[d].read(html.as_py()) for html, d in pairs], type=arrow_type)
+
+    return reader.asNondeterministic()(html, site)
+
+
 def _field_of(label: Column, labels: tuple[tuple[str, str], ...]) -> Column:
     return F.coalesce(*[F.when(F.contains(label, F.lit(word)), name) for word, name in labels])
 
@@ -143,9 +170,20 @@ def amenity_text(cards: Column) -> Column:
     return F.when(F.size(named) > 0, F.array_join(named, ", "))
 
 
-def raw_listing(pages: DataFrame, html: str = "html", url: str = "url", keep: tuple[str, ...] = ()) -> DataFrame:
-    """The 19 raw fields of each page by the listing rules; ``keep`` passes columns through."""
-    read = pages.select(*keep, F.col(url).alias("url"), read_page(html, LISTING_RULES).alias("page"))
+def raw_listing(
+    pages: DataFrame,
+    html: str = "html",
+    url: str = "url",
+    keep: tuple[str, ...] = (),
+    sites: dict[str, PageRules] | None = None,
+) -> DataFrame:
+    """The 19 raw fields of each page; ``keep`` passes columns through.
+
+    Pages are read by the listing rules, or by the rules of their site, with
+    all fields but the URL null where no site fits.
+    """
+    page = read_page(html, LISTING_RULES) if sites is None else read_page_of_site(html, url, sites)
+    read = pages.select(*keep, F.col(url).alias("url"), page.alias("page"))
     cards = read.select(
         *keep,
         "url",

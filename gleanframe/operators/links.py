@@ -59,7 +59,9 @@ def page_walk(starts: DataFrame, nexts: DataFrame, max_pages: int | None = None)
     )
     stride = 1
     while max_pages is None or stride < max_pages:
-        jumps = cut_lineage(jumps)
+        jumps, n_jumps = _cut_and_count(jumps)
+        if not n_jumps:
+            break
         ahead = reached.join(jumps, "url").select(
             "crawl_id", (F.col("page_no") + stride).alias("page_no"), F.col("target").alias("url")
         )
@@ -76,14 +78,24 @@ def page_walk(starts: DataFrame, nexts: DataFrame, max_pages: int | None = None)
     return reached.select("crawl_id", "page_no", "url")
 
 
-def walk_summary(walk: DataFrame, nexts: DataFrame) -> DataFrame:
-    """Pages visited per crawl and whether it ended at a page without next link."""
+def walk_summary(walk: DataFrame, nexts: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """Pages visited per crawl and whether it ended at a page without next link.
+
+    With ``edges(listing_url, ...)`` also how many links the visited pages gave.
+    """
     ends = walk.groupBy("crawl_id").agg(
         F.max("page_no").alias("pages"), F.max_by("url", "page_no").alias("url")
     )
-    return ends.join(nexts, "url", "left").select(
+    summary = ends.join(nexts, "url", "left").select(
         "crawl_id", "pages", F.col("next_url").isNull().alias("pages_exhausted")
     )
+    if edges is None:
+        return summary
+    per_page = edges.groupBy(F.col("listing_url").alias("url")).agg(F.count(F.lit(1)).alias("links"))
+    per_crawl = walk.join(per_page, "url").groupBy("crawl_id").agg(F.sum("links").alias("links"))
+    return summary.join(per_crawl, "crawl_id", "left").withColumn(
+        "enqueued", F.coalesce("links", F.lit(0).cast("long"))
+    ).drop("links")
 
 
 def crawl_funnel(edges: DataFrame, known: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanframe.functions.text import blank_to_null
@@ -109,15 +109,12 @@ def following_mode(outcome: Column, errors: Column) -> Column:
 
 
 def run_modes(runs: DataFrame, site: str = "site", started: str = "started") -> DataFrame:
-    """Add outcome, the mode each run had (a site's first run resumes), and the next mode.
-
-    One row per run, so a site's history is small and a plain window will do.
-    """
+    """Add outcome, the mode each run had (a site's first run resumes), and the next mode."""
     outcome = runs.withColumn("outcome", run_outcome()).withColumn(
         "next_mode", following_mode(F.col("outcome"), F.col("errors"))
     )
-    before = F.lag("next_mode").over(Window.partitionBy(site).orderBy(started))
-    return outcome.withColumn("mode", F.coalesce(before, F.lit("resume")))
+    moded = OrderedRows.of(outcome, [site], [started]).previous(mode=F.col("next_mode"))
+    return moded.df.withColumn("mode", F.coalesce("mode", F.lit("resume")))
 
 
 def begin_run(runs: DataFrame, site: str, started: Column) -> DataFrame:

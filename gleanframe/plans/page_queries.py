@@ -18,6 +18,7 @@ from gleanframe.operators.extract import (
     pair_value,
     raw_listing,
     read_page,
+    read_page_of_site,
     top_pairs,
 )
 from gleanframe.operators.markup import PageRules, Pick
@@ -230,6 +231,24 @@ def page_title(spark, sf_dir):
     return _articles(spark, sf_dir).select("page_id", "page.title", "page.headline", "page.lang")
 
 
+_SITES = {
+    "example.com": PageRules({"text": Pick("h1"), "lang": Pick("html", attr="lang")}),
+    "example.net": PageRules({"text": Pick("title"), "lang": Pick("html", attr="lang")}),
+}
+
+
+@query(
+    "site_routing",
+    f"""SELECT page_id, CASE WHEN regexp_matches(url, '^[a-z]+://[^/]*example.com') THEN {_decoded("regexp_extract(html, '<h1>(.*?)</h1>', 1)")}
+  WHEN regexp_matches(url, '^[a-z]+://[^/]*example.net') THEN {_decoded("regexp_extract(html, '<title>(.*?)</title>', 1)")} END AS text,
+  CASE WHEN regexp_matches(url, '^[a-z]+://[^/]*example.(com|net)') THEN regexp_extract(html, '<html lang="([a-z]*)"', 1) END AS lang FROM pages""",
+)
+def site_routing(spark, sf_dir):
+    pages = derived(spark, sf_dir, "pages", heavy=True)
+    read = pages.select("page_id", read_page_of_site("html", "url", _SITES).alias("page"))
+    return read.select("page_id", "page.text", "page.lang")
+
+
 @query(
     "page_image_list",
     """SELECT page_id, nullif(array_to_string(regexp_extract_all(html, '<a href="([^"]*)"', 1), ','), '') AS hrefs FROM pages""",
@@ -329,6 +348,20 @@ def walk_summary(spark, sf_dir):
     return links.walk_summary(links.page_walk(derived(spark, sf_dir, "crawl_starts"), nexts), nexts)
 
 
+@query(
+    "walk_enqueued",
+    _walk_sql(1000000000)
+    + f""", {_LINK_SQL} SELECT w.crawl_id, max(w.page_no) AS pages,
+  bool_or(n.next_url IS NULL) AS pages_exhausted, CAST(sum(coalesce(e.links, 0)) AS BIGINT) AS enqueued
+FROM walk AS w JOIN next_links AS n ON n.url = w.url
+LEFT JOIN (SELECT listing_url, count(*) AS links FROM edges GROUP BY listing_url) AS e ON e.listing_url = w.url GROUP BY w.crawl_id""",
+)
+def walk_enqueued(spark, sf_dir):
+    nexts = derived(spark, sf_dir, "next_links").drop("page_id")
+    walk = links.page_walk(derived(spark, sf_dir, "crawl_starts"), nexts)
+    return links.walk_summary(walk, nexts, _edges(spark, sf_dir))
+
+
 # --- the whole way: pages to a clean, deduplicated table -----------------------------
 
 

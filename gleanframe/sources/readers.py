@@ -45,10 +45,11 @@ def stream_pages(spark: SparkSession, path: str, files_per_batch: int = 50) -> D
     return spark.readStream.schema(PAGES).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def read_failure_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Ledger from a JSON array file; the last entry of a URL counts.
+def read_failure_ledger(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Ledger from a JSON array file, or from JSON Lines; the last entry of a URL counts.
 
-    A missing file is an empty ledger; so is, with a warning, a file that is no
+    An array file is one document and so read by one task; ledgers of any size
+    are kept as snapshots or JSON Lines. A missing file is an empty ledger; so is, with a warning, a file that is no
     valid JSON or has an entry without url.
     """
     stored = T.StructType([T.StructField("timestamp" if f.name == "ts" else f.name, f.dataType) for f in FAILURE_LEDGER])
@@ -56,7 +57,7 @@ def read_failure_ledger(spark: SparkSession, path: str) -> DataFrame:
     rows = _or_empty(
         spark,
         lambda: spark.read.schema(with_bad)
-        .options(multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
+        .options(multiLine=not lines, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
         .json(path),
         with_bad,
     )

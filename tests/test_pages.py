@@ -81,6 +81,16 @@ def test_info_container_and_fill(spark):
     assert (filled["mobilimi"], filled["ka_hipoteke"]) == ("partly", "po")
 
 
+def test_sites_with_own_rules(spark):
+    other = PageRules({**LISTING_RULES.picks, "title": Pick("h3")}, LISTING_RULES.grids)
+    html = "<h1 class=font-extrabold>one</h1><h3>three</h3>"
+    pages = spark.createDataFrame([(f"http://{host}/x", html) for host in ("www.a.com", "b.org", "c.net")], "url string, html string")
+    rows = raw_listing(pages, sites={"a.com": LISTING_RULES, "b.org": other}).collect()
+    assert {r.url: r.title for r in rows} == {"http://www.a.com/x": "one", "http://b.org/x": "three", "http://c.net/x": None}
+    with pytest.raises(ValueError):
+        raw_listing(pages, sites={"a.com": LISTING_RULES, "b.org": PageRules({"title": Pick("h3")})})
+
+
 def test_amenities(spark):
     box = '<div class="md:grid-cols-5 grid-cols-3"><div><p>Pool</p></div><div><p> </p></div><div><p>Gym &amp; <i>Spa</i></p></div></div>'
     empty = '<div class="md:grid-cols-5 grid-cols-3"><div></div></div>'

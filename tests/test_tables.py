@@ -1,5 +1,6 @@
 """Dedup, state, merge, metrics, readers, sinks and whole jobs."""
 
+import datetime
 import json
 
 import pytest
@@ -154,6 +155,17 @@ def test_snapshot_versions(spark, tmp_path):
     assert table.read().count() == 0
 
 
+def test_ledger_json(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    stamp = datetime.datetime(2024, 1, 2, 3, 4, 5, 500000, tzinfo=datetime.timezone.utc)
+    rows = spark.createDataFrame([("u", "é", 2, stamp), ("v", "e", 1, stamp)], FAILURE_LEDGER).coalesce(1)
+    sinks.write_ledger_json(rows, path)
+    line, _ = [line for part in (tmp_path / "ledger").glob("*.json") for line in part.read_text().splitlines()]
+    assert json.loads(line) == {"url": "u", "error": "é", "attempts": 2, "timestamp": "2024-01-02T03:04:05.500000+00:00"}
+    read = readers.read_failure_ledger(spark, path, lines=True).collect()
+    assert {(r.url, r.ts.timestamp()) for r in read} == {("u", stamp.timestamp()), ("v", stamp.timestamp())}
+
+
 def test_export_contract(spark, tmp_path):
     out = str(tmp_path)
     fail = {"on": True}
