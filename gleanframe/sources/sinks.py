@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanframe.operators.dedup import new_records
+from gleanframe.operators.dedup import known_records, new_records
 from gleanframe.operators.extract import export_rows
 from gleanframe.operators.upsert import upsert_merge
 from gleanframe.schemas import EXPORT, EXPORT_COLUMNS, FAILURE_LEDGER, LONG, STRING, TIME, struct_of
@@ -156,14 +156,11 @@ class Exporter:
         taken: dict[str, int | None] = {}
         failure: Exception | None = None
         try:
+            if rows.isEmpty():
+                return dict.fromkeys(self.sinks, 0)
             for name, sink in self.sinks.items():
                 try:
-                    fresh = new_records(rows, self.known(name, before_tag=tag))
-                    count = fresh.count()
-                    if count:
-                        sink(fresh, tag)
-                        self._known[name].add(fresh, tag)
-                    taken[name] = count
+                    taken[name] = self._write(name, sink, rows, tag)
                 except Exception as error:
                     logger.error("sink %s failed on batch %s: %s", name, tag, error)
                     taken[name], failure = None, error
@@ -173,6 +170,20 @@ class Exporter:
             raise failure
         return taken
 
+    def _write(self, name: str, sink: Sink, rows: DataFrame, tag: str) -> int:
+        # known ids outgrow any batch: first keep those the batch asks for, which
+        # needs no shuffle of them while the ids of the batch fit a broadcast
+        asked = rows.select("property_id").filter("property_id <> ''").distinct()
+        fresh = new_records(rows, known_records(self.known(name, before_tag=tag), asked)).persist()
+        try:
+            count = fresh.count()
+            if count:
+                sink(fresh, tag)
+                self._known[name].add(fresh, tag)
+            return count
+        finally:
+            fresh.unpersist()
+
 
 def ledger_table(spark: SparkSession, path: str) -> SnapshotTable:
     return SnapshotTable(spark, path, FAILURE_LEDGER)
