@@ -22,7 +22,7 @@ MULTIPLIER_MAX = 20.0
 def politeness_schedule(
     log: DataFrame,
     rate: float,
-    burst: float,
+    burst: float | None = None,
     host: str = "host",
     time: str = "t",
     order: list[str] = ["t", "seq"],
@@ -32,19 +32,22 @@ def politeness_schedule(
 
     With T = 1/rate and i counted from 0, the bucket is due again at
     ``(i+1)T + max over j<=i of (t_j - jT)``. Adds ``granted``, ``waited`` and
-    ``tokens_left`` (seconds as in ``time``).
+    ``tokens_left`` (seconds as in ``time``). The bucket holds one second's
+    worth of requests, at least one, when ``burst`` is not given.
     """
     period = 1.0 / rate
+    burst = burst or max(1, int(rate))
     numbered = OrderedRows.of(log, [host], order, max_group_rows=max_group_rows).running(_n=running_count())
     lead = F.col(time) - (F.col("_n") - 1) * period
-    due = numbered.running(_lead=running_max(lead)).with_columns(_due=F.col("_n") * period + F.col("_lead"))
-    ready = due.previous(_ready=F.col("_due"))
-    granted = F.greatest(F.col(time), F.col("_ready") - (burst - 1) * period)
+    led = numbered.running(exclusive=True, _led=running_max(lead)).df
+    # when the bucket was due again after the request before, and after this one
+    ready = (F.col("_n") - 1) * period + F.col("_led")
+    due = F.col("_n") * period + F.greatest("_led", lead)
     return (
-        ready.df.withColumn("granted", granted)
+        led.withColumn("granted", F.greatest(F.col(time), ready - (burst - 1) * period))
         .withColumn("waited", F.col("granted") - F.col(time))
-        .withColumn("tokens_left", burst - (F.col("_due") - F.col("granted")) / period)
-        .drop("_n", "_lead", "_due", "_ready")
+        .withColumn("tokens_left", burst - (due - F.col("granted")) / period)
+        .drop("_n", "_led")
     )
 
 
