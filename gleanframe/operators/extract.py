@@ -11,15 +11,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanframe.functions import text as tx
 from gleanframe.functions.url import site_matches
+from gleanframe.operators import markup
 from gleanframe.operators.markup import PageReader, PageRules, Pick
 from gleanframe.schemas import EXPORT_COLUMNS, FIELD_RENAMES, RAW_FIELDS
 
+# the reader travels with the UDF, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(markup)
+
 # Where a listing page keeps its fields, and which label words
 # name which field (first word found in the label counts).
 LISTING_RULES = PageRules(

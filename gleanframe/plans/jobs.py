@@ -40,18 +40,22 @@ def crawl_run(
 
     Returns the run's flags, outcome, the mode of the next run and its counts.
     """
-    listings = clean_listings(unseen_pages(pages, known_urls)).withColumn("run_id", F.lit(run_id)).persist()
+    daily = mode == "daily"
+    listings = clean_listings(unseen_pages(pages, known_urls)).persist()
     try:
-        sizes = GroupSizes.of(listings, ["run_id"])
-        marked = dedup.mark_known(listings, known, PAGE_ORDER, sizes=sizes)
-        daily = mode == "daily"
+        # streaks and stops need ids only; whole rows are fetched once at the end
+        items = listings.select(F.lit(run_id).alias("run_id"), "page_id", "property_id")
+        sizes = GroupSizes.of(items, ["run_id"])
+        marked = dedup.mark_known(items, known, PAGE_ORDER, sizes=sizes)
         examined = runs.early_stop(marked, PAGE_ORDER, mode=F.lit(mode), sizes=sizes) if daily else marked
-        new = examined.filter(~F.col("is_known"))
+        examined = examined.select("page_id", "is_known").persist()
         counts = examined.agg(
             F.count(F.lit(1)).alias("scraped"), F.count_if("is_known").alias("skipped")
         ).first()
-        stopped = daily and counts.scraped < sizes.total
+        stopped = counts.scraped < sizes.total
+        new = listings.join(examined.filter(~F.col("is_known")), "page_id", "left_semi")
         taken = exporter.export(new.withColumn("_order", F.col("page_id")), run_id)
+        examined.unpersist()
     finally:
         listings.unpersist()
     outcome = "COMPLETED" if pages_exhausted and not stopped else "EARLY_STOP" if stopped else "INTERRUPTED"

@@ -7,9 +7,11 @@ sorts one key's rows of one micro-batch; ``maxFilesPerTrigger`` bounds those.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -17,6 +19,9 @@ from gleanframe.operators.requestlog import MULTIPLIER_MAX
 from gleanframe.operators.runs import EARLY_STOP_AFTER
 from gleanframe.schemas import DOUBLE, FLAG, LONG, STRING, struct_of
 
+# the processors travel with the query, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STREAK_OUTPUT = struct_of(crawl_id=LONG, seq=LONG, property_id=STRING, is_known=FLAG, streak=LONG)
 STREAK_STATE = struct_of(streak=LONG, stopped=FLAG)
 ADMISSION_OUTPUT = struct_of(

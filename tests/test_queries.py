@@ -1,12 +1,16 @@
 """Every registered query against its SQL check on the smallest data set, and its plan."""
 
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
 
+ROOT = Path(__file__).resolve().parents[1]
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -72,3 +76,17 @@ def test_scans_read_only_what_they_need(spark):
     assert "o_totalprice" not in plan
     plan = QUERIES["error_class"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "value:double" not in plan
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """Entry and extraction work when started elsewhere, with workers that cannot import the package."""
+    code = f"""
+import sys; sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+import __spark_entry__ as e
+assert e.entry(spark).count() > 0
+assert e.queries()["page_extract"](spark, {SF_DIR!r}).count() > 0
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
