@@ -206,8 +206,9 @@ def drift(spark, sf_dir):
 
 
 def _decoded(text: str) -> str:
-    for entity, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{char}')"
+    """Character references as HTML reads them: these names need no semicolon."""
+    for name, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{name};?', '{char}', 'g')"
     return f"trim({text})"
 
 
