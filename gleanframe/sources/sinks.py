@@ -45,7 +45,8 @@ class SnapshotTable:
     """A table replaced as a whole: new version first, then one row that makes it current.
 
     A tag names the batch a version came from. A batch run again starts from
-    the version before its own, so its effect is not applied twice.
+    the version before its own, so its effect is not applied twice; batches after
+    it are then to be run again as well, as a restarted stream does.
     """
 
     _LOG = struct_of(version=LONG, tag=STRING)
@@ -61,7 +62,8 @@ class SnapshotTable:
     def read(self, before_tag: str | None = None) -> DataFrame:
         versions = self._versions()
         if before_tag is not None:
-            versions = versions.filter(F.col("tag") != before_tag)
+            own = versions.filter(F.col("tag") == before_tag).agg(F.min("version").alias("v")).first().v
+            versions = versions if own is None else versions.filter(F.col("version") < own)
         current = versions.agg(F.max("version").alias("v")).first().v
         if current is None:
             return self._spark.createDataFrame([], self._schema)
@@ -114,7 +116,8 @@ class ListingTable:
         ordered = rows if "_order" in rows.columns else rows.withColumn("_order", F.col("url"))
         batch = export_rows(ordered, keep=("_order",))
         now = self._now if self._now is not None else F.current_timestamp()
-        merged = upsert_merge(self._table.read(before_tag=tag), batch, ["_order"], now, list(EXPORT_COLUMNS))
+        # merging the same batch once more changes nothing, so no version is skipped
+        merged = upsert_merge(self._table.read(), batch, ["_order"], now, list(EXPORT_COLUMNS))
         self._table.replace(merged, tag)
 
 
