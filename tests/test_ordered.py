@@ -355,3 +355,13 @@ def test_retry_schedule(spark):
     assert backed.delay_after == 2
     exhausted = requestlog.exhausted_requests(df).collect()
     assert [(r.request_id, r.attempts, r.last_status) for r in exhausted] == [(1, 4, 500)]
+
+
+def test_begin_run(spark):
+    schema = "site string, started int, stream_exhausted boolean, pages_exhausted boolean, early_stop boolean, errors long"
+    history = spark.createDataFrame([("s", 1, True, True, False, 0)], schema)
+    rows = runs.run_modes(runs.begin_run(history, "s", F.lit(2))).orderBy("started").collect()
+    assert [(r.started, r.outcome, r.mode, r.next_mode) for r in rows] == [
+        (1, "COMPLETED", "resume", "daily"),
+        (2, "INTERRUPTED", "daily", "resume"),
+    ]
