@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from gleanframe.plans import catalog
 
 ROOT = Path(__file__).resolve().parents[1]
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -16,7 +17,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES, CHECKS = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, CHECKS = catalog.QUERIES, catalog.CHECKS
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
