@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from gleanframe.llm import bpe
 from gleanframe.llm.base import documents
 from gleanframe.llm.quality import quality_rules
 from gleanframe.llm.registry import query
@@ -43,3 +44,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query("op10_byte_bpe")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
