@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanframe.llm import fingerprint as fp
 from gleanframe.llm.base import documents
 from gleanframe.llm.lines import drop_repeated_lines
 from gleanframe.llm.registry import query
@@ -31,3 +32,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         (n("lines") - n("kept")).alias("n_dropped"),
         F.sha2(F.array_join("kept", "\n"), 256).alias("kept_sha256"),
     )
+
+
+@query("op6_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own, edited, after = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return fp.fingerprints(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fp.as_text(own).alias("fingerprint"),
+        fp.as_text(edited).alias("edited_fingerprint"),
+        fp.resemblance(own, edited).alias("near_edited"),
+        fp.resemblance(own, after).alias("near_next"),
+    )
