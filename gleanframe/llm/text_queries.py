@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gleanframe.llm import bpe
 from gleanframe.llm.base import documents
+from gleanframe.llm.licenses import license_scan
 from gleanframe.llm.quality import quality_rules
 from gleanframe.llm.registry import query
 
@@ -51,3 +52,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(
         documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     )
+
+
+@query("op9_license_scans")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(documents(spark, sf_dir))
