@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleanframe.llm import corpus_queries, text_queries  # noqa: F401  (they register)
+from gleanframe.llm import corpus_queries, model_queries, text_queries  # noqa: F401  (they register)
 from gleanframe.llm.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
