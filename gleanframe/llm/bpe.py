@@ -12,6 +12,7 @@ States and arcs are made when text first needs them and are kept in a table of b
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 import sys
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bounds of the tables in each Python worker; a full table starts anew.
-MAX_ARCS = 300_000
-MAX_PIECES = 300_000
+MAX_ARCS = 400_000
+MAX_PIECES = 400_000
 MAX_PAIRS = 300_000
 #: Bytes read before what is settled is given out.
 SETTLE_EVERY = 1024
@@ -54,8 +55,8 @@ class Transducer:
                 node = self.next.get(key) or self._new_node(key)
             self.token[node] = number
         self._link()
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.whole: dict[int, bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.plans: dict[int, tuple] = {}
         self.places: dict[int, list[int]] = {}
         self.reset()
 
@@ -91,21 +92,17 @@ class Transducer:
         return [self.vocabulary[p] for p in parts]
 
     def _follows(self, left: int, right: int) -> bool:
-        if left < 0:
-            if right not in self.whole:
-                self.whole[right] = self.merge(self.bytes_of[right]) == [right]
-            return self.whole[right]
-        pair = (left, right)
-        if pair not in self.pairs:
-            if len(self.pairs) >= MAX_PAIRS:
-                self.pairs.clear()
-            self.pairs[pair] = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
-        return self.pairs[pair]
+        """Whether ``right`` may stand after ``left`` (-1: at the start)."""
+        if len(self.pairs) >= MAX_PAIRS:
+            self.pairs.clear()
+        wanted = [right] if left < 0 else [left, right]
+        self.pairs[left << 20 | right] = out = self.merge(b"".join([self.bytes_of[t] for t in wanted])) == wanted
+        return out
 
     def reset(self) -> None:
         #: A state: trie node and the last token at each place where a token may have begun.
         self.states: list[tuple[int, tuple[int, ...]]] = [(0, (-1,))]
-        self.numbers: dict[tuple, int] = {self.states[0]: 0}
+        self.numbers: dict[tuple, int] = {(0, -1): 0}
         #: From state and byte to the next state and the last token of the prefix read.
         self.arcs: dict[int, int] = {}
 
@@ -119,17 +116,37 @@ class Transducer:
             self.places[node] = [*out, 0]
         return self.places[node]
 
-    def _arc(self, state: int, byte: int) -> int:
-        node, lasts = self.states[state]
-        last_at = dict(zip(self._places(node), lasts, strict=True))
+    def _plan(self, node: int, byte: int) -> tuple[int, list[tuple[int, int]], list[int]]:
+        """What an arc does whatever the last tokens are.
+
+        The next node, the tokens that may end here with the index of the place each begins
+        at, and the indexes of the places that stay open.
+        """
+        index = {place: i for i, place in enumerate(self._places(node))}
         to = probe = self._go(node, byte)
-        while (token := self.token[probe]) < 0 or not self._follows(last_at[self.depth[probe] - 1], token):
+        ends = []
+        while probe:
+            if (token := self.token[probe]) >= 0:
+                ends.append((token, index[self.depth[probe] - 1]))
             probe = self.fail[probe]
-        last_at[-1] = token
-        key = (to, tuple([last_at[place - 1] for place in self._places(to)]))
+        return to, ends, [index[place - 1] for place in self._places(to)[:-1]]
+
+    def _arc(self, state: int, byte: int) -> int:
+        node, lasts = self.states[state]
+        if (plan := self.plans.get(node << 8 | byte)) is None:
+            if len(self.plans) >= MAX_ARCS:
+                self.plans.clear()
+            plan = self.plans[node << 8 | byte] = self._plan(node, byte)
+        to, ends, stay = plan
+        pairs = self.pairs
+        for token, at in ends:
+            follows = pairs.get(lasts[at] << 20 | token)
+            if follows or (follows is None and self._follows(lasts[at], token)):
+                break
+        key = (to, *[lasts[i] for i in stay], token)
         if (number := self.numbers.get(key)) is None:
             self.numbers[key] = number = len(self.states)
-            self.states.append(key)
+            self.states.append((to, key[1:]))
         self.arcs[state << 8 | byte] = arc = number << 24 | token
         return arc
 
@@ -314,13 +331,17 @@ def _coded(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, decoder = coder(path, pattern)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some, rows = batch.slice(at, 500), []
-                for text in some.column(1):
-                    packets = pieces.of(text.as_py())
-                    rows.append(row(" ".join(packets), decoder.text(packets)))
-                yield pa.RecordBatch.from_arrays([some.column(0), *map(pa.array, zip(*rows, strict=True))], names)
+        gc.disable()  # the large tables hold no cycles, and going through them again and again is slow
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 500):
+                    some, rows = batch.slice(at, 500), []
+                    for text in some.column(1):
+                        packets = pieces.of(text.as_py())
+                        rows.append(row(" ".join(packets), decoder.text(packets)))
+                    yield pa.RecordBatch.from_arrays([some.column(0), *map(pa.array, zip(*rows, strict=True))], names)
+        finally:
+            gc.enable()
 
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return chosen.mapInArrow(run, f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, {schema}")
