@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanframe.llm import fingerprint as fp
 from gleanframe.llm.base import documents
+from gleanframe.llm.jaccard import jaccard_components
 from gleanframe.llm.lines import drop_repeated_lines
 from gleanframe.llm.registry import query
 
@@ -46,3 +47,23 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         fp.resemblance(own, edited).alias("near_edited"),
         fp.resemblance(own, after).alias("near_next"),
     )
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS reach FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.reach = e.a)
+SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
+
+@query("op7_ngram_jaccard", JACCARD_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
