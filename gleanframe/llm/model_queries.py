@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanframe.llm import toxicity
+from gleanframe.llm import pii, toxicity
 from gleanframe.llm.base import documents
 from gleanframe.llm.registry import query
 
@@ -18,3 +18,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"), model.score(F.col("text")).alias("score")
     )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op8_pii")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.find_pii(docs, pii.fit(docs))
