@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from gleanframe.llm import fingerprint as fp
 from gleanframe.llm.base import documents
 from gleanframe.llm.jaccard import jaccard_components
 from gleanframe.llm.lines import drop_repeated_lines
+from gleanframe.llm.packing import pack
 from gleanframe.llm.registry import query
 
 LINES_SQL = r"""
@@ -67,3 +69,15 @@ SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach) AS componen
 @query("op7_ngram_jaccard", JACCARD_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
+
+
+TOKENIZER = (
+    public_tokenizers.path("byte_bpe_50k.json"),
+    public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    public_tokenizers.PATTERN,
+)
+
+
+@query("op5_best_fit_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), *TOKENIZER)
