@@ -12,6 +12,7 @@ from gleanframe.llm.jaccard import jaccard_components
 from gleanframe.llm.lines import drop_repeated_lines
 from gleanframe.llm.packing import pack
 from gleanframe.llm.registry import query
+from gleanframe.llm.suffixes import remove_repeats
 
 LINES_SQL = r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
@@ -81,3 +82,15 @@ TOKENIZER = (
 @query("op5_best_fit_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), *TOKENIZER)
+
+
+@query("op1_suffix_array_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"])
+    return remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
