@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gleanframe.llm.base import lower_ascii, stored
+from gleanframe.llm.base import let, lower_ascii, stored
 from gleanframe.llm.components import components
 from gleanframe.llm.fingerprint import shingle_hashes
 
@@ -35,12 +35,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PERCENT = 80
 WORDS = 5
-BITS = 2048
+#: Bits of a bitmap for sets of up to as many shingles; larger sets have a power of two times it.
+BITS = 1024
 #: The sample that tells frequent shingles, and how many of its texts must share one.
 SAMPLE, FREQUENT = 5000, 8
 #: Members of a meeting that one task compares at once.
 BLOCK = 4000
 LEAF = 8
+#: Meetings of up to so many members are compared as leaves, many meetings at once.
+SMALL = 32
 
 
 def shingle_set(text: Column, n: int = WORDS) -> Column:
@@ -52,22 +55,40 @@ def prefix_length(n: int, percent: int) -> int:
     return n + percent * -n // 100 + 1
 
 
+def level_of(n: int) -> int:
+    """The number of doublings of ``BITS`` until there is a bit for each shingle."""
+    return max(0, (max(n, 1) - 1).bit_length() - (BITS - 1).bit_length())
+
+
 def bitmap(hashes: np.ndarray) -> np.ndarray:
-    out = np.zeros(BITS // 64, np.uint64)
-    at = hashes.view(np.uint64) % BITS
-    np.bitwise_or.at(out, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    """Bits at the hashes' low digits; half as many bits are the OR of both halves."""
+    bits = np.zeros(BITS << level_of(len(hashes)), np.uint8)
+    bits[hashes.view(np.uint64) & np.uint64(len(bits) - 1)] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def folded(bits: list[bytes], level: int) -> np.ndarray:
+    """Bitmaps of one level from bitmaps of that or the next level, as a matrix of words."""
+    words = (BITS << level) // 64
+    out = np.zeros((len(bits), words), np.uint64)
+    for row, value in enumerate(bits):
+        part = np.frombuffer(value, np.uint64)
+        out[row] = part if len(part) == words else np.bitwise_or.reduce(part.reshape(-1, words))
     return out
 
 
+def single(sizes: np.ndarray, bits: np.ndarray, labels: np.ndarray) -> tuple:
+    """Texts as nodes: smallest and largest size, OR of bitmaps, largest size beyond the bitmap, extreme labels."""
+    return sizes, sizes, bits, sizes - np.bitwise_count(bits).sum(1).astype(np.int64), labels, labels
+
+
 class SignatureTree:
     """Nodes over texts sorted by size: arrays for each level, leaves of ``LEAF`` texts first."""
 
     def __init__(self, sizes: np.ndarray, bits: np.ndarray, labels: np.ndarray):
         self.order = np.lexsort((bits[:, 0], sizes))
         sizes, bits, labels = sizes[self.order], bits[self.order], labels[self.order]
-        slack = sizes - np.bitwise_count(bits).sum(1).astype(np.int64)
-        #: smallest and largest size, OR of bitmaps, largest size beyond the bitmap, smallest and largest label
-        level = (sizes, sizes, bits, slack, labels, labels)
+        level = single(sizes, bits, labels)
         self.levels = [level]
         while len(level[0]) > 1:
             starts = np.arange(0, len(level[0]), LEAF)
@@ -185,32 +206,94 @@ def meetings(described: DataFrame, reps: DataFrame) -> DataFrame:
     return stored(rows.join(kept.select("token", "members"), "token"), "meetings")
 
 
+def mixed(met: DataFrame, known: DataFrame) -> DataFrame:
+    """The members, with what is ``known`` of them, of meetings that hold more than one component."""
+    named = met.join(known.select("rep", "label"), "rep")
+    several = named.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("token")
+    return named.join(several, "token", "left_semi").drop("label").join(known, "rep")
+
+
 def tree_pairs(rows: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Distinct pairs (a, b) that the trees leave of ``rows`` (token, rep, members, n, bits, label)."""
+    """Distinct pairs (a, b) that the trees leave of ``rows`` (token, rep, members, n, bits, label).
+
+    Texts meet by token, by bitmap size and, where many meet, by pairs of blocks. A text whose
+    size is just above a bitmap size also meets those just below.
+    """
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / BITS))).cast("int")
+    also = F.array_compact(F.array(F.when((level > 0) & (F.col("n") * percent <= 100 * F.lit(BITS) * F.pow(2.0, level - 1)), level - 1)))
     blocks = F.ceil(F.col("members") / block).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    partner = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-    placed = rows.withColumn("own", own).select("*", partner)
+    placed = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    placed = placed.withColumn("level", F.explode(F.concat(F.array(level), also)))
+    keys = ["level", "token", "low", "high"]
     placed = placed.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_rows = placed.select(*keys, "own", "rep", "n", "label", "bits").repartition(parts, *keys).sortWithinPartitions(*keys)
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        def tree(part: pd.DataFrame) -> SignatureTree:
-            bits = np.frombuffer(b"".join(part.bits), np.uint64).reshape(len(part), -1)
-            return SignatureTree(part.n.to_numpy(), bits, part.label.to_numpy())
-
-        low, high = int(pdf.low.iloc[0]), int(pdf.high.iloc[0])
-        left = pdf[pdf.own == low]
-        right = left if low == high else pdf[pdf.own == high]
-        out = pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        if len(left) and len(right):
-            one = tree(left)
-            x, y = dual_traversal(one, one if low == high else tree(right), percent)
-            p, q = left.rep.to_numpy()[x], right.rep.to_numpy()[y]
-            out = pd.DataFrame({"a": np.minimum(p, q), "b": np.maximum(p, q)})
-        return out
-
-    pairs = placed.groupBy("token", "low", "high").applyInPandas(compare, "a long, b long")
-    return pairs.distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            last = 0
+            marks = np.stack([held[k].to_numpy() for k in keys])
+            if len(starts := np.flatnonzero((np.diff(marks) != 0).any(0))):
+                last = int(starts[-1]) + 1  # the last meeting may go on
+            if last:
+                yield from compared(held.slice(0, last))
+                held = held.slice(last)
+        if held is not None and held.num_rows:
+            yield from compared(held)
+
+    def compared(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        levels = table["level"].to_numpy()
+        for value in np.unique(levels).tolist():
+            first, end = np.searchsorted(levels, [value, value + 1])
+            for at in meeting_slices(table.slice(first, end - first)):
+                part = table.slice(first + at.start, at.stop - at.start)
+                pairs = compare(part, value)
+                if len(pairs):
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    def meeting_slices(table: pa.Table) -> Iterator[slice]:
+        """Whole meetings, some thousand rows at a time."""
+        marks = np.stack([table[k].to_numpy() for k in keys])
+        cuts = np.concatenate([[0], np.flatnonzero((np.diff(marks) != 0).any(0)) + 1, [table.num_rows]])
+        begin = 0
+        for k in range(1, len(cuts)):
+            if cuts[k] - cuts[begin] >= BLOCK or k == len(cuts) - 1:
+                yield slice(int(cuts[begin]), int(cuts[k]))
+                begin = k
+
+    def compare(table: pa.Table, value: int) -> np.ndarray:
+        nodes = single(table["n"].to_numpy(), folded(table["bits"].to_pylist(), value), table["label"].to_numpy())
+        rep, own, low, high = (table[c].to_numpy() for c in ("rep", "own", "low", "high"))
+        marks = np.stack([table[k].to_numpy() for k in keys])
+        cuts = np.concatenate([[0], np.flatnonzero((np.diff(marks) != 0).any(0)) + 1, [table.num_rows]])
+        sizes, found = np.diff(cuts), []
+        small = (sizes <= SMALL) & (low[cuts[:-1]] == high[cuts[:-1]])
+        for size in np.unique(sizes[small]).tolist():
+            i, j = np.triu_indices(size, 1)
+            starts = cuts[:-1][small & (sizes == size)]
+            x, y = (starts[:, None] + i).ravel(), (starts[:, None] + j).ravel()
+            for at in range(0, len(x), 65536):
+                some = slice(at, at + 65536)
+                keep = _may_link(nodes, nodes, x[some], y[some], percent)
+                found.append((rep[x[some][keep]], rep[y[some][keep]]))
+        for start, size in zip(cuts[:-1][~small].tolist(), sizes[~small].tolist(), strict=True):
+            at = np.arange(start, start + size)
+            left, right = at[own[at] == low[start]], at[own[at] == high[start]]
+            if len(left) and len(right):
+                one = SignatureTree(nodes[0][left], nodes[2][left], nodes[4][left])
+                two = one if low[start] == high[start] else SignatureTree(nodes[0][right], nodes[2][right], nodes[4][right])
+                x, y = dual_traversal(one, two, percent)
+                found.append((rep[left[x]], rep[right[y]]))
+        if not found:
+            return np.zeros((0, 2), np.int64)
+        a, b = (np.concatenate(side) for side in zip(*found, strict=True))
+        return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+
+    return sorted_rows.mapInArrow(run, "a long, b long").distinct()
 
 
 def bitmaps_allow(percent: int):
@@ -218,25 +301,29 @@ def bitmaps_allow(percent: int):
 
     @F.pandas_udf("boolean")
     def allow(na: pd.Series, bits_a: pd.Series, nb: pd.Series, bits_b: pd.Series) -> pd.Series:
-        trees = []
-        for n, bits in ((na, bits_a), (nb, bits_b)):
-            n, bits = n.to_numpy(np.int64), np.frombuffer(b"".join(bits), np.uint64).reshape(len(n), -1)
-            slack = n - np.bitwise_count(bits).sum(1).astype(np.int64)
-            trees.append((n, n, bits, slack, np.arange(len(n)), np.arange(len(n))))
-        at = np.arange(len(na))
-        trees[1] = (*trees[1][:4], at + len(at), at + len(at))
-        return pd.Series(_may_link(*trees, at, at, percent))
+        na, nb = na.to_numpy(np.int64), nb.to_numpy(np.int64)
+        levels = np.array([level_of(n) for n in np.minimum(na, nb).tolist()])
+        out = (100 * na >= percent * nb) & (100 * nb >= percent * na)
+        for value in np.unique(levels[out]).tolist():
+            at = np.flatnonzero(out & (levels == value))
+            here = np.arange(len(at))
+            a = single(na[at], folded(bits_a.iloc[at].tolist(), value), here)
+            b = single(nb[at], folded(bits_b.iloc[at].tolist(), value), here + len(at))
+            out[at] = _may_link(a, b, here, here, percent)
+        return pd.Series(out)
 
     return allow
 
 
 def sets_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """Stored (rep, s): the sets of the ``wanted`` (i, rep, key), made again from the texts."""
+    """Stored (rep, s): the sets of the ``wanted`` (i, rep, key), made again from the texts.
+
+    Rows may share an id: the key tells which is meant, the others have no set.
+    """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("i"))).select("rep", "key", shingle_set(F.col("text")).alias("s"))
-    # rows may share an id: the key tells which is meant, and one row of each is enough
-    found = found.where(F.xxhash64("s") == F.col("key")).groupBy("rep").agg(F.first("s").alias("s"))
-    return stored(found, "pair-sets")
+    met = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("i")))
+    meant = let(shingle_set(F.col("text")), lambda s: F.when(F.xxhash64(s) == F.col("key"), s))
+    return stored(met.select("rep", meant.alias("s")), "pair-sets")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -245,7 +332,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("rep").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     joined = pairs.join(left, "a").join(right, "b")
-    return joined.where(both * (100 + percent) >= (F.size("sa") + F.size("sb")) * percent).select("a", "b")
+    return joined.where(both * (100 + percent) >= (F.size("sa") + F.size("sb")) * percent).select("a", "b").distinct()
 
 
 def jaccard_components(
@@ -276,7 +363,7 @@ def jaccard_components(
     star = stored(star.select("a", "b"), "star-pairs")
     tentative = components(star).withColumnRenamed("id", "rep")
     known = stored(facts.join(tentative, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "labelled")
-    others = stored(tree_pairs(met.join(known, "rep"), percent, block), "tree-pairs")
+    others = stored(tree_pairs(mixed(met, known), percent, block), "tree-pairs")
 
     # the sets of all texts that any pair needs, from the texts themselves
     pairs = star.unionByName(others)
@@ -291,7 +378,7 @@ def jaccard_components(
     again = known.join(broken, "label", "left_semi").drop("label")
     true_labels = components(links).withColumnRenamed("id", "rep")
     again = again.join(true_labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    rest = linked(tree_pairs(met.join(again, "rep"), percent, block), sets, percent)
+    rest = linked(tree_pairs(mixed(met, again), percent, block), sets, percent)
     labels = components(links.unionByName(rest)).withColumnRenamed("id", "rep")
 
     named = members.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
