@@ -30,7 +30,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CAPACITY = 2048
 END_ID = 0
 #: Rounds at most, what part of a length's demand a round may cover, and how fast prices fall.
-ROUNDS, PART, FALL = 600, 3, 0.6
+ROUNDS, PART, FALL = 600, 3, 0.2
+#: First prices are lengths to this power: above 1, so that long pieces are not left without short ones.
+STEEP = 1.2
 _BIG = 1 << 40
 
 
@@ -65,7 +67,7 @@ def solve(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> lis
         open_ = covered < 1 - 1e-9
         if not open_.any():
             break
-        values = lengths / capacity * np.exp(-FALL * covered)
+        values = (lengths / capacity) ** STEEP * np.exp(-FALL * covered)
         config = price(lengths[open_], values[open_], capacity)
         at = np.searchsorted(lengths, list(config))
         need = np.array(list(config.values()), float)
