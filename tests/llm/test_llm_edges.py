@@ -174,7 +174,7 @@ def test_tagger_learns_and_windows_reconcile(spark):
         return f"{pad()} {spot} {pad()}"
     sample = [text() for _ in range(300)]
     cut = [(t[s : s + pii.WINDOW], pii.tags_of(s, pii.rule_spans(t))) for t in sample for s in pii.windows(t)]
-    weights = pii.train([w for w, _ in cut], [t for _, t in cut], epochs=12)
+    weights = pii.train([w for w, _ in cut], [t for _, t in cut], epochs=24)
     hits = wanted = 0
     for t in (text() for _ in range(100)):
         starts = pii.windows(t)
