@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanframe.functions.text import blank_to_null
-from gleanframe.operators.ordered import MAX_GROUP_ROWS, GroupSizes, OrderedRows, running_count
+from gleanframe.operators.ordered import OrderedRows, running_count
 
 
 def _order(order: list[str]) -> Column:
@@ -78,20 +78,16 @@ def mark_known(
     order: list[str],
     run: str = "run_id",
     key: str = "property_id",
-    max_group_rows: int = MAX_GROUP_ROWS,
-    sizes: GroupSizes | None = None,
+    chunks: int | None = None,
 ) -> DataFrame:
-    """Add ``is_known``: the id was exported before, or came earlier in the same run.
-
-    ``sizes`` bounds the rows per run, or per run and id.
-    """
+    """Add ``is_known``: the id was exported before, or came earlier in the same run."""
     flagged = records.join(
         known.select(F.col(key).alias("_known")).distinct(), blank_to_null(key) == F.col("_known"), "left"
     )
     # records without id are never repeats: give each its own group
     alone = F.when(blank_to_null(key).isNull(), F.concat_ws("/", *order))
     seen = OrderedRows.of(
-        flagged.withColumn("_alone", alone), [run, key, "_alone"], order, max_group_rows=max_group_rows, sizes=sizes
+        flagged.withColumn("_alone", alone), [run, key, "_alone"], order, chunks=chunks
     ).running(_nth=running_count())
     is_known = F.col("_known").isNotNull() | ((F.col("_nth") > 1) & F.col("_alone").isNull())
     return seen.df.withColumn("is_known", is_known).drop("_known", "_nth", "_alone")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanframe.functions.net import is_retryable
 from gleanframe.operators.dedup import new_records
-from gleanframe.operators.ordered import MAX_GROUP_ROWS, OrderedRows, running_sum
+from gleanframe.operators.ordered import OrderedRows, running_sum
 
 MAX_RETRY_ATTEMPTS = 5
 
@@ -20,7 +20,7 @@ def with_timeouts(log: DataFrame, limit_secs: float) -> DataFrame:
 
 
 def ledger_changes(
-    log: DataFrame, url: str = "url", order: list[str] = ["ts", "seq"], max_group_rows: int = MAX_GROUP_ROWS
+    log: DataFrame, url: str = "url", order: list[str] = ["ts", "seq"], chunks: int | None = None
 ) -> DataFrame:
     """What a stretch of the log does to each URL's ledger entry.
 
@@ -37,7 +37,7 @@ def ledger_changes(
         log.filter(F.col("error").isNotNull() | retry)  # a success in the crawl changes nothing
         .select(url, *order, "error", effect.alias("_effect"))
     )
-    scanned = OrderedRows.of(acts, [url], order, descending=True, max_group_rows=max_group_rows).running(
+    scanned = OrderedRows.of(acts, [url], order, descending=True, chunks=chunks).running(
         _removals=running_sum(F.when(F.col("_effect") == "remove", 1).otherwise(0)),
         _raised=running_sum(F.when(F.col("_effect") == "raise", 1).otherwise(0)),
     )
@@ -54,10 +54,10 @@ def ledger_changes(
 
 
 def failure_ledger(
-    log: DataFrame, url: str = "url", order: list[str] = ["ts", "seq"], max_group_rows: int = MAX_GROUP_ROWS
+    log: DataFrame, url: str = "url", order: list[str] = ["ts", "seq"], chunks: int | None = None
 ) -> DataFrame:
     """Ledger after the whole log: ``url, error, attempts`` and last failure time."""
-    changes = ledger_changes(log, url, order, max_group_rows).filter("opened > 0")
+    changes = ledger_changes(log, url, order, chunks).filter("opened > 0")
     return changes.select(url, "error", (F.col("opened") + F.col("raised")).alias("attempts"), order[0])
 
 

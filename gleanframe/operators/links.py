@@ -42,11 +42,13 @@ def _cut_and_count(rows: DataFrame) -> tuple[DataFrame, int]:
 def page_walk(starts: DataFrame, nexts: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Follow next links from each crawl's start page: ``crawl_id, page_no, url``.
 
-    ``starts(crawl_id, url)``, ``nexts(url, next_url)`` with one row per fetched
-    page. Steps are doubled each round, so depth d takes about log2(d) rounds of
+    ``starts(crawl_id, url)``, ``nexts(url, next_url)`` of the fetched pages; of a
+    page's repeated rows the smallest next link counts. Steps are doubled each round, so depth d takes about log2(d) rounds of
     joins on the url. Stops at a page without next link, at a page not fetched,
     after ``max_pages``, and at a page already visited.
     """
+    starts = starts.distinct()
+    nexts = nexts.groupBy("url").agg(F.min("next_url").alias("next_url"))
     fetched = nexts.select("url")
     reached, size = _cut_and_count(
         starts.join(fetched, "url", "left_semi").select("crawl_id", F.lit(1).cast("long").alias("page_no"), "url")
@@ -78,17 +80,28 @@ def page_walk(starts: DataFrame, nexts: DataFrame, max_pages: int | None = None)
     return reached.select("crawl_id", "page_no", "url")
 
 
-def walk_summary(walk: DataFrame, nexts: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+def walk_summary(
+    walk: DataFrame, nexts: DataFrame, edges: DataFrame | None = None, starts: DataFrame | None = None
+) -> DataFrame:
     """Pages visited per crawl and whether it ended at a page without next link.
 
-    With ``edges(listing_url, ...)`` also how many links the visited pages gave.
+    With ``edges(listing_url, ...)`` also how many links the visited pages gave. With
+    ``starts(crawl_id, ...)`` crawls whose start page was not fetched are told too: no
+    pages, and not exhausted.
     """
+    nexts = nexts.groupBy("url").agg(F.min("next_url").alias("next_url"))
     ends = walk.groupBy("crawl_id").agg(
         F.max("page_no").alias("pages"), F.max_by("url", "page_no").alias("url")
     )
     summary = ends.join(nexts, "url", "left").select(
         "crawl_id", "pages", F.col("next_url").isNull().alias("pages_exhausted")
     )
+    if starts is not None:
+        summary = starts.select("crawl_id").distinct().join(summary, "crawl_id", "left").select(
+            "crawl_id",
+            F.coalesce("pages", F.lit(0).cast("long")).alias("pages"),
+            F.coalesce("pages_exhausted", F.lit(False)).alias("pages_exhausted"),
+        )
     if edges is None:
         return summary
     per_page = edges.groupBy(F.col("listing_url").alias("url")).agg(F.count(F.lit(1)).alias("links"))
@@ -98,10 +111,20 @@ def walk_summary(walk: DataFrame, nexts: DataFrame, edges: DataFrame | None = No
     ).drop("links")
 
 
-def crawl_funnel(edges: DataFrame, known: DataFrame) -> DataFrame:
-    """Links discovered, distinct, already known and new; ``known(detail_url)``."""
-    distinct = edges.groupBy("detail_url").agg(F.count(F.lit(1)).alias("hits"))
-    marked = distinct.join(known.distinct().withColumn("is_known", F.lit(True)), "detail_url", "left")
+def crawl_funnel(edges: DataFrame, known: DataFrame | None = None, earlier: Column | None = None) -> DataFrame:
+    """Links discovered, distinct, already known and new.
+
+    Known links come as ``known(detail_url)``, or are rows of ``edges`` that ``earlier``
+    marks; these are read together with the others and are not discoveries.
+    """
+    if earlier is not None:
+        counted = edges.groupBy("detail_url").agg(
+            F.count_if(~earlier).alias("hits"), F.when(F.bool_or(earlier), True).alias("is_known")
+        )
+        marked = counted.filter("hits > 0")
+    else:
+        distinct = edges.groupBy("detail_url").agg(F.count(F.lit(1)).alias("hits"))
+        marked = distinct.join(known.distinct().withColumn("is_known", F.lit(True)), "detail_url", "left")
     n_known = F.count("is_known")
     return marked.agg(
         F.coalesce(F.sum("hits"), F.lit(0)).alias("discovered"),

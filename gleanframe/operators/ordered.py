@@ -1,13 +1,9 @@
 """Running values in row order per key, safe when one key holds most rows.
 
-A window partitioned by the key puts each key into one task. That is right
-while groups are small, and wrong when one crawl, host or URL holds a third of
-the table. ``OrderedRows`` counts rows per key first (pre-aggregated, key
-columns only). Small groups get a plain window. Otherwise the rows are range
-partitioned by (key, order), so that a big group is cut into chunks; each chunk
-is scanned on its own and gets what its predecessors add up to from a carry
-table. Each cut lies inside at most one key, so the carry table has fewer rows
-than there are chunks and can always be broadcast.
+A window partitioned by the key would put each key into one task. ``OrderedRows``
+range partitions the rows by (key, order), so that a big group is cut into chunks;
+each chunk is scanned on its own and gets what its predecessors add up to from a
+carry table with a row for each key and chunk.
 """
 
 from __future__ import annotations
@@ -20,28 +16,9 @@ from pyspark.sql import functions as F
 
 from gleanframe.session import cut_lineage
 
-MAX_GROUP_ROWS = 4_000_000
 _CHUNK = "_chunk"
 
 
-@dataclass(frozen=True)
-class GroupSizes:
-    """Rows of the largest group, and of all groups.
-
-    Measured once on a base table it also bounds what filters, joins on unique
-    keys and longer keys make of it, so that a chain of steps counts only once.
-    """
-
-    largest: int
-    total: int
-
-    @classmethod
-    def of(cls, df: DataFrame, keys: list[str]) -> "GroupSizes":
-        counts = df.groupBy(*keys).count()
-        top = counts.agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
-        return cls(top.largest or 0, top.total or 0)
-
-
 @dataclass(frozen=True)
 class Running:
     """One running value: ``kind`` is sum, count, max, min or last (last non-null)."""
@@ -95,9 +72,8 @@ def running_last(value: Column) -> Running:
 class OrderedRows:
     """Rows with keys and a total order; ``running`` adds columns, ``df`` ends it."""
 
-    def __init__(self, df: DataFrame, keys: list[str], order: list[str], descending: bool, chunked: bool):
-        self._df, self._keys, self._order = df, keys, order
-        self._descending, self._chunked = descending, chunked
+    def __init__(self, df: DataFrame, keys: list[str], order: list[str], descending: bool):
+        self._df, self._keys, self._order, self._descending = df, keys, order, descending
 
     @classmethod
     def of(
@@ -106,23 +82,18 @@ class OrderedRows:
         keys: list[str],
         order: list[str],
         descending: bool = False,
-        max_group_rows: int = MAX_GROUP_ROWS,
-        sizes: GroupSizes | None = None,
+        chunks: int | None = None,
     ) -> "OrderedRows":
         """``order`` must tell all rows of a key apart; its last column usually is a row id.
 
-        ``sizes`` is an upper bound measured before; groups are counted without
-        one, or when it does not rule out a big group.
+        ``chunks`` is how many parts the rows are cut into, as many as shuffle
+        partitions if not given.
         """
-        if sizes is None or sizes.largest > max_group_rows:
-            sizes = GroupSizes.of(df, keys)
-        if sizes.largest <= max_group_rows:
-            return cls(df, keys, order, descending, chunked=False)
-        chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) + sizes.total // max_group_rows
+        chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         sort = [F.col(name) for name in keys] + cls._sort(order, descending)
         cut = df.repartitionByRange(chunks, *sort).withColumn(_CHUNK, F.spark_partition_id())
         # written down, so that a lost executor cannot move the chunk borders
-        return cls(cut_lineage(cut), keys, order, descending, chunked=True)
+        return cls(cut_lineage(cut), keys, order, descending)
 
     @staticmethod
     def _sort(order: list[str], descending: bool) -> list[Column]:
@@ -135,14 +106,13 @@ class OrderedRows:
     def running(self, exclusive: bool = False, **values: Running) -> "OrderedRows":
         """Add running columns; ``exclusive`` leaves out the row itself."""
         last_row = -1 if exclusive else Window.currentRow
-        scope = [*self._keys, _CHUNK] if self._chunked else self._keys
         window = (
-            Window.partitionBy(*scope)
+            Window.partitionBy(*self._keys, _CHUNK)
             .orderBy(*self._sort(self._order, self._descending))
             .rowsBetween(Window.unboundedPreceding, last_row)
         )
         local = self._df.withColumns({name: value.windowed(window) for name, value in values.items()})
-        return self._with(self._carry_over(local, values) if self._chunked else local)
+        return self._with(self._carry_over(local, values))
 
     def previous(self, **columns: Column) -> "OrderedRows":
         """Add the value each column had one row earlier (null on the first row)."""
@@ -154,7 +124,7 @@ class OrderedRows:
         return self._with(self._df.withColumns(columns))
 
     def _with(self, df: DataFrame) -> "OrderedRows":
-        return OrderedRows(df, self._keys, self._order, self._descending, self._chunked)
+        return OrderedRows(df, self._keys, self._order, self._descending)
 
     def _carry_over(self, local: DataFrame, values: dict[str, Running]) -> DataFrame:
         order = F.struct(*self._order)
@@ -175,7 +145,7 @@ class OrderedRows:
         )
         same = [F.col(key).eqNullSafe(F.col(f"_k_{key}")) for key in self._keys]
         on = reduce(Column.__and__, same, F.col(_CHUNK) == F.col("_k_chunk"))
-        joined = local.join(F.broadcast(carry), on, "left")
+        joined = local.join(carry, on, "left")
         merged = joined.withColumns(
             {name: value.combined(F.col(f"_c_{name}"), F.col(name)) for name, value in values.items()}
         )

@@ -47,5 +47,9 @@ def field_null_rates(rows: DataFrame, fields: list[str]) -> DataFrame:
 
 def extraction_drift(now: DataFrame, before: DataFrame) -> DataFrame:
     """Rows only in one of two extraction results, with the side they are on."""
-    gone = before.exceptAll(now).withColumn("side", F.lit("before"))
-    return now.exceptAll(before).withColumn("side", F.lit("now")).unionByName(gone)
+    both = now.withColumn("_n", F.lit(1)).unionByName(before.withColumn("_n", F.lit(-1)))
+    # rows that both have cancel out; what is left over comes as often as it is left
+    left = both.groupBy(*now.columns).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_n")))
+    side = F.when(F.col("_n") > 0, "now").otherwise("before").alias("side")
+    return left.select(*now.columns, side, each.alias("_copy")).drop("_copy")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from gleanframe.functions.net import RATE_LIMIT_STATUS, backoff_delay, parse_retry_after
 from gleanframe.operators.ordered import (
-    MAX_GROUP_ROWS,
     OrderedRows,
     running_count,
     running_last,
@@ -26,7 +25,7 @@ def politeness_schedule(
     host: str = "host",
     time: str = "t",
     order: list[str] = ["t", "seq"],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Earliest send time per request under a token bucket (full at first, in order).
 
@@ -37,7 +36,7 @@ def politeness_schedule(
     """
     period = 1.0 / rate
     burst = burst or max(1, int(rate))
-    numbered = OrderedRows.of(log, [host], order, max_group_rows=max_group_rows).running(_n=running_count())
+    numbered = OrderedRows.of(log, [host], order, chunks=chunks).running(_n=running_count())
     lead = F.col(time) - (F.col("_n") - 1) * period
     led = numbered.running(exclusive=True, _led=running_max(lead)).df
     # when the bucket was due again after the request before, and after this one
@@ -52,10 +51,10 @@ def politeness_schedule(
 
 
 def _circuit(
-    log: DataFrame, threshold: int, recovery_secs: float, host: str, time: str, order: list[str], max_group_rows: int
+    log: DataFrame, threshold: int, recovery_secs: float, host: str, time: str, order: list[str], chunks: int | None
 ) -> OrderedRows:
     failed = F.col("failed")
-    counted = OrderedRows.of(log, [host], order, max_group_rows=max_group_rows).running(
+    counted = OrderedRows.of(log, [host], order, chunks=chunks).running(
         exclusive=True,
         _fails=running_sum(failed.cast("long")),
         _last_fail=running_last(F.when(failed, F.col(time))),
@@ -77,10 +76,10 @@ def circuit_state(
     host: str = "host",
     time: str = "t",
     order: list[str] = ["t", "seq"],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Breaker state each logged request met; ``failed`` tells its own outcome."""
-    rows = _circuit(log, threshold, recovery_secs, host, time, order, max_group_rows)
+    rows = _circuit(log, threshold, recovery_secs, host, time, order, chunks)
     return rows.df.drop("_fails", "_last_fail", "_at_success")
 
 
@@ -91,7 +90,7 @@ def outage_intervals(
     host: str = "host",
     time: str = "t",
     order: list[str] = ["t", "seq"],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """When the breaker opened, the success that closed it (null while open), failures.
 
@@ -99,7 +98,7 @@ def outage_intervals(
     successes before them, which makes that number the interval's key.
     """
     failed = F.col("failed")
-    rows = _circuit(log, threshold, recovery_secs, host, time, order, max_group_rows).running(
+    rows = _circuit(log, threshold, recovery_secs, host, time, order, chunks).running(
         exclusive=True, _successes=running_sum((~failed).cast("long"))
     )
     tripped = failed & (F.col("failures_in_row") + 1 >= threshold)
@@ -130,7 +129,7 @@ def delay_multiplier(
     host: str = "host",
     outcome: str = "outcome",
     order: list[str] = ["t", "seq"],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Delay multiplier per host after its log: doubled (to 20) when rate limited,
     times 0.9 (down to 1) on success, kept on other errors; starts at 1.
@@ -139,7 +138,7 @@ def delay_multiplier(
     requests, then slices of slices; no list ever holds more than FOLD_ROWS.
     """
     folded = (
-        OrderedRows.of(log.select(host, *order, outcome), [host], order, max_group_rows=max_group_rows)
+        OrderedRows.of(log.select(host, *order, outcome), [host], order, chunks=chunks)
         .running(_n=running_count())
         .df.select(host, (F.col("_n") - 1).alias("_n"), _step(F.col(outcome)).alias("effect"))
         .withColumn("requests", F.lit(1).cast("long"))
@@ -170,15 +169,16 @@ def retry_schedule(
     """Delay after each attempt (from 1) and when the attempt may start at the earliest.
 
     Rate-limited answers wait for their Retry-After header, or for
-    ``default_retry_after`` without a readable one; other failures back off. No
-    request has more than ``max_attempts`` rows, so its window is small.
+    ``default_retry_after`` without a readable one; other failures back off. After
+    the last allowed attempt there is no delay; ``allowed`` tells attempts beyond
+    ``max_attempts``, which were made outside the policy.
     """
-    allowed = attempts.filter(F.col(attempt) <= max_attempts)
+    allowed = attempts.withColumn("allowed", F.col(attempt) <= max_attempts)
     limited = F.col("status").isin(*RATE_LIMIT_STATUS)
     header = F.coalesce(parse_retry_after("retry_after", now), F.lit(default_retry_after).cast("double"))
     delay = backoff_delay(F.col(attempt) - 1, F.when(limited, header), base_delay, max_delay, jitter_seed)
     failed = F.col("status") >= 400
-    last = (F.col(attempt) == max_attempts) & ~limited
+    last = (F.col(attempt) > max_attempts) | ((F.col(attempt) == max_attempts) & ~limited)
     earlier = (
         Window.partitionBy(request).orderBy(attempt).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -188,10 +188,10 @@ def retry_schedule(
 
 
 def exhausted_requests(attempts: DataFrame, request: str = "request_id", max_attempts: int = 4) -> DataFrame:
-    """Requests all of whose attempts failed."""
-    tried = attempts.filter(F.col("attempt") <= max_attempts).groupBy(request).agg(
+    """Requests that failed at least ``max_attempts`` times and never succeeded."""
+    tried = attempts.groupBy(request).agg(
         F.count(F.lit(1)).alias("attempts"),
         F.count_if(F.col("status") < 400).alias("_ok"),
         F.max_by("status", "attempt").alias("last_status"),
     )
-    return tried.filter((F.col("attempts") == max_attempts) & (F.col("_ok") == 0)).drop("_ok")
+    return tried.filter((F.col("attempts") >= max_attempts) & (F.col("_ok") == 0)).drop("_ok")

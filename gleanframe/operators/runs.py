@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from gleanframe.functions.text import blank_to_null
 from gleanframe.operators.ordered import (
-    MAX_GROUP_ROWS,
-    GroupSizes,
     OrderedRows,
     running_count,
     running_max,
@@ -19,8 +17,8 @@ EARLY_STOP_AFTER = 24
 BATCH_ROWS = 50
 
 
-def _streaks(marked: DataFrame, order: list[str], run: str, max_group_rows: int, sizes: GroupSizes | None) -> OrderedRows:
-    rows = OrderedRows.of(marked, [run], order, max_group_rows=max_group_rows, sizes=sizes)
+def _streaks(marked: DataFrame, order: list[str], run: str, chunks: int | None) -> OrderedRows:
+    rows = OrderedRows.of(marked, [run], order, chunks=chunks)
     known = F.col("is_known").cast("long")
     counted = rows.running(_known=running_sum(known))
     # known rows so far, less those counted when the last new row came
@@ -30,10 +28,10 @@ def _streaks(marked: DataFrame, order: list[str], run: str, max_group_rows: int,
 
 
 def known_streak(
-    marked: DataFrame, order: list[str], run: str = "run_id", max_group_rows: int = MAX_GROUP_ROWS, sizes: GroupSizes | None = None
+    marked: DataFrame, order: list[str], run: str = "run_id", chunks: int | None = None
 ) -> DataFrame:
     """Add ``streak``: how many known rows in a row end here; ``is_known`` must be set."""
-    return _streaks(marked, order, run, max_group_rows, sizes).df.drop("_known", "_at_reset")
+    return _streaks(marked, order, run, chunks).df.drop("_known", "_at_reset")
 
 
 def early_stop(
@@ -42,20 +40,24 @@ def early_stop(
     threshold: int = EARLY_STOP_AFTER,
     run: str = "run_id",
     mode: Column | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    sizes: GroupSizes | None = None,
+    chunks: int | None = None,
+    hit_name: str | None = None,
 ) -> DataFrame:
     """Rows a daily run examines: up to the first streak of ``threshold``, that row included.
 
-    ``mode`` says ``daily`` or ``resume`` per row; resume runs never stop.
+    ``mode`` says ``daily`` or ``resume`` per row; resume runs never stop. ``hit_name``
+    adds a column that is true on the row that stops the run.
     """
     hit = F.col("streak") >= threshold
     if mode is not None:
         hit = hit & (mode == "daily")
-    rows = _streaks(marked, order, run, max_group_rows, sizes).running(
+    rows = _streaks(marked, order, run, chunks).running(
         exclusive=True, _hits=running_sum(hit.cast("long"))
     )
-    return rows.df.filter(F.col("_hits") == 0).drop("_known", "_at_reset", "_hits")
+    examined = rows.df.filter(F.col("_hits") == 0)
+    if hit_name is not None:
+        examined = examined.withColumn(hit_name, F.coalesce(hit, F.lit(False)))
+    return examined.drop("_known", "_at_reset", "_hits")
 
 
 def export_batches(
@@ -63,11 +65,10 @@ def export_batches(
     order: list[str],
     batch_rows: int = BATCH_ROWS,
     run: str = "run_id",
-    max_group_rows: int = MAX_GROUP_ROWS,
-    sizes: GroupSizes | None = None,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Number the new rows of a run into batches, from 1; the last may be partial."""
-    counted = OrderedRows.of(new_rows, [run], order, max_group_rows=max_group_rows, sizes=sizes).running(_nth=running_count())
+    counted = OrderedRows.of(new_rows, [run], order, chunks=chunks).running(_nth=running_count())
     return counted.df.withColumn("batch_no", F.floor((F.col("_nth") - 1) / batch_rows) + 1).drop("_nth")
 
 

@@ -84,6 +84,7 @@ _RUN_ID = "CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT)"
 _ITEMS = f"""SELECT {_RUN_ID} AS run_id, o_orderdate, o_orderkey,
   CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE CAST(o_custkey AS STRING) END AS property_id
 FROM orders"""
+ALL_ITEMS = f"SELECT * FROM ({_ITEMS}) AS i"
 RUN_ITEMS = f"SELECT * FROM ({_ITEMS}) AS i WHERE run_id >= {FIRST_RUN}"
 KNOWN_IDS = f"SELECT DISTINCT property_id FROM ({_ITEMS}) AS i WHERE run_id < {FIRST_RUN} AND property_id IS NOT NULL"
 RUN_ORDER = ["o_orderdate", "o_orderkey"]
@@ -166,6 +167,7 @@ _DERIVED = {
     "raw_price": (RAW_PRICE, ("part",)),
     "listing_pieces": (_PIECES, ("raw_price",)),
     "listing_html": (LISTING_HTML, ("listing_pieces",)),
+    "all_items": (ALL_ITEMS, ("orders",)),
     "run_items": (RUN_ITEMS, ("orders",)),
     "known_ids": (KNOWN_IDS, ("orders",)),
     "runs": (RUNS, ("orders",)),

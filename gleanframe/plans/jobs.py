@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from gleanframe.functions.url import canonical_url
 from gleanframe.operators import dedup, ledger as failures, quality, runs
 from gleanframe.operators.extract import normalize_listing, raw_listing
-from gleanframe.operators.ordered import GroupSizes
 from gleanframe.sources.readers import read_exported_csv
 from gleanframe.sources.sinks import Exporter, SnapshotTable, write_csv
 
@@ -45,14 +44,20 @@ def crawl_run(
     try:
         # streaks and stops need ids only; whole rows are fetched once at the end
         items = listings.select(F.lit(run_id).alias("run_id"), "page_id", "property_id")
-        sizes = GroupSizes.of(items, ["run_id"])
-        marked = dedup.mark_known(items, known, PAGE_ORDER, sizes=sizes)
-        examined = runs.early_stop(marked, PAGE_ORDER, mode=F.lit(mode), sizes=sizes) if daily else marked
-        examined = examined.select("page_id", "is_known").persist()
+        marked = dedup.mark_known(items, known, PAGE_ORDER)
+        examined = (
+            runs.early_stop(marked, PAGE_ORDER, mode=F.lit(mode), hit_name="stops")
+            if daily
+            else marked.withColumn("stops", F.lit(False))
+        )
+        examined = examined.select("page_id", "is_known", "stops").persist()
         counts = examined.agg(
-            F.count(F.lit(1)).alias("scraped"), F.count_if("is_known").alias("skipped")
+            F.count(F.lit(1)).alias("scraped"),
+            F.count_if("is_known").alias("skipped"),
+            F.coalesce(F.bool_or("stops"), F.lit(False)).alias("stopped"),
         ).first()
-        stopped = counts.scraped < sizes.total
+        # the stop may come with the very last row and cut nothing
+        stopped = counts.stopped
         new = listings.join(examined.filter(~F.col("is_known")), "page_id", "left_semi")
         taken = exporter.export(new.withColumn("_order", F.col("page_id")), run_id)
         examined.unpersist()
@@ -89,7 +94,10 @@ def retry_run(
     sink = next(iter(exporter.sinks))
     # reads versions and parts that stay as they are, so it may be evaluated later
     summary = failures.retry_summary(before, results, exporter.known(sink, before_tag=tag), max_attempts)
-    exporter.export(won, tag)
+    taken = exporter.export(won, tag)
+    if any(count is None for count in taken.values()):
+        # a sink missed the rows: their URLs stay on the ledger and are tried again
+        results = results.filter("error is not null")
     tried = results.join(waiting.select("url"), "url", "left_semi").select("url", F.col("error").alias("_error"))
     after = before.join(tried.withColumn("_tried", F.lit(True)), "url", "left")
     again = failures.is_retryable("_error")

@@ -143,9 +143,9 @@ def delay_multiplier(spark, sf_dir):
     return rows.select("host", "requests", F.round("multiplier", 6).alias("multiplier"))
 
 
-_SCHEDULE_SQL = f"""{cte('attempts')}, delays AS (SELECT *, CASE WHEN status < 400 THEN 0.0
+_SCHEDULE_SQL = f"""{cte('attempts')}, delays AS (SELECT *, CASE WHEN status < 400 OR attempt > 4 THEN 0.0
   WHEN status IN (429, 503) THEN coalesce({SQL_RETRY_AFTER}, %s least(pow(2.0, attempt - 1), 60.0))
-  WHEN attempt = 4 THEN 0.0 ELSE least(pow(2.0, attempt - 1), 60.0) END AS delay_after FROM attempts WHERE attempt <= 4)
+  WHEN attempt = 4 THEN 0.0 ELSE least(pow(2.0, attempt - 1), 60.0) END AS delay_after FROM attempts)
 SELECT request_id, attempt, delay_after, coalesce(sum(delay_after) OVER (PARTITION BY request_id ORDER BY attempt
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS not_before FROM delays"""
 _SCHEDULE_OUT = ["request_id", "attempt", "delay_after", "not_before"]
@@ -165,7 +165,7 @@ def retry_schedule_backoff(spark, sf_dir):
 @query(
     "exhausted_urls",
     f"""{cte('attempts')} SELECT request_id, count(*) AS attempts, arg_max(status, attempt) AS last_status FROM attempts
-WHERE attempt <= 4 GROUP BY request_id HAVING count(*) = 4 AND count(*) FILTER (WHERE status < 400) = 0""",
+GROUP BY request_id HAVING count(*) >= 4 AND count(*) FILTER (WHERE status < 400) = 0""",
 )
 def exhausted_urls(spark, sf_dir):
     return requestlog.exhausted_requests(derived(spark, sf_dir, "attempts"))

@@ -315,8 +315,7 @@ LEFT JOIN known AS k ON k.detail_url = d.detail_url""",
 def crawl_funnel(spark, sf_dir):
     pages = _articles(spark, sf_dir).select("page_id", url_parts("url").alias("base"), F.col("page.links").alias("hrefs"))
     linked = pages.select("page_id", F.explode(links.page_link_array(F.col("base"), "hrefs")).alias("detail_url"))
-    earlier = linked.filter("page_id % 3 = 0").select("detail_url")
-    return links.crawl_funnel(linked.filter("page_id % 3 <> 0"), earlier)
+    return links.crawl_funnel(linked, earlier=F.col("page_id") % 3 == 0)
 
 
 def _walk_sql(max_pages: int) -> str:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleanframe.operators import dedup, runs
-from gleanframe.operators.ordered import GroupSizes
 from gleanframe.operators.upsert import upsert_merge
 from gleanframe.plans.inputs import MERGE_COLUMNS, RUN_ORDER, cte, derived
 from gleanframe.plans.registry import query
@@ -26,19 +25,16 @@ batched AS (SELECT *, CAST((row_number() OVER (PARTITION BY run_id ORDER BY {_OR
 
 
 def _marked(spark, sf_dir):
-    """Run items marked as known or not, and the rows per run, counted once for all steps."""
-    items = derived(spark, sf_dir, "run_items")
-    sizes = GroupSizes.of(items, ["run_id"])
-    return dedup.mark_known(items, derived(spark, sf_dir, "known_ids"), RUN_ORDER, sizes=sizes), sizes
+    """Run items marked as known or not."""
+    return dedup.mark_known(derived(spark, sf_dir, "run_items"), derived(spark, sf_dir, "known_ids"), RUN_ORDER)
 
 
 def _examined(spark, sf_dir):
-    marked, sizes = _marked(spark, sf_dir)
-    return runs.early_stop(marked, RUN_ORDER, sizes=sizes), sizes
+    return runs.early_stop(_marked(spark, sf_dir), RUN_ORDER)
 
 
-def _batched(examined, sizes):
-    return runs.export_batches(examined.filter(~F.col("is_known")), RUN_ORDER, sizes=sizes)
+def _batched(examined):
+    return runs.export_batches(examined.filter(~F.col("is_known")), RUN_ORDER)
 
 
 # --- dedup --------------------------------------------------------------------------
@@ -72,20 +68,20 @@ def known_records(spark, sf_dir):
 
 @query(
     "dedup_keep_first",
-    f"""{_ITEMS} SELECT {_KEYS} FROM (SELECT *, row_number() OVER (PARTITION BY property_id ORDER BY {_ORDER}) AS n FROM run_items) AS r
+    f"""{cte("all_items")} SELECT {_KEYS} FROM (SELECT *, row_number() OVER (PARTITION BY property_id ORDER BY {_ORDER}) AS n FROM all_items) AS r
 WHERE n = 1""",
 )
 def dedup_keep_first(spark, sf_dir):
-    return dedup.dedup_keep_first(derived(spark, sf_dir, "run_items"), "property_id", RUN_ORDER).select(*_OUT)
+    return dedup.dedup_keep_first(derived(spark, sf_dir, "all_items"), "property_id", RUN_ORDER).select(*_OUT)
 
 
 @query(
     "duplicate_report",
-    f"""{_ITEMS}, g AS (SELECT property_id, count(*) AS n FROM run_items GROUP BY property_id)
+    f"""{cte("all_items")}, g AS (SELECT property_id, count(*) AS n FROM all_items GROUP BY property_id)
 SELECT CAST(sum(n) - count(*) AS BIGINT) AS duplicates, CAST(sum(n) AS BIGINT) AS before, count(*) AS after FROM g""",
 )
 def duplicate_report(spark, sf_dir):
-    return dedup.duplicate_report(derived(spark, sf_dir, "run_items"), "property_id")
+    return dedup.duplicate_report(derived(spark, sf_dir, "all_items"), "property_id")
 
 
 @query(
@@ -148,13 +144,13 @@ def merged(spark, sf_dir):
 
 @query("known_streak", f"{_MARKED_SQL} SELECT {_KEYS}, is_known, streak FROM streaks")
 def known_streak(spark, sf_dir):
-    marked, sizes = _marked(spark, sf_dir)
-    return runs.known_streak(marked, RUN_ORDER, sizes=sizes).select(*_OUT, "is_known", "streak")
+    marked = _marked(spark, sf_dir)
+    return runs.known_streak(marked, RUN_ORDER).select(*_OUT, "is_known", "streak")
 
 
 @query("early_stop", f"{_MARKED_SQL} SELECT {_KEYS}, streak FROM examined")
 def early_stop(spark, sf_dir):
-    return _examined(spark, sf_dir)[0].select(*_OUT, "streak")
+    return _examined(spark, sf_dir).select(*_OUT, "streak")
 
 
 @query(
@@ -164,13 +160,13 @@ UNION ALL SELECT {_KEYS}, streak FROM streaks WHERE run_id % 2 = 1""",
 )
 def early_stop_daily_only(spark, sf_dir):
     mode = F.when(F.col("run_id") % 2 == 0, "daily").otherwise("resume")
-    marked, sizes = _marked(spark, sf_dir)
-    return runs.early_stop(marked, RUN_ORDER, mode=mode, sizes=sizes).select(*_OUT, "streak")
+    marked = _marked(spark, sf_dir)
+    return runs.early_stop(marked, RUN_ORDER, mode=mode).select(*_OUT, "streak")
 
 
 @query("export_batches", f"{_MARKED_SQL} SELECT {_KEYS}, batch_no FROM batched")
 def export_batches(spark, sf_dir):
-    return _batched(*_examined(spark, sf_dir)).select(*_OUT, "batch_no")
+    return _batched(_examined(spark, sf_dir)).select(*_OUT, "batch_no")
 
 
 @query(
@@ -180,7 +176,7 @@ SELECT run_id, property_id AS last_exported_id FROM (SELECT *, row_number() OVER
   FROM ends WHERE n = 1 AND property_id IS NOT NULL) AS e WHERE m = 1""",
 )
 def last_exported(spark, sf_dir):
-    return runs.last_exported(_batched(*_examined(spark, sf_dir)), RUN_ORDER)
+    return runs.last_exported(_batched(_examined(spark, sf_dir)), RUN_ORDER)
 
 
 @query(
@@ -190,8 +186,8 @@ FROM (SELECT run_id, count(*) AS scraped, count(*) FILTER (WHERE is_known) AS sk
 LEFT JOIN (SELECT run_id, count(*) AS exported, max(batch_no) AS batches FROM batched GROUP BY run_id) AS b ON b.run_id = e.run_id""",
 )
 def run_summary(spark, sf_dir):
-    examined, sizes = _examined(spark, sf_dir)
-    return runs.run_summary(examined, _batched(examined, sizes))
+    examined = _examined(spark, sf_dir)
+    return runs.run_summary(examined, _batched(examined))
 
 
 # --- across runs --------------------------------------------------------------------

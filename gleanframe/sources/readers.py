@@ -48,6 +48,9 @@ def stream_pages(spark: SparkSession, path: str, files_per_batch: int = 50) -> D
 def read_failure_ledger(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Ledger from a JSON array file, or from JSON Lines; the last entry of a URL counts.
 
+    The last is that with the latest time; of equal times the one farthest back by file
+    name and place in the file.
+
     An array file is one document and so read by one task; ledgers of any size
     are kept as snapshots or JSON Lines. A missing file is an empty ledger; so is, with a warning, a file that is no
     valid JSON or has an entry without url.
@@ -58,14 +61,15 @@ def read_failure_ledger(spark: SparkSession, path: str, lines: bool = False) ->
         spark,
         lambda: spark.read.schema(with_bad)
         .options(multiLine=not lines, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
-        .json(path),
-        with_bad,
+        .json(path)
+        .select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")),
+        T.StructType([*with_bad.fields, T.StructField("_file", T.StringType()), T.StructField("_block", T.LongType())]),
     )
     rows = rows.withColumn("_at", F.monotonically_increasing_id())
     if not rows.filter("_bad is not null or url is null").isEmpty():
         logger.warning("failure ledger at %s is corrupt, starting with an empty one", path)
         return spark.createDataFrame([], FAILURE_LEDGER)
-    latest = _pick_row(rows, [F.col("url")], ["_at"], latest=True)
+    latest = _pick_row(rows, [F.col("url")], ["timestamp", "_file", "_block", "_at"], latest=True)
     return latest.select("url", "error", "attempts", F.col("timestamp").alias("ts"))
 
 

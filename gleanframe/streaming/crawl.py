@@ -29,8 +29,12 @@ def stream_listings(pages: DataFrame) -> DataFrame:
 
 
 def distinct_listings(listings: DataFrame) -> DataFrame:
-    """First listing of each id within the query; the state never expires, as ids do not."""
-    return listings.dropDuplicates(["property_id"])
+    """First listing of each id within the query; listings without id all pass.
+
+    The state never expires, as ids do not.
+    """
+    named = F.coalesce(F.col("property_id"), F.lit("")) != ""
+    return listings.filter(named).dropDuplicates(["property_id"]).unionByName(listings.filter(~named))
 
 
 def batch_tag(batch_id: int) -> str:
@@ -46,7 +50,11 @@ def start_export(listings: DataFrame, exporter: Exporter, checkpoint: str) -> St
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = first_per_id(batch.withColumn("_order", F.col("page_id")), ["page_id"])
-        exporter.export(rows, batch_tag(batch_id))
+        taken = exporter.export(rows, batch_tag(batch_id))
+        missed = [name for name, count in taken.items() if count is None]
+        if missed:
+            # not committed: the batch comes again, and sinks that took it overwrite the same files
+            raise RuntimeError(f"batch {batch_id} was not taken by {', '.join(missed)}")
 
     return (
         listings.writeStream.foreachBatch(write)

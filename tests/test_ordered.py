@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gleanframe.operators import dedup, ledger, requestlog, runs
 from gleanframe.operators.ordered import OrderedRows, running_count, running_last, running_max, running_sum
 
-WHOLE, CHUNKED = 10**6, 60  # rows per group above which groups are cut
+WHOLE, CHUNKED = 1, 20  # chunks
 
 
 @pytest.fixture(params=[WHOLE, CHUNKED], ids=["plain", "chunked"])
@@ -40,7 +40,7 @@ def test_running_values(numbers, max_rows, descending, exclusive):
     rows, df = numbers
     odd = F.when(F.col("v") % 2 == 1, F.col("v"))  # negative remainders are no hit
     got = (
-        OrderedRows.of(df, ["key"], ["seq"], descending=descending, max_group_rows=max_rows)
+        OrderedRows.of(df, ["key"], ["seq"], descending=descending, chunks=max_rows)
         .running(exclusive=exclusive, n=running_count(), total=running_sum(F.col("v")))
         .running(exclusive=exclusive, top=running_max(F.col("total")), odd=running_last(odd))
         .previous(before=F.col("total"))
@@ -72,16 +72,18 @@ def _by_key(rows):
 
 def test_hot_key_is_cut(numbers):
     _, df = numbers
-    rows = OrderedRows.of(df, ["key"], ["seq"], max_group_rows=CHUNKED)._df
+    rows = OrderedRows.of(df, ["key"], ["seq"], chunks=CHUNKED)._df
     per_chunk = rows.filter("key = 'hot'").groupBy("_chunk").count().collect()
     assert len(per_chunk) > 3 and max(row["count"] for row in per_chunk) < 300
 
 
-def test_carry_is_joined_by_broadcast(numbers):
+def test_no_window_spans_a_whole_key(numbers):
     _, df = numbers
-    scanned = OrderedRows.of(df, ["key"], ["seq"], max_group_rows=CHUNKED).running(n=running_count()).df
+    scanned = OrderedRows.of(df, ["key"], ["seq"], chunks=CHUNKED).running(n=running_count()).df
     plan = scanned._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    local = [line for line in plan.splitlines() if "Window [count" in line]
+    assert local and all("_chunk" in line for line in local)
 
 
 # --- runs ----------------------------------------------------------------------------
@@ -124,13 +126,13 @@ def test_runs_against_loop(spark, max_rows, seed):
     known = [f"p{i}" for i in range(0, 60, 2)]
     items = spark.createDataFrame(rows, "run_id string, seq long, property_id string")
     known_df = spark.createDataFrame([(k,) for k in known], "property_id string")
-    marked = dedup.mark_known(items, known_df, ["seq"], max_group_rows=max_rows)
+    marked = dedup.mark_known(items, known_df, ["seq"], chunks=max_rows)
     streaks, examined, batches = loop_runs(rows, known, 5, 7)
-    got = runs.known_streak(marked, ["seq"], max_group_rows=max_rows).collect()
+    got = runs.known_streak(marked, ["seq"], chunks=max_rows).collect()
     assert {r.seq: (r.is_known, r.streak) for r in got} == streaks
-    cut = runs.early_stop(marked, ["seq"], threshold=5, max_group_rows=max_rows)
+    cut = runs.early_stop(marked, ["seq"], threshold=5, chunks=max_rows)
     assert {r.seq for r in cut.select("seq").collect()} == examined
-    batched = runs.export_batches(cut.filter("not is_known"), ["seq"], 7, max_group_rows=max_rows)
+    batched = runs.export_batches(cut.filter("not is_known"), ["seq"], 7, chunks=max_rows)
     assert {r.seq: r.batch_no for r in batched.collect()} == batches
 
 
@@ -212,7 +214,7 @@ def test_politeness_against_bucket(log, max_rows, rate, burst):
             at = start + wait
             tokens = min(burst, tokens + wait * rate) - 1
             want[seq] = (at, tokens)
-    got = requestlog.politeness_schedule(df, rate, burst, max_group_rows=max_rows).collect()
+    got = requestlog.politeness_schedule(df, rate, burst, chunks=max_rows).collect()
     assert len(got) == len(rows)
     for row in got:
         assert row.granted == pytest.approx(want[row.seq][0], abs=1e-6)
@@ -251,9 +253,9 @@ def loop_circuit(rows, threshold, recovery):
 def test_circuit_against_loop(log, max_rows, threshold, recovery):
     rows, df = log
     states, outages = loop_circuit(rows, threshold, recovery)
-    got = requestlog.circuit_state(df, threshold, recovery, max_group_rows=max_rows).collect()
+    got = requestlog.circuit_state(df, threshold, recovery, chunks=max_rows).collect()
     assert {r.seq: (r.failures_in_row, r.state) for r in got} == states
-    spans = requestlog.outage_intervals(df, threshold, recovery, max_group_rows=max_rows).collect()
+    spans = requestlog.outage_intervals(df, threshold, recovery, chunks=max_rows).collect()
     key = lambda span: tuple(-1.0 if value is None else value for value in span)
     assert sorted([tuple(r) for r in spans], key=key) == sorted(outages, key=key)
 
@@ -267,7 +269,7 @@ def test_delay_multiplier_against_loop(log, max_rows, monkeypatch):
         for *_, outcome in members:
             m = min(20.0, m * 2) if outcome == "rate_limited" else max(1.0, m * 0.9) if outcome == "success" else m
         want[host] = (len(members), pytest.approx(m, rel=1e-9))
-    got = requestlog.delay_multiplier(df, max_group_rows=max_rows).collect()
+    got = requestlog.delay_multiplier(df, chunks=max_rows).collect()
     assert {r.host: (r.requests, r.multiplier) for r in got} == want
 
 
@@ -300,7 +302,7 @@ def loop_ledger(rows):
 
 def test_ledger_against_loop(log, max_rows):
     rows, df = log
-    got = ledger.failure_ledger(df, order=["t", "seq"], max_group_rows=max_rows).collect()
+    got = ledger.failure_ledger(df, order=["t", "seq"], chunks=max_rows).collect()
     assert {r.url: (r.error, r.attempts, r.t) for r in got} == loop_ledger(rows)
 
 
@@ -350,7 +352,7 @@ def test_retry_schedule(spark):
     rows = [(1, 1, 429, "7"), (1, 2, 503, None), (1, 3, 500, "9"), (1, 4, 500, None), (1, 5, 500, None), (2, 1, 200, None)]
     df = spark.createDataFrame(rows, "request_id int, attempt int, status int, retry_after string")
     got = [(r.delay_after, r.not_before) for r in requestlog.retry_schedule(df).orderBy("request_id", "attempt").collect()]
-    assert got == [(7, 0), (10, 7), (4, 17), (0, 21), (0, 0)]
+    assert got == [(7, 0), (10, 7), (4, 17), (0, 21), (0, 21), (0, 0)]
     backed = requestlog.retry_schedule(df, default_retry_after=None).filter("attempt = 2").first()
     assert backed.delay_after == 2
     exhausted = requestlog.exhausted_requests(df).collect()
