@@ -106,10 +106,7 @@ def dual_traversal(a: SignatureTree, b: SignatureTree, percent: int) -> tuple[np
     x, y = np.zeros(1, np.int64), np.zeros(1, np.int64)
     for depth in range(top, -1, -1):
         la, lb = a.levels[min(depth, len(a.levels) - 1)], b.levels[min(depth, len(b.levels) - 1)]
-        parts = [np.zeros(0, bool)]
-        for at in range(0, len(x), 65536):
-            parts.append(_may_link(la, lb, x[at : at + 65536], y[at : at + 65536], percent))
-        keep = np.concatenate(parts)
+        keep = may_link(la, lb, x, y, percent)
         x, y = x[keep], y[keep]
         if a is b:
             x, y = x[x <= y], y[x <= y]
@@ -121,6 +118,13 @@ def dual_traversal(a: SignatureTree, b: SignatureTree, percent: int) -> tuple[np
     return a.order[x], b.order[y]
 
 
+def may_link(la: tuple, lb: tuple, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of nodes hold texts that may link; as many at once as have 8 MB of bitmaps."""
+    size = max(64, (1 << 20) // la[2].shape[1])
+    parts = [_may_link(la, lb, x[at : at + size], y[at : at + size], percent) for at in range(0, len(x), size)]
+    return np.concatenate([np.zeros(0, bool), *parts])
+
+
 def _may_link(la: tuple, lb: tuple, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
     keep = (100 * la[1][x] >= percent * lb[0][y]) & (100 * lb[1][y] >= percent * la[0][x])
     keep &= ~((la[4][x] == la[5][x]) & (lb[4][y] == lb[5][y]) & (la[4][x] == lb[4][y]))
@@ -276,10 +280,8 @@ def tree_pairs(rows: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
             i, j = np.triu_indices(size, 1)
             starts = cuts[:-1][small & (sizes == size)]
             x, y = (starts[:, None] + i).ravel(), (starts[:, None] + j).ravel()
-            for at in range(0, len(x), 65536):
-                some = slice(at, at + 65536)
-                keep = _may_link(nodes, nodes, x[some], y[some], percent)
-                found.append((rep[x[some][keep]], rep[y[some][keep]]))
+            keep = may_link(nodes, nodes, x, y, percent)
+            found.append((rep[x[keep]], rep[y[keep]]))
         for start, size in zip(cuts[:-1][~small].tolist(), sizes[~small].tolist(), strict=True):
             at = np.arange(start, start + size)
             left, right = at[own[at] == low[start]], at[own[at] == high[start]]
@@ -309,7 +311,7 @@ def bitmaps_allow(percent: int):
             here = np.arange(len(at))
             a = single(na[at], folded(bits_a.iloc[at].tolist(), value), here)
             b = single(nb[at], folded(bits_b.iloc[at].tolist(), value), here + len(at))
-            out[at] = _may_link(a, b, here, here, percent)
+            out[at] = may_link(a, b, here, here, percent)
         return pd.Series(out)
 
     return allow
