@@ -80,17 +80,14 @@ def last_exported(
     return ends.filter(F.col(key).isNotNull()).groupBy(run).agg(F.max_by(key, "batch_no").alias("last_exported_id"))
 
 
-def run_summary(examined: DataFrame, batched: DataFrame, run: str = "run_id") -> DataFrame:
-    """Rows scraped, skipped as known, exported, and batches, per run."""
-    seen = examined.groupBy(run).agg(
-        F.count(F.lit(1)).alias("scraped"), F.count_if("is_known").alias("skipped")
-    )
-    out = batched.groupBy(run).agg(F.count(F.lit(1)).alias("exported"), F.max("batch_no").alias("batches"))
-    return seen.join(out, run, "left").select(
-        run,
-        "scraped",
-        "skipped",
-        *[F.coalesce(F.col(name), F.lit(0).cast("long")).alias(name) for name in ("exported", "batches")],
+def run_summary(examined: DataFrame, run: str = "run_id", batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """Rows scraped, skipped as known, exported, and batches, per run, in one grouping."""
+    exported = F.count_if(~F.col("is_known"))
+    return examined.groupBy(run).agg(
+        F.count(F.lit(1)).alias("scraped"),
+        F.count_if("is_known").alias("skipped"),
+        exported.alias("exported"),
+        F.ceil(exported / batch_rows).alias("batches"),
     )
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanframe.functions.text import blank_to_null
 from gleanframe.functions.url import canonical_url
 from gleanframe.operators import dedup, ledger as failures, quality, runs
 from gleanframe.operators.extract import normalize_listing, raw_listing
@@ -30,15 +32,23 @@ def crawl_run(
     exporter: Exporter,
     known: DataFrame,
     run_id: str,
-    mode: str = "resume",
+    mode: str | None = None,
     known_urls: DataFrame | None = None,
     pages_exhausted: bool = True,
     errors: int = 0,
+    runs_path: str | None = None,
+    started: float = 0.0,
+    ended: float | None = None,
 ) -> dict:
     """One run: examine pages in order, stop early in daily mode, export what is new.
 
-    Returns the run's flags, outcome, the mode of the next run and its counts.
+    Returns the run's flags, outcome, the mode of the next run and its counts. With
+    ``runs_path`` the runs table there gives the mode, unless ``mode`` does, and gets this
+    run at its end. ``started`` and ``ended`` are the caller's times in seconds.
     """
+    spark = pages.sparkSession
+    if mode is None:
+        mode = next_mode(spark, runs_path) if runs_path else "resume"
     daily = mode == "daily"
     listings = clean_listings(unseen_pages(pages, known_urls)).persist()
     try:
@@ -59,13 +69,14 @@ def crawl_run(
         # the stop may come with the very last row and cut nothing
         stopped = counts.stopped
         new = listings.join(examined.filter(~F.col("is_known")), "page_id", "left_semi")
+        last_id = new.agg(F.max_by(blank_to_null("property_id"), F.when(blank_to_null("property_id").isNotNull(), F.col("page_id")))).first()[0]
         taken = exporter.export(new.withColumn("_order", F.col("page_id")), run_id)
         examined.unpersist()
     finally:
         listings.unpersist()
     outcome = "COMPLETED" if pages_exhausted and not stopped else "EARLY_STOP" if stopped else "INTERRUPTED"
     clean = outcome != "INTERRUPTED" and errors == 0
-    return {
+    report = {
         "run_id": run_id,
         "mode": mode,
         "outcome": outcome,
@@ -73,7 +84,37 @@ def crawl_run(
         "scraped": counts.scraped,
         "skipped": counts.skipped,
         "exported": taken,
+        "last_exported_id": last_id,
+        "elapsed_secs": None if ended is None else ended - started,
     }
+    if runs_path:
+        save_run(spark, runs_path, report, started)
+    return report
+
+
+RUNS = "run_id string, started double, mode string, outcome string, next_mode string, scraped long, skipped long, last_exported_id string"
+
+
+def save_run(spark: SparkSession, path: str, report: dict, started: float) -> None:
+    """Write one run's row; a run that is run again overwrites its own."""
+    row = [(started if name == "started" else report[name]) for name in (f.split()[0] for f in RUNS.split(", "))]
+    spark.createDataFrame([tuple(row)], RUNS).coalesce(1).write.mode("overwrite").json(f"{path}/run={report['run_id']}")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """All runs written to ``path``; none if there is nothing yet."""
+    try:
+        return spark.read.schema(RUNS).json(f"{path}/run=*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RUNS)
+
+
+def next_mode(spark: SparkSession, path: str) -> str:
+    """The mode that the latest run left for the next one; the first run resumes."""
+    last = read_runs(spark, path).agg(F.max_by("next_mode", F.struct("started", "run_id")).alias("mode")).first()
+    return last.mode or "resume"
 
 
 def retry_run(

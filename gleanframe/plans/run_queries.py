@@ -187,7 +187,7 @@ LEFT JOIN (SELECT run_id, count(*) AS exported, max(batch_no) AS batches FROM ba
 )
 def run_summary(spark, sf_dir):
     examined = _examined(spark, sf_dir)
-    return runs.run_summary(examined, _batched(examined))
+    return runs.run_summary(examined)
 
 
 # --- across runs --------------------------------------------------------------------
