@@ -12,6 +12,8 @@ A byte is removed if a string of ``length`` bytes that covers it starts anywhere
    tied ones are split again and again by their next token of 100 bytes.
 4. An anchor may lie across a boundary between buckets; the suffixes at the ends of the
    buckets are compared once more among all buckets. So a frequent anchor spreads over many.
+   This goes by stretches of ``STRETCH`` neighbouring suffixes first: what these share, at a
+   fixed distance from the anchor, must occur twice before single suffixes are looked at.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ LENGTH = 400
 GRAM = 32
 TOKENS = 4
 SEGMENT = 1 << 21
+STRETCH = 12
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.uint64((1 << 23) - 1)
 
@@ -105,12 +108,12 @@ def scan(data: np.ndarray, owners: np.ndarray, length: int):
     """What a segment of texts says: repeats within it and anchors of the strings that go on.
 
     ``owners`` numbers the text of each byte. Gives (start, last start) of strings that repeat,
-    and (anchor hash, first start, last start) of those to compare with other segments.
+    and (anchor hash, first start, last start, anchor) of those to compare with other segments.
     """
     none = np.zeros(0, np.int64)
     n = len(data) - length + 1
     if n <= 0:
-        return (none, none), (np.zeros(0, np.uint64), none, none)
+        return (none, none), (np.zeros(0, np.uint64), none, none, none)
     rolling = Rolling(data)
     starts = np.flatnonzero(owners[:n] == owners[length - 1 :])
     hashes = rolling.all(length)[starts]
@@ -127,7 +130,7 @@ def scan(data: np.ndarray, owners: np.ndarray, length: int):
     grams = rolling.all(GRAM)
     anchors = lowest(grams, length - GRAM + 1)[go_on]
     begin, end = runs(go_on, anchors, owners[go_on])
-    return (found[first], found[last]), (grams[anchors[begin]], go_on[begin], go_on[end])
+    return (found[first], found[last]), (grams[anchors[begin]], go_on[begin], go_on[end], anchors[begin])
 
 
 def anchors(docs: DataFrame, length: int) -> DataFrame:
@@ -147,13 +150,14 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
             sizes = [len(b) for _, _, b in part]
             owners = np.repeat(np.arange(len(part)), sizes)
             base = np.concatenate([[0], np.cumsum(sizes)[:-1]]) - np.array([start for _, start, _ in part])
-            (first, last), (grams, begin, end) = scan(data, owners, length)
+            (first, last), (grams, begin, end, places) = scan(data, owners, length)
             for a, b in zip(first.tolist(), last.tolist(), strict=True):
                 owner = owners[a]
                 repeats[part[owner][0]].append((a - int(base[owner]), b - int(base[owner])))
-            for g, a, b in zip(grams.view(np.int64).tolist(), begin.tolist(), end.tolist(), strict=True):
+            marks = zip(grams.view(np.int64).tolist(), begin.tolist(), end.tolist(), places.tolist(), strict=True)
+            for g, a, b, p in marks:
                 owner = owners[a]
-                found[part[owner][0]].append((g, a - int(base[owner]), b - int(base[owner])))
+                found[part[owner][0]].append((g, *(at - int(base[owner]) for at in (a, b, p))))
             part, filled = [], 0
 
         for at, text in enumerate(held):
@@ -168,35 +172,35 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-        marks = pa.list_(pa.struct([("g", pa.int64()), ("a", pa.int64()), ("b", pa.int64())]))
+        marks = pa.list_(pa.struct([(name, pa.int64()) for name in "gabp"]))
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 some = batch.slice(at, 1000)
                 repeats, found = flush([t.encode() for t in some.column(2).to_pylist()])
                 columns = [some.column(0), some.column(1)]
                 columns.append(pa.array([[{"a": a, "b": b} for a, b in r] for r in repeats], spans))
-                columns.append(pa.array([[{"g": g, "a": a, "b": b} for g, a, b in f] for f in found], marks))
+                columns.append(pa.array([[dict(zip("gabp", mark, strict=True)) for mark in f] for f in found], marks))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (
-        f"doc_id {kind}, h long, repeats array<struct<a:bigint,b:bigint>>, anchors array<struct<g:bigint,a:bigint,b:bigint>>"
+        f"doc_id {kind}, h long, repeats array<struct<a:bigint,b:bigint>>, anchors array<struct<g:bigint,a:bigint,b:bigint,p:bigint>>"
     )
     return stored(docs.select("doc_id", "h", "text").mapInArrow(run, schema), "anchors")
 
 
 def suffixes(docs: DataFrame, marked: DataFrame, length: int) -> DataFrame:
-    """Stored (g, doc_id, h, a, bytes): the bytes of all strings of each anchor that occurs twice or more."""
+    """Stored (g, doc_id, h, a, p, bytes): the bytes of all strings of each anchor that occurs twice or more."""
     rows = marked.select("doc_id", "h", F.explode("anchors").alias("m")).select("doc_id", "h", "m.*")
     often = rows.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
     chosen = rows.join(often, "g", "left_semi").groupBy(F.col("doc_id").alias("i"), F.col("h").alias("k"))
     # a text's anchors; rows that share id and text have them once for each row
-    chosen = chosen.agg(F.collect_list(F.struct("g", "a", "b")).alias("marks"))
+    chosen = chosen.agg(F.collect_list(F.struct("g", "a", "b", "p")).alias("marks"))
     unique = docs.groupBy("doc_id", "h").agg(F.first("text").alias("text"))
     met = unique.join(chosen, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("k")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["g", "doc_id", "h", "a", "bytes"]
+        names = ["g", "doc_id", "h", "a", "p", "bytes"]
         for batch in batches:
             for row in range(batch.num_rows):
                 text = batch.column(2)[row].as_py().encode()
@@ -208,13 +212,14 @@ def suffixes(docs: DataFrame, marked: DataFrame, length: int) -> DataFrame:
                         batch.column(0).take(owner),
                         batch.column(1).take(owner),
                         pa.array([m["a"] for m in marks], pa.int64()),
+                        pa.array([m["p"] for m in marks], pa.int64()),
                         pa.array([text[m["a"] : m["b"] + length] for m in marks], pa.binary()),
                     ],
                     names,
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    cut = met.select("doc_id", "h", "text", "marks").mapInArrow(run, f"g long, doc_id {kind}, h long, a long, bytes binary")
+    cut = met.select("doc_id", "h", "text", "marks").mapInArrow(run, f"g long, doc_id {kind}, h long, a long, p long, bytes binary")
     return stored(cut, "suffixes")
 
 
@@ -244,7 +249,8 @@ def repeated(rows: DataFrame, length: int) -> DataFrame:
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bucketed = rows.repartitionByRange(n, "g", "h", "a")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "h", "a", "b", "c1", "c2"]
+    names = ["doc_id", "h", "a", "b", "k1", "k2", "single"]
+    singles = pa.struct([("a", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = list(batches)
@@ -278,7 +284,7 @@ def repeated(rows: DataFrame, length: int) -> DataFrame:
             places = at[part][owner] + inside
             hit = np.flatnonzero(classes >= 0)
             first, last = runs(places[hit], owner[hit])
-            yield batch_of(some, owner[hit[first]], places[hit[first]], places[hit[last]], None, None)
+            yield batch_of(some, owner[hit[first]], places[hit[first]], places[hit[last]])
             # the ends of the bucket: one suffix of each class goes to the comparison of all buckets
             edge = (g[part] == low) | (g[part] == high)
             if edge.any():
@@ -286,23 +292,41 @@ def repeated(rows: DataFrame, length: int) -> DataFrame:
                 go = np.zeros(len(classes), bool)
                 go[one] = True
                 go = np.flatnonzero((go | (classes < 0)) & edge[owner])
-                half = length // 2
+                half = -(-length // 2)
                 c1, c2 = rolling.at(starts[go], half), rolling.at(starts[go] + length - half, half)
-                yield batch_of(some, owner[go], places[go], places[go], c1.view(np.int64), c2.view(np.int64))
+                # stretches by the distance of the anchor from the start; what all of a stretch hold
+                anchor = some["p"].to_numpy()[owner[go]] - places[go]
+                stretch = anchor // STRETCH
+                head = np.flatnonzero(np.concatenate([[True], (np.diff(owner[go]) != 0) | (np.diff(stretch) != 0)])[: len(go)])
+                shared = (starts[go] + anchor - stretch * STRETCH)[head]
+                size = length - STRETCH + 1
+                part = -(-size // 2)
+                k1 = Rolling.mixed(rolling.at(shared, part) + stretch[head].astype(np.uint64) * _BASE)
+                k2 = rolling.at(shared + size - part, part)
+                values = [pa.array(v, pa.int64()) for v in (places[go], c1.view(np.int64), c2.view(np.int64))]
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.append(head, len(go)), pa.int32()), pa.StructArray.from_arrays(values, fields=list(singles))
+                )
+                yield batch_of(some, owner[go][head], places[go][head], places[go][head], k1.view(np.int64), k2.view(np.int64), lists)
 
-    def batch_of(table: pa.Table, owner: np.ndarray, a: np.ndarray, b: np.ndarray, c1, c2) -> pa.RecordBatch:
+    def batch_of(table: pa.Table, owner: np.ndarray, a: np.ndarray, b: np.ndarray, k1=None, k2=None, lists=None) -> pa.RecordBatch:
         empty = pa.nulls(len(owner), pa.int64())
         taken = table.select(["doc_id", "h"]).take(pa.array(owner, pa.int64())).combine_chunks()
         columns = [taken["doc_id"].combine_chunks(), taken["h"].combine_chunks(), pa.array(a, pa.int64()), pa.array(b, pa.int64())]
-        columns += [empty if c is None else pa.array(c, pa.int64()) for c in (c1, c2)]
+        columns += [empty if k is None else pa.array(k, pa.int64()) for k in (k1, k2)]
+        columns.append(pa.nulls(len(owner), pa.list_(singles)) if lists is None else lists)
         columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) and c.num_chunks else c for c in columns]
         return pa.RecordBatch.from_arrays(columns, names)
 
-    found = stored(bucketed.mapInArrow(run, f"doc_id {kind}, h long, a long, b long, c1 long, c2 long"), "repeats")
-    edges = found.where("c1 is not null")
+    schema = f"doc_id {kind}, h long, a long, b long, k1 long, k2 long"
+    found = stored(bucketed.mapInArrow(run, f"{schema}, single array<struct<a:bigint,c1:bigint,c2:bigint>>"), "repeats")
+    stretches = found.where("k1 is not null")
+    alive = stretches.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1").select("k1", "k2")
+    edges = stretches.join(alive, ["k1", "k2"], "left_semi").select("doc_id", "h", F.explode("single").alias("s"))
+    edges = edges.select("doc_id", "h", "s.*").withColumn("b", F.col("a"))
     across = edges.groupBy("c1", "c2").agg(F.count("*").alias("n")).where("n > 1").select("c1", "c2")
     shared = edges.join(across, ["c1", "c2"], "left_semi").select("doc_id", "h", "a", "b")
-    return found.where("c1 is null").select("doc_id", "h", "a", "b").unionByName(shared)
+    return found.where("k1 is null").select("doc_id", "h", "a", "b").unionByName(shared)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
