@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
+import math
 import re
 import sys
 from collections.abc import Callable, Iterable, Iterator
@@ -57,6 +58,7 @@ class Transducer:
         self._link()
         self.pairs: dict[int, bool] = {}
         self.plans: dict[int, tuple] = {}
+        self.parts: dict[int, tuple[int, int] | None] = {}
         self.places: dict[int, list[int]] = {}
         self.reset()
 
@@ -80,10 +82,10 @@ class Transducer:
                 return found or 0
             node = self.fail[node]
 
-    def merge(self, text: bytes) -> list[int]:
-        """BPE of a short string by its definition."""
+    def merge(self, text: bytes, least: int = 1) -> list[int]:
+        """BPE of a short string by its definition, up to where ``least`` parts are left."""
         parts = [text[i : i + 1] for i in range(len(text))]
-        while len(parts) > 1:
+        while len(parts) > least:
             ranked = [(self.vocabulary.get(a + b, sys.maxsize), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))]
             rank, i = min(ranked)
             if rank == sys.maxsize:
@@ -91,12 +93,43 @@ class Transducer:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return [self.vocabulary[p] for p in parts]
 
+    def _parts(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes ``token``; (-1, -1) for a byte, None if merges never make it."""
+        if token not in self.parts:
+            text, parts = self.bytes_of[token], (-1, -1)
+            if len(text) > 1:
+                last = self.merge(text, 2)
+                parts = (last[0], last[1]) if len(last) == 2 else None
+            self.parts[token] = parts
+        return self.parts[token]
+
+    def _apart(self, x: int, y: int, limit: float) -> bool:
+        """Whether ``x`` and ``y`` are both made, side by side, by merges of ranks below ``limit``.
+
+        Goes back in time: of the two edges at the border the one made last is taken apart,
+        and before that merge the border's own must not have come. Equal ranks merge from the
+        left, so a border goes before the right edge's merge of its rank, not before the left's.
+        """
+        while True:
+            rank = self.vocabulary.get(self.bytes_of[x] + self.bytes_of[y])
+            if rank is not None and rank < limit:
+                return False
+            left, right = self._parts(x), self._parts(y)
+            if left is None or right is None:
+                return False
+            if right[0] >= 0 and (y >= x or left[0] < 0):
+                y, limit = right[0], y + 1
+            elif left[0] >= 0:
+                x, limit = left[1], x
+            else:
+                return True
+
     def _follows(self, left: int, right: int) -> bool:
         """Whether ``right`` may stand after ``left`` (-1: at the start)."""
         if len(self.pairs) >= MAX_PAIRS:
             self.pairs.clear()
-        wanted = [right] if left < 0 else [left, right]
-        self.pairs[left << 20 | right] = out = self.merge(b"".join([self.bytes_of[t] for t in wanted])) == wanted
+        out = self._parts(right) is not None if left < 0 else self._apart(left, right, math.inf)
+        self.pairs[left << 20 | right] = out
         return out
 
     def reset(self) -> None:
