@@ -1,10 +1,10 @@
-"""License scans by a positional index of rare words.
+"""License scans by a positional index of the licence words.
 
 The postings of the licence templates say at which offset each of their telling words stands.
-Of a file, the licence words with the highest inverse document frequency are looked up; places
-that agree on a template's start are intersected, and the mandatory key phrases are compared
-at the offsets that the start implies. Document frequencies come from all rows. Templates are
-few and fixed, so the index is a constant of the expression.
+Of a file, all licence words are looked up; places that agree on a template's start are
+intersected, and the mandatory key phrases are compared at the offsets that the start implies.
+Words weigh by their inverse document frequency, which comes from all rows. Templates are few
+and fixed, so the index is a constant of the expression.
 """
 
 from __future__ import annotations
@@ -54,7 +54,6 @@ TEMPLATES = (
 )
 #: Words of templates that tell nothing by themselves.
 COMMON = frozenset("the of and to in a is all this under or with for any are by use 2 4 0 nc sa without".split())
-RARE_WORDS = 12
 MIN_SHARE = 0.5
 
 
@@ -139,17 +138,10 @@ def _found(w: Column, idf: dict[str, float]) -> Column:
         F.transform(w, lambda v, i: F.struct(F.when(v.isin(vocabulary), v).alias("w"), i.alias("p"))),
         lambda h: h["w"].isNotNull(),
     )
-    weights = _constant([(-idf[v], v) for v in vocabulary], lambda v: F.struct(F.lit(v[0]).alias("x"), F.lit(v[1]).alias("w")))
 
-    def rarest(hit: Column) -> Column:
-        present = F.array_distinct(F.transform(hit, lambda h: h["w"]))
-        ranked = F.sort_array(F.filter(weights, lambda v: F.array_contains(present, v["w"])))
-        return F.transform(F.slice(ranked, 1, RARE_WORDS), lambda v: v["w"])
-
-    def starts(hit: Column, chosen: Column) -> Column:
-        kept = F.filter(hit, lambda h: F.array_contains(chosen, h["w"]))
+    def starts(hit: Column) -> Column:
         aligned = F.transform(
-            kept,
+            hit,
             lambda h: F.transform(
                 F.filter(postings, lambda p: p["w"] == h["w"]),
                 lambda p: F.struct(p["t"].alias("t"), (h["p"] - p["at"]).alias("at"), h["w"].alias("w")),
@@ -170,10 +162,7 @@ def _found(w: Column, idf: dict[str, float]) -> Column:
         share = total(lambda v: word(c["at"] + v["at"]) == v["w"]) / total(lambda v: F.lit(True))
         return F.struct(template["label"].alias("label"), F.when(whole, share).otherwise(0.0).alias("score"))
 
-    found = let(
-        hits,
-        lambda hit: let(rarest(hit), lambda chosen: let(starts(hit, chosen), lambda s: F.transform(agreed(s), judged))),
-    )
+    found = let(starts(hits), lambda s: F.transform(agreed(s), judged))
     return F.filter(found, lambda f: f["score"] >= MIN_SHARE)
 
 
