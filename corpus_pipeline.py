@@ -40,9 +40,25 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one with its smallest id. Rows with a null id stay."""
-    parts = jaccard_components(docs).where("doc_id <> component_id").select("doc_id")
-    return docs.join(parts, "doc_id", "left_anti").select(*docs.columns)
+    """Exactly one row of each component; rows without shingles are components of their own and stay.
+
+    The row with the smallest id stays, of rows that share that id the one with the smallest
+    hash of its text, and of rows that share both the first by its other columns. Rows are
+    told apart by id and text, so a unique text stays whatever its id. Null ids come last.
+    """
+    missing = F.col("doc_id").isNull()
+    some_id = F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType))
+    text = F.coalesce("text", F.lit(""))
+    row_key = F.struct(missing.alias("missing"), some_id.alias("id"), F.xxhash64(text).alias("h1"), F.hash(text).alias("h2"))
+    keyed = docs.withColumn("row_key", row_key)
+    parts = jaccard_components(keyed, id_col="row_key").where("n_shingles > 0")
+    counts = parts.groupBy(F.col("doc_id").alias("row_key"), "component_id").count()
+    first = F.col("row_key") == F.col("component_id")
+    fewer = stored(counts.where(~first | (F.col("count") > 1)).select("row_key", first.alias("first")), "near-copies")
+    others = keyed.join(fewer, "row_key", "left_anti").select(*docs.columns)
+    repeated = keyed.join(fewer.where("first"), "row_key", "left_semi")
+    one = repeated.groupBy("row_key").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return others.unionByName(one)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

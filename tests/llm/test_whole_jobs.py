@@ -1,5 +1,8 @@
 """Cases in which an operator once did less than the whole job."""
 
+from collections import Counter
+
+import corpus_pipeline
 from gleanframe.llm import licenses
 
 MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."
@@ -15,3 +18,17 @@ def test_bundle_of_licences_keeps_all_labels(spark):
     got = {r["doc_id"]: r["labels"] for r in licenses.license_scan(docs).collect()}
     assert got[0] == "apache,bsd,cc-by,cc-by-nc,cc-by-sa,gpl,lgpl,mit,reserved"
     assert {got[i] for i, _ in common} == {""}
+
+
+def test_near_copies_with_repeated_ids_leave_one_row_of_each_component(spark):
+    near = " ".join(f"w{k}" for k in range(60))
+    close, unique, lost = near + " more", " ".join(f"u{k}" for k in range(60)), " ".join(f"n{k}" for k in range(60))
+    rows = [(1, near), (2, close), (2, unique), (3, unique + " x"), (4, "equal words of one row twice over"), (4, "equal words of one row twice over")]
+    rows += [(None, lost), (None, lost + " more"), (None, lost), (None, close), (5, ""), (5, ""), (None, None), (6, "few")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    got = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert got.columns == docs.columns
+    kept = Counter((r["doc_id"], r["text"]) for r in got.collect())
+    losts = [kept.pop((None, text), 0) for text in (lost, lost + " more")]
+    assert sum(losts) == 1
+    assert kept == {(1, near): 1, (2, unique): 1, (4, rows[4][1]): 1, (5, ""): 2, (None, None): 1, (6, "few"): 1}
