@@ -2,11 +2,11 @@
 
 The histogram of piece lengths has at most ``capacity`` rows, whatever the size of the corpus.
 Its covering program (fewest sequences such that each length is covered as often as it occurs)
-is solved by multiplicative weights: each round's best configuration for the current prices
-comes from a knapsack dynamic program, and the lengths it covers become cheaper. The solution
-is rounded down, and what it leaves open is filled by best fit over the histogram. Pieces take
-their places by their rank among pieces of their length; ranks are per-task counts plus sums
-over tasks, so no length is gathered in one place.
+is solved by multiplicative weights: each round's knapsack dynamic program over the current
+prices gives every open length its best configuration, and the lengths that these cover become
+cheaper. Steps are whole sequences, so nothing is rounded off; rounds go on until every length
+is covered. Pieces take their places by their rank among pieces of their length; ranks are
+per-task counts plus sums over tasks, so no length is gathered in one place.
 """
 
 from __future__ import annotations
@@ -29,52 +29,84 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CAPACITY = 2048
 END_ID = 0
-#: Rounds at most, what part of a length's demand a round may cover, and how fast prices fall.
-ROUNDS, PART, FALL = 600, 3, 0.2
+#: What part of a length's demand a step may cover (one sequence at least), and how fast prices fall.
+PART, FALL = 3, 0.2
 #: First prices are lengths to this power: above 1, so that long pieces are not left without short ones.
 STEEP = 1.2
 _BIG = 1 << 40
 
 
-def price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> Counter:
-    """The configuration of the largest total value: an unbounded knapsack over ascending lengths."""
+def price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray:
+    """For each room, the last length (its index, or -1) of the configuration of the largest total value.
+
+    An unbounded knapsack over ascending lengths.
+    """
     best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     upto = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for room in range(1, capacity + 1):
-        best[room], last[room] = best[room - 1], -1
+        best[room] = best[room - 1]
         if n := upto[room]:
             options = best[room - lengths[:n]] + values[:n]
             at = int(options.argmax())
             if options[at] > best[room]:
                 best[room], last[room] = options[at], at
-    out, room = Counter(), capacity
+    return last
+
+
+def configuration(lengths: np.ndarray, last: np.ndarray, room: int) -> Counter:
+    """How often each index of ``lengths`` is in the best configuration of a room."""
+    out = Counter()
     while room > 0:
         if last[room] < 0:
             room -= 1
         else:
-            out[int(lengths[last[room]])] += 1
+            out[int(last[room])] += 1
             room -= int(lengths[last[room]])
     return out
 
 
-def solve(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[float, Counter]]:
-    """Configurations and how often each is used, fractionally; they cover every length unless rounds run out."""
+def filled(config: Counter, lengths: np.ndarray, left: np.ndarray, capacity: int) -> Counter:
+    """``config`` with the longest of the pieces ``left`` that fit into the room it leaves."""
+    config = Counter(config)
+    room = capacity - sum(int(lengths[k]) * n for k, n in config.items())
+    k = int(np.searchsorted(lengths, room, "right")) - 1
+    while room and k >= 0:
+        fits = min(int(left[k]) - config[k], room // int(lengths[k]))
+        if fits > 0:
+            config[k] += fits
+            room -= fits * int(lengths[k])
+        k = min(k - 1, int(np.searchsorted(lengths, room, "right")) - 1)
+    return +config
+
+
+def solve(histogram: dict[int, int], capacity: int, rounds: int | None = None) -> list[tuple[int, Counter]]:
+    """(copies, configuration); they cover every length exactly, unless ``rounds`` are given and run out.
+
+    Each round covers some of the longest open length, so the rounds come to an end.
+    """
     lengths = np.array(sorted(histogram))
-    demand = np.array([histogram[int(x)] for x in lengths], float)
-    covered = np.zeros(len(lengths))
-    uses: dict[tuple, float] = {}
-    for _ in range(rounds):
-        open_ = covered < 1 - 1e-9
-        if not open_.any():
-            break
-        values = (lengths / capacity) ** STEEP * np.exp(-FALL * covered)
-        config = price(lengths[open_], values[open_], capacity)
-        at = np.searchsorted(lengths, list(config))
-        need = np.array(list(config.values()), float)
-        step = min((demand[at] / need).min() / PART, ((1 - covered[at]) * demand[at] / need).min())
-        covered[at] += step * need / demand[at]
-        key = tuple(sorted(config.items()))
-        uses[key] = uses.get(key, 0.0) + step
+    demand = np.array([histogram[int(x)] for x in lengths])
+    left, done = demand.copy(), 0
+    uses: Counter = Counter()
+    while left.any() and (rounds is None or done < rounds):
+        done += 1
+        open_ = np.flatnonzero(left)
+        values = (lengths[open_] / capacity) ** STEEP * np.exp(-FALL * (1 - left[open_] / demand[open_]))
+        last = price(lengths[open_], values, capacity)
+        for one in range(len(open_) - 1, -1, -1):
+            config = configuration(lengths[open_], last, capacity - int(lengths[open_[one]]))
+            config[one] += 1
+            config = Counter({int(open_[k]): n for k, n in config.items()})
+            if any(left[k] < n for k, n in config.items()):
+                if one < len(open_) - 1:
+                    continue  # its time comes with the next prices
+                config = Counter({k: min(n, int(left[k])) for k, n in config.items()})
+            config = filled(config, lengths, left, capacity)
+            step = max(1, min(int(demand[k]) // n for k, n in config.items()) // PART)
+            step = min(step, *(int(left[k]) // n for k, n in config.items()))
+            for k, n in config.items():
+                left[k] -= step * n
+            uses[tuple(sorted((int(lengths[k]), n) for k, n in config.items()))] += step
     return [(x, Counter(dict(key))) for key, x in uses.items()]
 
 
@@ -98,18 +130,19 @@ def best_fit(left: dict[int, int], capacity: int) -> list[tuple[int, Counter]]:
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[int, Counter]]:
-    """(copies, configuration) such that each length is placed exactly as often as it occurs."""
-    left = dict(histogram)
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int | None = None) -> list[tuple[int, Counter]]:
+    """(copies, configuration) such that each length is placed exactly as often as it occurs.
+
+    Best fit places only what is open when given ``rounds`` run out.
+    """
+    left = {n: c for n, c in histogram.items() if c}
     out = []
     if full := left.pop(capacity, 0):
         out.append((full, Counter({capacity: 1})))
-    for x, config in sorted(solve(left, capacity, rounds) if left else [], key=lambda c: -c[0]):
-        copies = min([int(x + 1e-9), *(left[n] // c for n, c in config.items())])
-        if copies > 0:
-            out.append((copies, config))
-            for n, c in config.items():
-                left[n] -= copies * c
+    for copies, config in sorted(solve(left, capacity, rounds) if left else [], key=lambda c: -c[0]):
+        out.append((copies, config))
+        for n, c in config.items():
+            left[n] -= copies * c
     return out + best_fit(left, capacity)
 
 

@@ -1,9 +1,10 @@
 """Cases in which an operator once did less than the whole job."""
 
+import random
 from collections import Counter
 
 import corpus_pipeline
-from gleanframe.llm import licenses
+from gleanframe.llm import licenses, packing
 
 MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."
 BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted."
@@ -32,3 +33,17 @@ def test_near_copies_with_repeated_ids_leave_one_row_of_each_component(spark):
     losts = [kept.pop((None, text), 0) for text in (lost, lost + " more")]
     assert sum(losts) == 1
     assert kept == {(1, near): 1, (2, unique): 1, (4, rows[4][1]): 1, (5, ""): 2, (None, None): 1, (6, "few"): 1}
+
+
+def test_program_covers_every_length_by_itself():
+    draw = random.Random(3)
+    lengths = [min(2047, 1 + int(draw.expovariate(1 / 500))) for _ in range(20_000)]
+    histogram = dict(Counter(lengths))
+    covered = Counter()
+    configs = packing.solve(histogram, 2048)
+    for copies, config in configs:
+        assert sum(n * c for n, c in config.items()) <= 2048
+        for n, c in config.items():
+            covered[n] += int(copies) * c
+    assert len(histogram) > 1000 and covered == histogram
+    assert sum(copies for copies, _ in configs) <= 1.002 * sum(lengths) / 2048 + 1
