@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from gleanframe.llm import corpus_queries, model_queries, text_queries  # noqa: F401  (they register)
+from gleanframe.llm import corpus_queries, model_queries, search_queries, text_queries  # noqa: F401  (they register)
 from gleanframe.llm.registry import CHECKS, QUERIES
 
 QUERIES["pipeline"] = corpus_pipeline.run
