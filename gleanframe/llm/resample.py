@@ -128,8 +128,7 @@ def _medians(side_key: DataFrame) -> DataFrame:
         if rows:
             yield from close()
 
-    schema = side_key.schema.add("n", "long")
-    return side_key.mapInArrow(run, schema)
+    return side_key.mapInArrow(run, side_key.withColumn("n", F.lit(0).cast("long")).schema)
 
 
 def cutoff(keys: DataFrame, wanted: int) -> tuple | None:
