@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanframe.functions.text import blank_to_null
-from gleanframe.operators.ordered import OrderedRows, running_count
 
 
 def _order(order: list[str]) -> Column:
@@ -73,24 +72,25 @@ def run_new_records(
 
 
 def mark_known(
-    records: DataFrame,
-    known: DataFrame,
-    order: list[str],
-    run: str = "run_id",
-    key: str = "property_id",
-    chunks: int | None = None,
+    records: DataFrame, known: DataFrame, order: list[str], run: str = "run_id", key: str = "property_id"
 ) -> DataFrame:
-    """Add ``is_known``: the id was exported before, or came earlier in the same run."""
-    flagged = records.join(
-        known.select(F.col(key).alias("_known")).distinct(), blank_to_null(key) == F.col("_known"), "left"
+    """Add ``is_known``: the id was exported before, or came earlier in the same run.
+
+    The first place of each id in a run is a minimum that combines before the shuffle; known
+    ids are looked up for ids, not for rows. Records without id are never known, and a hash of
+    their place spreads them over the join.
+    """
+    has_id = blank_to_null(key)
+    alone = F.when(has_id.isNull(), F.xxhash64(*order))
+    identity = F.struct(F.col(run), has_id.alias("id"), alone.alias("alone"))
+    firsts = records.where(has_id.isNotNull()).groupBy(identity.alias("_of")).agg(F.min(_order(order)).alias("_first"))
+    exported = known.select(F.col(key).alias("_known")).distinct()
+    firsts = firsts.join(exported, F.col("_of.id") == F.col("_known"), "left").select(
+        "_of", "_first", F.col("_known").isNotNull().alias("_exported")
     )
-    # records without id are never repeats: give each its own group
-    alone = F.when(blank_to_null(key).isNull(), F.concat_ws("/", *order))
-    seen = OrderedRows.of(
-        flagged.withColumn("_alone", alone), [run, key, "_alone"], order, chunks=chunks
-    ).running(_nth=running_count())
-    is_known = F.col("_known").isNotNull() | ((F.col("_nth") > 1) & F.col("_alone").isNull())
-    return seen.df.withColumn("is_known", is_known).drop("_known", "_nth", "_alone")
+    found = records.withColumn("_of", identity).join(firsts, "_of", "left")
+    is_known = F.coalesce(F.col("_exported") | (_order(order) > F.col("_first")), F.lit(False))
+    return found.withColumn("is_known", is_known).drop("_of", "_first", "_exported")
 
 
 def state_upsert(state: DataFrame, changes: DataFrame, key: str = "key", updated: str = "updated_at") -> DataFrame:

@@ -14,9 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanframe.session import cut_lineage
+from gleanframe.session import written
 
-_CHUNK = "_chunk"
+CHUNK = "_chunk"
 
 
 @dataclass(frozen=True)
@@ -91,9 +91,9 @@ class OrderedRows:
         """
         chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         sort = [F.col(name) for name in keys] + cls._sort(order, descending)
-        cut = df.repartitionByRange(chunks, *sort).withColumn(_CHUNK, F.spark_partition_id())
+        cut = df.repartitionByRange(chunks, *sort).withColumn(CHUNK, F.spark_partition_id())
         # written down, so that a lost executor cannot move the chunk borders
-        return cls(cut_lineage(cut), keys, order, descending)
+        return cls(written(cut), keys, order, descending)
 
     @staticmethod
     def _sort(order: list[str], descending: bool) -> list[Column]:
@@ -101,13 +101,18 @@ class OrderedRows:
 
     @property
     def df(self) -> DataFrame:
-        return self._df.drop(_CHUNK)
+        return self._df.drop(CHUNK)
+
+    @property
+    def chunked(self) -> DataFrame:
+        """The rows with the number of their chunk in ``CHUNK``; chunks of a key follow its order."""
+        return self._df
 
     def running(self, exclusive: bool = False, **values: Running) -> "OrderedRows":
         """Add running columns; ``exclusive`` leaves out the row itself."""
         last_row = -1 if exclusive else Window.currentRow
         window = (
-            Window.partitionBy(*self._keys, _CHUNK)
+            Window.partitionBy(*self._keys, CHUNK)
             .orderBy(*self._sort(self._order, self._descending))
             .rowsBetween(Window.unboundedPreceding, last_row)
         )
@@ -128,15 +133,15 @@ class OrderedRows:
 
     def _carry_over(self, local: DataFrame, values: dict[str, Running]) -> DataFrame:
         order = F.struct(*self._order)
-        chunk_totals = self._df.groupBy(*self._keys, _CHUNK).agg(
+        chunk_totals = self._df.groupBy(*self._keys, CHUNK).agg(
             *[value.summarised(order, self._descending).alias(name) for name, value in values.items()]
         )
-        in_order = Window.partitionBy(*self._keys).orderBy(_CHUNK)
+        in_order = Window.partitionBy(*self._keys).orderBy(CHUNK)
         before = in_order.rowsBetween(Window.unboundedPreceding, -1)
         carry = (
             chunk_totals.select(
                 *[F.col(key).alias(f"_k_{key}") for key in self._keys],
-                F.col(_CHUNK).alias("_k_chunk"),
+                F.col(CHUNK).alias("_k_chunk"),
                 F.row_number().over(in_order).alias("_nth"),
                 *[value.merged(F.col(name), before).alias(f"_c_{name}") for name, value in values.items()],
             )
@@ -144,7 +149,7 @@ class OrderedRows:
             .drop("_nth")
         )
         same = [F.col(key).eqNullSafe(F.col(f"_k_{key}")) for key in self._keys]
-        on = reduce(Column.__and__, same, F.col(_CHUNK) == F.col("_k_chunk"))
+        on = reduce(Column.__and__, same, F.col(CHUNK) == F.col("_k_chunk"))
         joined = local.join(carry, on, "left")
         merged = joined.withColumns(
             {name: value.combined(F.col(f"_c_{name}"), F.col(name)) for name, value in values.items()}

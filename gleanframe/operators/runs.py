@@ -2,36 +2,93 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanframe.functions.text import blank_to_null
-from gleanframe.operators.ordered import (
-    OrderedRows,
-    running_count,
-    running_max,
-    running_sum,
-)
+from gleanframe.operators.ordered import CHUNK, OrderedRows, running_count
 
 EARLY_STOP_AFTER = 24
 BATCH_ROWS = 50
 
 
-def _streaks(marked: DataFrame, order: list[str], run: str, chunks: int | None) -> OrderedRows:
-    rows = OrderedRows.of(marked, [run], order, chunks=chunks)
-    known = F.col("is_known").cast("long")
-    counted = rows.running(_known=running_sum(known))
-    # known rows so far, less those counted when the last new row came
-    at_reset = counted.running(_at_reset=running_max(F.when(~F.col("is_known"), F.col("_known"))))
-    streak = F.when(F.col("is_known"), F.col("_known") - F.coalesce("_at_reset", F.lit(0))).otherwise(0)
-    return at_reset.with_columns(streak=streak)
+def _stretches(local: DataFrame, threshold: int) -> DataFrame:
+    """What each stretch (one run's rows in one chunk) adds up to, and what those before it do.
+
+    A stretch is summed up by its rows, its new rows, its leading and trailing known rows and
+    its own first hit. Summaries of neighbours add up to that of both, so a running sum and
+    maximum over the few stretches of a run give each one the streak it starts with.
+    """
+    n, new_at = F.count(F.lit(1)), F.when(~F.col("is_known"), F.col("_nth"))
+    sums = local.groupBy("_run", CHUNK).agg(
+        n.alias("n"),
+        F.count_if(~F.col("is_known")).alias("new"),
+        F.coalesce(F.min(new_at) - 1, n).alias("lead"),
+        F.max(new_at).alias("last_new"),
+        F.min(F.when((F.col("_own") >= threshold) & F.col("_stoppable"), F.col("_nth"))).alias("hit"),
+        F.bool_or("_stoppable").alias("stoppable"),
+    )
+    before = Window.partitionBy("_run").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    placed = sums.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    streak_in = F.col("start") - F.coalesce(F.max(F.col("start") + F.col("last_new")).over(before), F.lit(0))
+    placed = placed.withColumn("_streak_in", streak_in)
+    in_lead = F.col("stoppable") & (F.col("_streak_in") + F.col("lead") >= threshold)
+    first = F.when(in_lead, F.greatest(threshold - F.col("_streak_in"), F.lit(1))).otherwise(F.col("hit"))
+    hits = placed.withColumn("hit", first)
+    stopped = F.coalesce(F.count("hit").over(before) > 0, F.lit(False))
+    return hits.select(
+        "_run",
+        CHUNK,
+        "_streak_in",
+        F.coalesce(F.sum("new").over(before), F.lit(0)).alias("_new_before"),
+        F.when(stopped, 0).otherwise(F.col("hit")).alias("_stop_at"),
+    )
+
+
+def scan_runs(
+    marked: DataFrame,
+    order: list[str],
+    threshold: int = EARLY_STOP_AFTER,
+    run: str = "run_id",
+    mode: Column | None = None,
+    batch_rows: int = BATCH_ROWS,
+    chunks: int | None = None,
+) -> DataFrame:
+    """Everything that order decides about the rows of a run, from one range partition.
+
+    ``is_known`` must be set. Adds ``streak`` (known rows in a row that end here), ``stops``
+    (the row at which the run stops), ``examined`` (up to that row, itself included) and
+    ``batch_no`` (from 1, of examined new rows; else null). ``mode`` says ``daily`` or
+    ``resume`` for a run, alike in all its rows; resume runs never stop.
+    """
+    stoppable = F.lit(True) if mode is None else F.coalesce(mode == "daily", F.lit(False))
+    given = marked.withColumns({"_run": F.struct(run), "_stoppable": stoppable})
+    rows = OrderedRows.of(given, [run], order, chunks=chunks).chunked
+    inside = Window.partitionBy("_run", CHUNK).orderBy(*order)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumn("_nth", F.row_number().over(inside).cast("long"))
+    new_at = F.when(~F.col("is_known"), F.col("_nth"))
+    local = local.withColumns({"_reset": F.max(new_at).over(so_far), "_new": F.count(new_at).over(so_far)})
+    local = local.withColumn("_own", F.col("_nth") - F.coalesce("_reset", F.lit(0)))
+    scanned = local.join(_stretches(local, threshold), ["_run", CHUNK])
+    streak = F.col("_own") + F.when(F.col("_reset").isNull(), F.col("_streak_in")).otherwise(0)
+    examined = F.coalesce(F.col("_nth") <= F.col("_stop_at"), F.lit(True))
+    batch = F.floor((F.col("_new_before") + F.col("_new") - 1) / batch_rows) + 1
+    return scanned.withColumns(
+        {
+            "streak": streak,
+            "stops": F.coalesce(F.col("_nth") == F.col("_stop_at"), F.lit(False)),
+            "examined": examined,
+            "batch_no": F.when(examined & ~F.col("is_known"), batch),
+        }
+    ).drop("_run", CHUNK, "_stoppable", "_nth", "_reset", "_new", "_own", "_streak_in", "_new_before", "_stop_at")
 
 
 def known_streak(
     marked: DataFrame, order: list[str], run: str = "run_id", chunks: int | None = None
 ) -> DataFrame:
     """Add ``streak``: how many known rows in a row end here; ``is_known`` must be set."""
-    return _streaks(marked, order, run, chunks).df.drop("_known", "_at_reset")
+    return scan_runs(marked, order, run=run, chunks=chunks).drop("stops", "examined", "batch_no")
 
 
 def early_stop(
@@ -43,21 +100,12 @@ def early_stop(
     chunks: int | None = None,
     hit_name: str | None = None,
 ) -> DataFrame:
-    """Rows a daily run examines: up to the first streak of ``threshold``, that row included.
+    """Rows a run examines: up to the first streak of ``threshold``, that row included; see ``scan_runs``.
 
-    ``mode`` says ``daily`` or ``resume`` per row; resume runs never stop. ``hit_name``
-    adds a column that is true on the row that stops the run.
+    ``hit_name`` adds a column that is true on the row that stops the run.
     """
-    hit = F.col("streak") >= threshold
-    if mode is not None:
-        hit = hit & (mode == "daily")
-    rows = _streaks(marked, order, run, chunks).running(
-        exclusive=True, _hits=running_sum(hit.cast("long"))
-    )
-    examined = rows.df.filter(F.col("_hits") == 0)
-    if hit_name is not None:
-        examined = examined.withColumn(hit_name, F.coalesce(hit, F.lit(False)))
-    return examined.drop("_known", "_at_reset", "_hits")
+    examined = scan_runs(marked, order, threshold, run, mode, chunks=chunks).filter("examined").drop("examined", "batch_no")
+    return examined.drop("stops") if hit_name is None else examined.withColumnRenamed("stops", hit_name)
 
 
 def export_batches(

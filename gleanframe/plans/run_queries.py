@@ -30,11 +30,11 @@ def _marked(spark, sf_dir):
 
 
 def _examined(spark, sf_dir):
-    return runs.early_stop(_marked(spark, sf_dir), RUN_ORDER)
+    return runs.scan_runs(_marked(spark, sf_dir), RUN_ORDER).filter("examined")
 
 
-def _batched(examined):
-    return runs.export_batches(examined.filter(~F.col("is_known")), RUN_ORDER)
+def _batched(spark, sf_dir):
+    return _examined(spark, sf_dir).filter("batch_no is not null")
 
 
 # --- dedup --------------------------------------------------------------------------
@@ -166,7 +166,7 @@ def early_stop_daily_only(spark, sf_dir):
 
 @query("export_batches", f"{_MARKED_SQL} SELECT {_KEYS}, batch_no FROM batched")
 def export_batches(spark, sf_dir):
-    return _batched(_examined(spark, sf_dir)).select(*_OUT, "batch_no")
+    return _batched(spark, sf_dir).select(*_OUT, "batch_no")
 
 
 @query(
@@ -176,7 +176,7 @@ SELECT run_id, property_id AS last_exported_id FROM (SELECT *, row_number() OVER
   FROM ends WHERE n = 1 AND property_id IS NOT NULL) AS e WHERE m = 1""",
 )
 def last_exported(spark, sf_dir):
-    return runs.last_exported(_batched(_examined(spark, sf_dir)), RUN_ORDER)
+    return runs.last_exported(_batched(spark, sf_dir), RUN_ORDER)
 
 
 @query(

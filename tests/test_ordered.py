@@ -126,7 +126,7 @@ def test_runs_against_loop(spark, max_rows, seed):
     known = [f"p{i}" for i in range(0, 60, 2)]
     items = spark.createDataFrame(rows, "run_id string, seq long, property_id string")
     known_df = spark.createDataFrame([(k,) for k in known], "property_id string")
-    marked = dedup.mark_known(items, known_df, ["seq"], chunks=max_rows)
+    marked = dedup.mark_known(items, known_df, ["seq"])
     streaks, examined, batches = loop_runs(rows, known, 5, 7)
     got = runs.known_streak(marked, ["seq"], chunks=max_rows).collect()
     assert {r.seq: (r.is_known, r.streak) for r in got} == streaks
@@ -134,6 +134,12 @@ def test_runs_against_loop(spark, max_rows, seed):
     assert {r.seq for r in cut.select("seq").collect()} == examined
     batched = runs.export_batches(cut.filter("not is_known"), ["seq"], 7, chunks=max_rows)
     assert {r.seq: r.batch_no for r in batched.collect()} == batches
+    whole = runs.scan_runs(marked, ["seq"], threshold=5, batch_rows=7, chunks=max_rows).collect()
+    assert {r.seq: (r.is_known, r.streak) for r in whole} == streaks
+    assert {r.seq for r in whole if r.examined} == examined
+    assert {r.seq: r.batch_no for r in whole if r.batch_no is not None} == batches
+    last = {run: max(seq for r, seq, _ in rows if r == run and seq in examined) for run in {r for r, *_ in rows}}
+    assert {r.seq for r in whole if r.stops} == {seq for seq in last.values() if streaks[seq][1] >= 5}
 
 
 def test_early_stop_cases(spark):
@@ -300,12 +306,18 @@ def loop_ledger(rows):
     return entries
 
 
-def test_ledger_against_loop(log, max_rows):
+def test_ledger_against_loop(log):
     rows, df = log
-    got = ledger.failure_ledger(df, order=["t", "seq"], chunks=max_rows).collect()
+    got = ledger.failure_ledger(df, order=["t", "seq"]).collect()
     assert {r.url: (r.error, r.attempts, r.t) for r in got} == loop_ledger(rows)
 
 
+def test_ledger_sorts_and_writes_nothing_down(log):
+    _, df = log
+    plan = ledger.failure_ledger(df, order=["t", "seq"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan and "Window" not in plan and "Sort" not in plan
+
+
 def test_ledger_in_stretches(spark, log):
     rows, df = log
     stamped = df.withColumn("ts", F.timestamp_seconds("t"))
@@ -356,7 +368,7 @@ def test_retry_schedule(spark):
     backed = requestlog.retry_schedule(df, default_retry_after=None).filter("attempt = 2").first()
     assert backed.delay_after == 2
     exhausted = requestlog.exhausted_requests(df).collect()
-    assert [(r.request_id, r.attempts, r.last_status) for r in exhausted] == [(1, 4, 500)]
+    assert [(r.request_id, r.attempts, r.last_status) for r in exhausted] == [(1, 5, 500)]
 
 
 def test_begin_run(spark):
