@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,7 +34,8 @@ RATE_LIMIT_STATUS = (429, 503)
 
 
 def _names_any(text: Column, fragments: tuple[str, ...]) -> Column:
-    return reduce(Column.__or__, [F.contains(text, F.lit(fragment)) for fragment in fragments])
+    # one pattern: the text, which may be long to work out, is worked out once
+    return text.rlike("|".join(re.escape(fragment) for fragment in fragments))
 
 
 def is_retryable(error: Column | str) -> Column:

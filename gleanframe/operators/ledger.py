@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from gleanframe.functions.net import is_retryable
 from gleanframe.operators.dedup import new_records
-from gleanframe.operators.ordered import OrderedRows, running_sum
 
 MAX_RETRY_ATTEMPTS = 5
 
@@ -19,45 +18,57 @@ def with_timeouts(log: DataFrame, limit_secs: float) -> DataFrame:
     return log.withColumn("error", F.when(late, text).otherwise(F.col("error"))).withColumn("timed_out", late)
 
 
-def ledger_changes(
-    log: DataFrame, url: str = "url", order: list[str] = ["ts", "seq"], chunks: int | None = None
-) -> DataFrame:
+def ledger_effect() -> Column:
+    """What a log row does to its URL's entry: open, raise, remove, or null for nothing."""
+    retry = F.col("phase") == "retry"
+    return F.when(is_retryable("error"), F.when(retry, "raise").otherwise("open")).when(retry, "remove")
+
+
+def ledger_changes(log: DataFrame, url: str = "url", order: list[str] = ["ts", "seq"]) -> DataFrame:
     """What a stretch of the log does to each URL's ledger entry.
 
     A retryable crawl failure opens or raises an entry and sets error and time;
     a retryable retry failure raises it; a retry that succeeds or fails for good
-    removes it. So only rows after a URL's last removal count. Seen from the end
-    of the log, removals and raises are running sums in one pass, and the raises
-    seen at the earliest opening row are those that came after it. The grouping
-    is on the same key as the scan.
+    removes it. So only rows after a URL's last removal count, and of raises for a
+    URL that was not there before only those after its first opening.
+
+    All that is kept of a URL are extremes and counts, which combine before the shuffle: its
+    last removal, then what came after it, then the raises after the first opening. Rows
+    meet these in joins against one row a URL, whose skewed side adaptive execution splits.
     """
-    retry = F.col("phase") == "retry"
-    effect = F.when(is_retryable("error"), F.when(retry, "raise").otherwise("open")).when(retry, "remove")
     acts = (
-        log.filter(F.col("error").isNotNull() | retry)  # a success in the crawl changes nothing
-        .select(url, *order, "error", effect.alias("_effect"))
-    )
-    scanned = OrderedRows.of(acts, [url], order, descending=True, chunks=chunks).running(
-        _removals=running_sum(F.when(F.col("_effect") == "remove", 1).otherwise(0)),
-        _raised=running_sum(F.when(F.col("_effect") == "raise", 1).otherwise(0)),
+        log.filter("error is not null or phase = 'retry'")  # a success in the crawl changes nothing
+        .select(F.struct(url).alias("_of"), F.struct(*order).alias("_at"), "error", ledger_effect().alias("_effect"))
     )
-    live = F.col("_removals") == 0
-    opening = live & (F.col("_effect") == "open")
-    return scanned.df.groupBy(url).agg(
-        (F.max("_removals") > 0).alias("removed"),
+    # no filter on the effect: pushed down to the scan it would be worked out several times a row
+    removals = acts.groupBy("_of").agg(F.max(F.when(F.col("_effect") == "remove", F.col("_at"))).alias("_removed_at"))
+    placed = acts.join(removals, "_of")
+    live = F.col("_removed_at").isNull() | (F.col("_at") > F.col("_removed_at"))
+    opening, raising = live & (F.col("_effect") == "open"), live & (F.col("_effect") == "raise")
+    sums = placed.groupBy("_of").agg(
+        F.bool_or(F.col("_removed_at").isNotNull()).alias("removed"),
         F.count_if(opening).alias("opened"),
-        F.coalesce(F.max(F.when(opening, F.col("_raised"))), F.lit(0)).alias("raised"),
-        F.count_if(live & (F.col("_effect") == "raise")).alias("raised_all"),
-        F.max_by("error", F.when(opening, F.struct(*order))).alias("error"),
-        F.max(F.when(opening, F.col(order[0]))).alias(order[0]),
+        F.count_if(raising).alias("raised_all"),
+        F.min(F.when(opening, F.col("_at"))).alias("_opened_at"),
+        F.max(F.when(opening, F.struct("_at", "error"))).alias("_last"),
+    )
+    openings = sums.filter("opened > 0 AND raised_all > 0").select("_of", "_opened_at")
+    raises = placed.filter(raising).select("_of", "_at").join(openings, "_of").filter("_at > _opened_at")
+    raised = raises.groupBy("_of").agg(F.count(F.lit(1)).alias("raised"))
+    return sums.join(raised, "_of", "left").select(
+        F.col("_of")[url].alias(url),
+        "removed",
+        "opened",
+        F.coalesce("raised", F.lit(0)).alias("raised"),
+        "raised_all",
+        F.col("_last.error").alias("error"),
+        F.col("_last._at")[order[0]].alias(order[0]),
     )
 
 
-def failure_ledger(
-    log: DataFrame, url: str = "url", order: list[str] = ["ts", "seq"], chunks: int | None = None
-) -> DataFrame:
+def failure_ledger(log: DataFrame, url: str = "url", order: list[str] = ["ts", "seq"]) -> DataFrame:
     """Ledger after the whole log: ``url, error, attempts`` and last failure time."""
-    changes = ledger_changes(log, url, order, chunks).filter("opened > 0")
+    changes = ledger_changes(log, url, order).filter("opened > 0")
     return changes.select(url, "error", (F.col("opened") + F.col("raised")).alias("attempts"), order[0])
 
 
@@ -90,30 +101,39 @@ def failure_summary(ledger: DataFrame, max_attempts: int = MAX_RETRY_ATTEMPTS) -
     )
 
 
-def retry_exports(waiting: DataFrame, results: DataFrame, known: DataFrame, url: str = "url") -> DataFrame:
-    """Results of retried URLs that succeeded and whose id is not exported yet."""
-    succeeded = results.filter("error is null").join(waiting.select(url), url, "left_semi")
+def retry_exports(
+    waiting: DataFrame, results: DataFrame, known: DataFrame, url: str = "url", tried: Column | None = None
+) -> DataFrame:
+    """Results of retried URLs that succeeded and whose id is not exported yet; ``tried`` as in ``retry_summary``."""
+    succeeded = results.filter(F.col("error").isNull() & (F.lit(True) if tried is None else tried)).join(waiting.select(url), url, "left_semi")
     return new_records(succeeded, known)
 
 
 def retry_summary(
-    ledger: DataFrame, results: DataFrame, known: DataFrame, max_attempts: int = MAX_RETRY_ATTEMPTS, url: str = "url"
+    ledger: DataFrame,
+    results: DataFrame,
+    known: DataFrame,
+    max_attempts: int = MAX_RETRY_ATTEMPTS,
+    url: str = "url",
+    tried: Column | None = None,
 ) -> DataFrame:
     """Counts of one retry run, one row; ``results`` has one row per retried URL.
 
-    An entry that failed again stays pending only while its raised count does.
+    ``tried`` tells rows of URLs that the run did not come to, which count as not retried. An
+    entry that failed again stays pending only while its raised count does.
     """
+    reached = F.lit(True) if tried is None else F.coalesce(tried, F.lit(False))
     known_ids = known.select(F.col("property_id").alias("_known")).distinct()
     outcomes = (
-        ledger.join(results.select(url, "property_id", F.col("error").alias("_error"), F.lit(True).alias("_tried")), url, "left")
+        ledger.join(results.select(url, "property_id", F.col("error").alias("_error"), reached.alias("_tried")), url, "left")
         .join(known_ids, F.col("property_id") == F.col("_known"), "left")
     )
     due = F.col("attempts") <= max_attempts
-    tried = due & F.coalesce(F.col("_tried"), F.lit(False))
-    won = tried & F.col("_error").isNull()
-    again = tried & F.coalesce(is_retryable("_error"), F.lit(False))
-    for_good = tried & F.col("_error").isNotNull() & ~is_retryable("_error")
-    stays = (due & ~tried) | (again & (F.col("attempts") + 1 <= max_attempts))
+    retried = due & F.coalesce(F.col("_tried"), F.lit(False))
+    won = retried & F.col("_error").isNull()
+    again = retried & F.coalesce(is_retryable("_error"), F.lit(False))
+    for_good = retried & F.col("_error").isNotNull() & ~is_retryable("_error")
+    stays = (due & ~retried) | (again & (F.col("attempts") + 1 <= max_attempts))
     count: dict[str, Column] = {
         "retried": due,
         "skipped": ~due,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from gleanframe.functions.url import canonical_urls, resolve_link, url_parts
+from gleanframe.functions.url import canonical_url, canonical_urls, resolve_link, url_parts
 from gleanframe.session import cut_lineage
 
 
@@ -33,6 +33,28 @@ def pages_without_links(pages: DataFrame, page_url: str = "url", hrefs: str = "h
     return pages.filter(F.coalesce(F.size(hrefs), F.lit(0)) <= 0).select(F.col(page_url).alias("url"))
 
 
+def next_edges(pages: DataFrame, page_url: str = "url", next_href: str = "next") -> DataFrame:
+    """``url, next_url`` of fetched pages: where the page's next link leads, both in canonical form.
+
+    ``next_href`` is the link as the page has it. Null means no next link; a link without address
+    leads to the page itself. No shuffle.
+    """
+    based = pages.select(F.col(page_url).alias("url"), url_parts(page_url).alias("base"), F.col(next_href).alias("href"))
+    target = F.when(F.col("href").isNotNull(), canonical_url(resolve_link(F.col("base"), F.col("href"))))
+    return based.select(canonical_url("url").alias("url"), target.alias("next_url"))
+
+
+def crawl_frontier(walk: DataFrame, edges: DataFrame) -> DataFrame:
+    """Links of the visited pages in the order a crawl meets them: ``crawl_id, page_no, position, detail_url, referer``.
+
+    ``edges`` as ``link_edges`` gives them, with canonical ``listing_url``; a page fetched
+    more than once counts with its distinct links.
+    """
+    visited = walk.select("crawl_id", "page_no", F.col("url").alias("listing_url"))
+    first = edges.groupBy("listing_url", "detail_url").agg(F.min("position").alias("position"), F.min("referer").alias("referer"))
+    return visited.join(first, "listing_url").select("crawl_id", "page_no", "position", "detail_url", "referer")
+
+
 def _cut_and_count(rows: DataFrame) -> tuple[DataFrame, int]:
     counted = Observation()
     cut = cut_lineage(rows.observe(counted, F.count(F.lit(1)).alias("n")))

@@ -13,7 +13,7 @@ from gleanframe.sources.readers import spread
 
 HOST = "https://site.example"
 FIRST_RUN = 199607  # ids seen before this month are the known ids
-SECTION_PAGES = 40  # listing pages chained by next links
+SECTION_PAGES = 12  # listing pages chained by next links
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,8 +115,8 @@ _MICROS = {
 
 # what a retry of each logged URL gave, and the ids exported before it
 RETRY_RESULTS = """SELECT url, CASE WHEN n % 7 = 0 THEN NULL ELSE 'C-' || CAST(n % 50 AS STRING) END AS property_id,
-  CASE n % 5 WHEN 1 THEN 'Timeout 30000ms exceeded' WHEN 2 THEN 'HTTP 404 for ' || url END AS error
-FROM (SELECT DISTINCT url, CAST(regexp_extract(url, '([0-9]+)$', 1) AS BIGINT) AS n FROM request_log) AS u WHERE n % 11 <> 0"""
+  CASE n % 5 WHEN 1 THEN 'Timeout 30000ms exceeded' WHEN 2 THEN 'HTTP 404 for ' || url END AS error, n % 11 <> 0 AS tried
+FROM (SELECT DISTINCT url, CAST(regexp_extract(url, '([0-9]+)$', 1) AS BIGINT) AS n FROM request_log) AS u"""
 RETRY_KNOWN = "SELECT 'C-' || CAST(n_nationkey AS STRING) AS property_id FROM nation WHERE n_nationkey % 2 = 0"
 
 # --- attempts of requests, from lineitem -------------------------------------------
@@ -155,13 +155,38 @@ MERGE_BATCH = """SELECT CAST(o_custkey + 50 AS STRING) AS property_id, CASE WHEN
   o_orderkey AS seq FROM orders"""
 MERGE_COLUMNS = ["property_id", "title", "price", "location", "floor"]
 
-# --- pagination chains, from pages -------------------------------------------------
-
-# every 17th link of a section leads to a page that was not fetched
-NEXT_LINKS = f"""SELECT p.page_id, p.url, CASE WHEN p.page_id % 119 = 17 THEN p.url || '/gone' ELSE n.url END AS next_url
-FROM pages AS p LEFT JOIN pages AS n
-  ON n.page_id = p.page_id + 1 AND n.page_id % {SECTION_PAGES} <> 0"""
-CRAWL_STARTS = f"""SELECT CAST(floor(page_id / {SECTION_PAGES}) AS BIGINT) AS crawl_id, url FROM pages WHERE page_id % {SECTION_PAGES} = 0"""
+# --- pagination, from pages ---------------------------------------------------------
+
+# fetched pages in sections, each with a next link in its HTML: spelled in six ways, leading to a
+# page that was not fetched, back to the first page, nowhere (no address), or missing
+_PAGED = f"""SELECT p.*, CAST(floor(page_id / {SECTION_PAGES}) AS BIGINT) AS section, page_id % {SECTION_PAGES} AS n,
+  '{HOST}/list/' || CAST(CAST(floor(page_id / {SECTION_PAGES}) AS BIGINT) AS STRING) AS list_url,
+  page_id % {SECTION_PAGES} = {SECTION_PAGES} - 1 OR page_id = (SELECT max(page_id) FROM pages) AS is_last,
+  CAST(page_id % {SECTION_PAGES} + 1 AS STRING) AS following, CAST(CAST(floor(page_id / {SECTION_PAGES}) AS BIGINT) AS STRING) AS name
+FROM pages AS p"""
+LISTING_PAGES = f"""SELECT page_id, section, n,
+  CASE n % 3 WHEN 0 THEN list_url || '?page=' || CAST(n AS STRING) WHEN 1 THEN list_url || '?utm_source=feed&page=' || CAST(n AS STRING)
+    ELSE replace(list_url, 'https://site', 'HTTPS://Site') || '?page=' || CAST(n AS STRING) || '#top' END AS url,
+  replace(html, '<nav>', '<!-- <a rel="next" href="/no"> --><a rel="next nofollow" href="/no">x</a><nav>'
+    || CASE WHEN is_last AND section % 3 = 1 THEN '<a rel="prev" href="/no">x</a>' WHEN is_last AND section % 3 = 2 THEN '<a rel="next">x</a>'
+      WHEN is_last THEN '<a href="?page=0" rel=next>x</a>' WHEN page_id % 119 = 17 THEN '<a rel="next" href="/gone">x</a>'
+      ELSE '<a rel="next" href="' || CASE page_id % 6 WHEN 0 THEN '?page=' || following WHEN 1 THEN '/list/' || name || '?page=' || following
+        WHEN 2 THEN 'https://SITE.example:443/list/' || name || '/?ref=x&amp;page=' || following
+        WHEN 3 THEN '//site.example/list/' || name || '?page=' || following || '#top'
+        WHEN 4 THEN '../list/' || name || '?page=' || following ELSE './' || name || '?page=' || following END || '">x</a>' END) AS html
+FROM paged"""
+# what the check expects those links to be
+NEXT_LINKS = f"""SELECT list_url || '?page=' || CAST(n AS STRING) AS url, CASE WHEN is_last AND section % 3 = 1 THEN NULL
+  WHEN is_last AND section % 3 = 2 THEN list_url || '?page=' || CAST(n AS STRING) WHEN is_last THEN list_url || '?page=0'
+  WHEN page_id % 119 = 17 THEN '{HOST}/gone' ELSE list_url || '?page=' || following END AS next_url FROM paged"""
+CRAWL_STARTS = "SELECT section AS crawl_id, list_url || '?page=0' AS url FROM paged WHERE n = 0"
+
+# --- pages with an id, from pages: the number in their address; a twelfth of the ids is new ----
+
+CRAWL_PAGES = """SELECT page_id, url, replace(html, '<meta charset="utf-8">', '<meta charset="utf-8"><meta name="crm-id" content="' || number || '">') AS html,
+  number AS property_id FROM (SELECT *, regexp_extract(url, '/([0-9]+)', 1) AS number FROM pages) AS p"""
+CRAWL_KNOWN = """SELECT DISTINCT property_id FROM (SELECT regexp_extract(url, '/([0-9]+)', 1) AS property_id FROM pages) AS p
+WHERE property_id <> '' AND CAST(property_id AS BIGINT) % 12 <> 0"""
 
 _DERIVED = {
     "raw_price": (RAW_PRICE, ("part",)),
@@ -180,8 +205,12 @@ _DERIVED = {
     "state_changes": (STATE_CHANGES, ("orders",)),
     "stored": (STORED, ("customer",)),
     "merge_batch": (MERGE_BATCH, ("orders",)),
-    "next_links": (NEXT_LINKS, ("pages",)),
-    "crawl_starts": (CRAWL_STARTS, ("pages",)),
+    "crawl_pages": (CRAWL_PAGES, ("pages",)),
+    "crawl_known": (CRAWL_KNOWN, ("pages",)),
+    "paged": (_PAGED, ("pages",)),
+    "listing_pages": (LISTING_PAGES, ("paged",)),
+    "next_links": (NEXT_LINKS, ("paged",)),
+    "crawl_starts": (CRAWL_STARTS, ("paged",)),
 }
 
 

@@ -20,13 +20,13 @@ def _log(spark, sf_dir):
     return derived(spark, sf_dir, "request_log")
 
 
-def _ledger(spark, sf_dir):
+def log_ledger(spark, sf_dir):
     return ledger.failure_ledger(_log(spark, sf_dir), order=LOG_ORDER)
 
 
 # --- ledger -------------------------------------------------------------------------
 
-_LEDGER_SQL = f"""{cte('request_log', 'retry_results', 'retry_known')},
+LEDGER_SQL = f"""{cte('request_log', 'retry_results', 'retry_known')},
 acts AS (SELECT url, (t_us, seq) AS o, t_us, error, phase = 'crawl' AND {_RETRYABLE} AS opens, phase = 'retry' AND {_RETRYABLE} AS raises,
   phase = 'retry' AND NOT {_RETRYABLE} AS removes FROM request_log),
 resets AS (SELECT url, max(o) AS reset FROM acts WHERE removes GROUP BY url),
@@ -36,9 +36,9 @@ ledger AS (SELECT t.url, arg_max(error, o) FILTER (WHERE opens) AS error, count(
   max(t_us) FILTER (WHERE opens) AS t_us FROM tail AS t JOIN firsts AS f ON f.url = t.url AND t.o >= f.first_open GROUP BY t.url)"""
 
 
-@query("failure_ledger", f"{_LEDGER_SQL} SELECT url, error, attempts, t_us FROM ledger")
-def failure_ledger(spark, sf_dir):
-    return _ledger(spark, sf_dir)
+@query("failure_ledger", f"{LEDGER_SQL} SELECT url, error, attempts, t_us FROM ledger")
+def failurelog_ledger(spark, sf_dir):
+    return log_ledger(spark, sf_dir)
 
 
 @query(
@@ -50,33 +50,33 @@ def timeout_failures(spark, sf_dir):
     return ledger.with_timeouts(_log(spark, sf_dir), 50).select("seq", "timed_out", "error")
 
 
-@query("retry_pending", f"{_LEDGER_SQL} SELECT url, attempts FROM ledger WHERE attempts <= {MAX_TRIES}")
+@query("retry_pending", f"{LEDGER_SQL} SELECT url, attempts FROM ledger WHERE attempts <= {MAX_TRIES}")
 def retry_pending(spark, sf_dir):
-    return ledger.pending(_ledger(spark, sf_dir), MAX_TRIES).select("url", "attempts")
+    return ledger.pending(log_ledger(spark, sf_dir), MAX_TRIES).select("url", "attempts")
 
 
 @query(
     "failure_summary",
-    f"{_LEDGER_SQL} SELECT count(*) AS total, count(*) FILTER (WHERE attempts <= {MAX_TRIES}) AS pending FROM ledger",
+    f"{LEDGER_SQL} SELECT count(*) AS total, count(*) FILTER (WHERE attempts <= {MAX_TRIES}) AS pending FROM ledger",
 )
 def failure_summary(spark, sf_dir):
-    return ledger.failure_summary(_ledger(spark, sf_dir), MAX_TRIES)
+    return ledger.failure_summary(log_ledger(spark, sf_dir), MAX_TRIES)
 
 
 @query(
     "retry_exports",
-    f"""{_LEDGER_SQL} SELECT r.url, r.property_id FROM retry_results AS r JOIN ledger AS l ON l.url = r.url AND l.attempts <= {MAX_TRIES}
-WHERE r.error IS NULL AND (r.property_id IS NULL OR r.property_id NOT IN (SELECT property_id FROM retry_known))""",
+    f"""{LEDGER_SQL} SELECT r.url, r.property_id FROM retry_results AS r JOIN ledger AS l ON l.url = r.url AND l.attempts <= {MAX_TRIES}
+WHERE r.tried AND r.error IS NULL AND (r.property_id IS NULL OR r.property_id NOT IN (SELECT property_id FROM retry_known))""",
 )
 def retry_exports(spark, sf_dir):
-    waiting = ledger.pending(_ledger(spark, sf_dir), MAX_TRIES)
+    waiting = ledger.pending(log_ledger(spark, sf_dir), MAX_TRIES)
     results, known = derived(spark, sf_dir, "retry_results"), derived(spark, sf_dir, "retry_known")
-    return ledger.retry_exports(waiting, results, known).select("url", "property_id")
+    return ledger.retry_exports(waiting, results, known, tried=F.col("tried")).select("url", "property_id")
 
 
 @query(
     "retry_summary",
-    f"""{_LEDGER_SQL}, tried AS (SELECT l.attempts, l.attempts <= {MAX_TRIES} AS due, r.url IS NOT NULL AND l.attempts <= {MAX_TRIES} AS tried,
+    f"""{LEDGER_SQL}, tried AS (SELECT l.attempts, l.attempts <= {MAX_TRIES} AS due, coalesce(r.tried, false) AND l.attempts <= {MAX_TRIES} AS tried,
   r.error, {_RETRYABLE.replace('error', 'r.error')} AS again, r.property_id,
   r.property_id IN (SELECT property_id FROM retry_known) AS known FROM ledger AS l LEFT JOIN retry_results AS r ON r.url = l.url)
 SELECT count(*) FILTER (WHERE due) AS retried, count(*) FILTER (WHERE NOT due) AS skipped,
@@ -88,7 +88,7 @@ SELECT count(*) FILTER (WHERE due) AS retried, count(*) FILTER (WHERE NOT due) A
 )
 def retry_summary(spark, sf_dir):
     results, known = derived(spark, sf_dir, "retry_results"), derived(spark, sf_dir, "retry_known")
-    return ledger.retry_summary(_ledger(spark, sf_dir), results, known, MAX_TRIES)
+    return ledger.retry_summary(log_ledger(spark, sf_dir), results, known, MAX_TRIES, tried=F.col("tried"))
 
 
 # --- pacing, circuit, delay ----------------------------------------------------------

@@ -22,7 +22,7 @@ from gleanframe.operators.extract import (
     top_pairs,
 )
 from gleanframe.operators.markup import PageRules, Pick
-from gleanframe.plans.inputs import cte, derived, table
+from gleanframe.plans.inputs import HOST, cte, derived, table
 from gleanframe.plans.registry import query
 from gleanframe.plans.text_queries import (
     sql_canonical,
@@ -34,6 +34,7 @@ from gleanframe.plans.text_queries import (
     sql_yes_no,
 )
 from gleanframe.schemas import EXPORT_COLUMNS, FIELD_RENAMES, RAW_FIELDS
+from gleanframe.session import written
 
 # --- what the listing pages hold, straight from the columns they were made of --------
 
@@ -73,7 +74,7 @@ _NORMAL_SQL = (
     + ", ".join(f"{_CLEAN_SQL.get(f, str)(f)} AS {FIELD_RENAMES.get(f, f)}" for f in RAW_FIELDS)
     + f" FROM ({_RAW_SQL}) AS raw_fields"
 )
-_PIECES = cte("listing_pieces")
+PIECES = cte("listing_pieces")
 
 
 def _raw(spark, sf_dir):
@@ -91,21 +92,21 @@ def _joined_images(df):
 _JOIN_IMAGES = "* REPLACE (array_to_string(images, ',') AS images)"
 
 
-@query("page_extract", f"{_PIECES} SELECT {_JOIN_IMAGES} FROM ({_RAW_SQL}) AS r")
+@query("page_extract", f"{PIECES} SELECT {_JOIN_IMAGES} FROM ({_RAW_SQL}) AS r")
 def page_extract(spark, sf_dir):
     return _joined_images(_raw(spark, sf_dir))
 
 
-@query("normalize_listing", f"{_PIECES} SELECT {_JOIN_IMAGES} FROM ({_NORMAL_SQL}) AS r")
+@query("normalize_listing", f"{PIECES} SELECT {_JOIN_IMAGES} FROM ({_NORMAL_SQL}) AS r")
 def normalized(spark, sf_dir):
     return _joined_images(_listings(spark, sf_dir))
 
 
-@query(
-    "export_rows",
-    f"""{_PIECES} SELECT {', '.join(EXPORT_COLUMNS)} FROM
-(SELECT * REPLACE (CAST(to_json(images) AS VARCHAR) AS images) FROM ({_NORMAL_SQL}) AS r) AS e""",
-)
+EXPORTED_SQL = f"""SELECT {', '.join(EXPORT_COLUMNS)} FROM
+(SELECT * REPLACE (CAST(to_json(images) AS VARCHAR) AS images) FROM ({_NORMAL_SQL}) AS r) AS e"""
+
+
+@query("export_rows", f"{PIECES} {EXPORTED_SQL}")
 def exported(spark, sf_dir):
     return export_rows(_listings(spark, sf_dir))
 
@@ -113,7 +114,7 @@ def exported(spark, sf_dir):
 _TOP_FIELDS = ("total_area", "internal_area", "number_of_bedrooms", "floor", "statusi", "lloji")
 
 
-@query("label_map", f"{_PIECES} SELECT p_partkey, {', '.join(_TOP_FIELDS)} FROM ({_RAW_SQL}) AS r")
+@query("label_map", f"{PIECES} SELECT p_partkey, {', '.join(_TOP_FIELDS)} FROM ({_RAW_SQL}) AS r")
 def label_map(spark, sf_dir):
     pages = derived(spark, sf_dir, "listing_html", heavy=True).select("p_partkey", read_page("html", LISTING_RULES).alias("page"))
     pairs = pages.select("p_partkey", top_pairs(F.col("page.top")).alias("top"))
@@ -122,7 +123,7 @@ def label_map(spark, sf_dir):
 
 @query(
     "info_pairs",
-    f"""{_PIECES} SELECT p_partkey, ashensor, number_of_toilets, 'partly' AS mobilimi, 'jo' AS ka_hipoteke
+    f"""{PIECES} SELECT p_partkey, ashensor, number_of_toilets, 'partly' AS mobilimi, 'jo' AS ka_hipoteke
 FROM ({_RAW_SQL}) AS r""",
 )
 def info_fields(spark, sf_dir):
@@ -138,7 +139,7 @@ def info_fields(spark, sf_dir):
     )
 
 
-@query("amenity_text", f"{_PIECES} SELECT p_partkey, karakteristikat FROM ({_RAW_SQL}) AS r")
+@query("amenity_text", f"{PIECES} SELECT p_partkey, karakteristikat FROM ({_RAW_SQL}) AS r")
 def amenities(spark, sf_dir):
     pages = derived(spark, sf_dir, "listing_html", heavy=True).select("p_partkey", read_page("html", LISTING_RULES).alias("page"))
     return pages.select("p_partkey", amenity_text(F.col("page.amenities")).alias("karakteristikat"))
@@ -151,7 +152,7 @@ _ERRORS_SQL = """CASE WHEN coalesce(property_id, '') = '' THEN 'Missing required
 
 @query(
     "validate_required",
-    f"{_PIECES} SELECT p_partkey, property_id, {_ERRORS_SQL} = '' AS is_valid, {_ERRORS_SQL} AS errors FROM ({_NORMAL_SQL}) AS r",
+    f"{PIECES} SELECT p_partkey, property_id, {_ERRORS_SQL} = '' AS is_valid, {_ERRORS_SQL} AS errors FROM ({_NORMAL_SQL}) AS r",
 )
 def validate_required(spark, sf_dir):
     checked = quality.validate(_listings(spark, sf_dir))
@@ -162,7 +163,7 @@ def validate_required(spark, sf_dir):
 
 @query(
     "quality_report",
-    f"""{_PIECES} SELECT error, count(*) AS n FROM (SELECT {_ERRORS_SQL} AS error FROM ({_NORMAL_SQL}) AS r) AS e
+    f"""{PIECES} SELECT error, count(*) AS n FROM (SELECT {_ERRORS_SQL} AS error FROM ({_NORMAL_SQL}) AS r) AS e
 WHERE error <> '' GROUP BY error""",
 )
 def quality_counts(spark, sf_dir):
@@ -174,7 +175,7 @@ _RATED = [name for name in EXPORT_COLUMNS if name != "images"]
 
 @query(
     "field_null_rates",
-    f"""{_PIECES}, listing AS ({_NORMAL_SQL}) """
+    f"""{PIECES}, listing AS ({_NORMAL_SQL}) """
     + " UNION ALL ".join(
         f"""SELECT '{name}' AS field, count(*) FILTER (WHERE coalesce(CAST({name} AS VARCHAR), '') = '') AS missing,
 round(count(*) FILTER (WHERE coalesce(CAST({name} AS VARCHAR), '') = '') / count(*), 6) AS null_rate FROM listing"""
@@ -187,7 +188,7 @@ def null_rates(spark, sf_dir):
 
 @query(
     "extraction_drift",
-    f"""{_PIECES}, now AS (SELECT p_partkey, title, total_area FROM ({_RAW_SQL}) AS r),
+    f"""{PIECES}, now AS (SELECT p_partkey, title, total_area FROM ({_RAW_SQL}) AS r),
 before AS (SELECT p_partkey, title, CASE WHEN p_partkey % 50 = 0 THEN 'moved' ELSE total_area END AS total_area FROM now)
 SELECT *, 'now' AS side FROM (SELECT * FROM now EXCEPT ALL SELECT * FROM before) AS a
 UNION ALL SELECT *, 'before' AS side FROM (SELECT * FROM before EXCEPT ALL SELECT * FROM now) AS b""",
@@ -318,22 +319,38 @@ def crawl_funnel(spark, sf_dir):
     return links.crawl_funnel(linked, earlier=F.col("page_id") % 3 == 0)
 
 
+_LISTING_RULES = PageRules({"links": Pick("li a", attr="href", many=True), "next": ARTICLE_RULES.picks["next"]})
+
+
+def _listing_pages(spark, sf_dir):
+    pages = derived(spark, sf_dir, "listing_pages", heavy=True)
+    return pages.select("page_id", "url", read_page("html", _LISTING_RULES).alias("page")).select("url", "page.links", "page.next")
+
+
+def _next_edges(spark, sf_dir):
+    return links.next_edges(_listing_pages(spark, sf_dir))
+
+
+@query("next_links", f"{cte('next_links')} SELECT url, next_url FROM next_links")
+def next_links(spark, sf_dir):
+    return _next_edges(spark, sf_dir)
+
+
 def _walk_sql(max_pages: int) -> str:
     return f"""WITH RECURSIVE {cte('next_links', 'crawl_starts').removeprefix('WITH ')},
-walk AS (SELECT crawl_id, CAST(1 AS BIGINT) AS page_no, url FROM crawl_starts
-  UNION ALL SELECT w.crawl_id, w.page_no + 1, n.next_url FROM walk AS w JOIN next_links AS n ON n.url = w.url
-  JOIN pages AS p ON p.url = n.next_url WHERE w.page_no < {max_pages})"""
+walk AS (SELECT crawl_id, CAST(1 AS BIGINT) AS page_no, url, [url] AS visited FROM crawl_starts
+  UNION ALL SELECT w.crawl_id, w.page_no + 1, n.next_url, list_append(w.visited, n.next_url) FROM walk AS w JOIN next_links AS n ON n.url = w.url
+  JOIN next_links AS p ON p.url = n.next_url WHERE w.page_no < {max_pages} AND NOT list_contains(w.visited, n.next_url))"""
 
 
 @query("page_walk", _walk_sql(1000000000) + " SELECT crawl_id, page_no, url FROM walk")
 def page_walk(spark, sf_dir):
-    return links.page_walk(derived(spark, sf_dir, "crawl_starts"), derived(spark, sf_dir, "next_links").drop("page_id"))
+    return links.page_walk(derived(spark, sf_dir, "crawl_starts"), _next_edges(spark, sf_dir))
 
 
 @query("page_walk_max_pages", _walk_sql(7) + " SELECT crawl_id, page_no, url FROM walk")
 def page_walk_max_pages(spark, sf_dir):
-    nexts = derived(spark, sf_dir, "next_links").drop("page_id")
-    return links.page_walk(derived(spark, sf_dir, "crawl_starts"), nexts, max_pages=7)
+    return links.page_walk(derived(spark, sf_dir, "crawl_starts"), _next_edges(spark, sf_dir), max_pages=7)
 
 
 @query(
@@ -344,22 +361,51 @@ FROM walk AS w JOIN next_links AS n ON n.url = w.url
 WHERE w.page_no = (SELECT max(page_no) FROM walk AS x WHERE x.crawl_id = w.crawl_id)""",
 )
 def walk_summary(spark, sf_dir):
-    nexts = derived(spark, sf_dir, "next_links").drop("page_id")
+    nexts = written(_next_edges(spark, sf_dir))
     return links.walk_summary(links.page_walk(derived(spark, sf_dir, "crawl_starts"), nexts), nexts)
 
 
+_FRONTIER_SQL = f""", spots AS (SELECT section AS crawl_id, n + 1 AS page_no, list_url || '?page=' || CAST(n AS VARCHAR) AS referer,
+  '{HOST}' || regexp_replace(href, '/+$', '') AS detail_url, pos
+  FROM (SELECT section, n, list_url, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS pos
+    FROM (SELECT section, n, list_url, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS hrefs FROM paged) AS h) AS x),
+frontier AS (SELECT crawl_id, page_no, row_number() OVER (PARTITION BY crawl_id, page_no ORDER BY min(pos)) - 1 AS position, detail_url, referer
+  FROM spots GROUP BY crawl_id, page_no, detail_url, referer)"""
+
+
+def _listing_edges(pages):
+    return links.link_edges(pages.select(canonical_url("url").alias("url"), F.col("links").alias("hrefs")))
+
+
 @query(
     "walk_enqueued",
     _walk_sql(1000000000)
-    + f""", {_LINK_SQL} SELECT w.crawl_id, max(w.page_no) AS pages,
-  bool_or(n.next_url IS NULL) AS pages_exhausted, CAST(sum(coalesce(e.links, 0)) AS BIGINT) AS enqueued
+    + _FRONTIER_SQL
+    + """, counts AS (SELECT crawl_id, page_no, count(*) AS links FROM frontier GROUP BY crawl_id, page_no)
+SELECT w.crawl_id, max(w.page_no) AS pages, bool_or(n.next_url IS NULL) AS pages_exhausted,
+  CAST(sum(coalesce(c.links, 0)) AS BIGINT) AS enqueued
 FROM walk AS w JOIN next_links AS n ON n.url = w.url
-LEFT JOIN (SELECT listing_url, count(*) AS links FROM edges GROUP BY listing_url) AS e ON e.listing_url = w.url GROUP BY w.crawl_id""",
+LEFT JOIN counts AS c ON c.crawl_id = w.crawl_id AND c.page_no = w.page_no GROUP BY w.crawl_id""",
 )
 def walk_enqueued(spark, sf_dir):
-    nexts = derived(spark, sf_dir, "next_links").drop("page_id")
+    pages = written(_listing_pages(spark, sf_dir))
+    nexts = links.next_edges(pages)
     walk = links.page_walk(derived(spark, sf_dir, "crawl_starts"), nexts)
-    return links.walk_summary(walk, nexts, _edges(spark, sf_dir))
+    return links.walk_summary(walk, nexts, _listing_edges(pages))
+
+
+@query(
+    "crawl_frontier",
+    _walk_sql(1000000000)
+    + _FRONTIER_SQL
+    + """ SELECT f.* FROM frontier AS f JOIN walk AS w ON w.crawl_id = f.crawl_id AND w.page_no = f.page_no""",
+)
+def crawl_frontier(spark, sf_dir):
+    """Listing pages to the links of all pages a crawl reaches by their next links, in its order."""
+    pages = written(_listing_pages(spark, sf_dir))
+    walk = links.page_walk(derived(spark, sf_dir, "crawl_starts"), links.next_edges(pages))
+    frontier = links.crawl_frontier(walk, _listing_edges(pages))
+    return frontier.withColumn("position", F.col("position").cast("long"))
 
 
 # --- the whole way: pages to a clean, deduplicated table -----------------------------
