@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from gleanframe.functions import text as tx
 from gleanframe.functions.url import site_matches
 from gleanframe.operators import markup
-from gleanframe.operators.markup import PageReader, PageRules, Pick
+from gleanframe.operators.markup import READ_ERROR, PageReader, PageRules, Pick
 from gleanframe.schemas import EXPORT_COLUMNS, FIELD_RENAMES, RAW_FIELDS
 
 # the reader travels with the UDF, so executors need no copy of this package
@@ -83,7 +83,8 @@ def page_type(rules: PageRules) -> T.StructType:
         T.StructField(name, T.ArrayType(T.StringType()) if pick.many else T.StringType())
         for name, pick in rules.picks.items()
     ]
-    return T.StructType([*picks, *[T.StructField(name, T.ArrayType(_CARD)) for name in rules.grids]])
+    grids = [T.StructField(name, T.ArrayType(_CARD)) for name in rules.grids]
+    return T.StructType([*picks, *grids, T.StructField(READ_ERROR, T.StringType())])
 
 
 def _arrow_type(rules: PageRules) -> pa.DataType:
@@ -91,11 +92,16 @@ def _arrow_type(rules: PageRules) -> pa.DataType:
     return pa.struct(
         [(name, pa.list_(pa.string()) if pick.many else pa.string()) for name, pick in rules.picks.items()]
         + [(name, pa.list_(card)) for name in rules.grids]
+        + [(READ_ERROR, pa.string())]
     )
 
 
 def read_page(html: Column | str, rules: PageRules) -> Column:
-    """All picks and grids of a page as one struct column."""
+    """All picks and grids of a page as one struct column.
+
+    ``read_error`` tells why a page could not be read to its end; fields that were being read
+    then are null, those read before stay.
+    """
     arrow_type = _arrow_type(rules)
 
     @F.arrow_udf(page_type(rules))
@@ -181,11 +187,13 @@ def raw_listing(
     url: str = "url",
     keep: tuple[str, ...] = (),
     sites: dict[str, PageRules] | None = None,
+    error: str | None = None,
 ) -> DataFrame:
     """The 19 raw fields of each page; ``keep`` passes columns through.
 
     Pages are read by the listing rules, or by the rules of their site, with
-    all fields but the URL null where no site fits.
+    all fields but the URL null where no site fits. ``error`` names a column for why a page
+    could not be read to its end.
     """
     page = read_page(html, LISTING_RULES) if sites is None else read_page_of_site(html, url, sites)
     read = pages.select(*keep, F.col(url).alias("url"), page.alias("page"))
@@ -215,7 +223,8 @@ def raw_listing(
     }
     for name in ("total_area", "internal_area", "number_of_bedrooms", "floor", "statusi", "lloji"):
         fields[name] = pair_value(top, name)
-    return cards.select(*keep, *[fields[name].alias(name) for name in RAW_FIELDS])
+    problem = [] if error is None else [F.col(f"page.{READ_ERROR}").alias(error)]
+    return cards.select(*keep, *[fields[name].alias(name) for name in RAW_FIELDS], *problem)
 
 
 _CLEANED = {

@@ -115,6 +115,10 @@ class _Card:
                 element.on_close.append(lambda: setattr(self, "in_first", False))
 
 
+#: Name of the field that says why a page could not be read to its end.
+READ_ERROR = "read_error"
+
+
 class PageReader:
     """Reads pages by one rule set; make one per task and call ``read`` per page."""
 
@@ -129,10 +133,13 @@ class PageReader:
     def read(self, html: str | None) -> dict:
         found: dict = {name: None for name in self._rules.picks}
         found.update({name: [] for name in self._rules.grids})
+        found[READ_ERROR] = None
+        walk = _PageWalk(self, found)
         try:
-            _PageWalk(self, found).run(html or "")
-        except Exception:  # one broken page must not fail the task
-            pass
+            walk.run(html or "")
+        except Exception as problem:  # one broken page must not fail the task
+            found.update(dict.fromkeys(walk.reading))
+            found[READ_ERROR] = f"{type(problem).__name__}: {problem}"[:200]
         return found
 
 
@@ -145,6 +152,7 @@ class _PageWalk:
         self.stack: list[_Element] = []
         self.texts: list[list[str]] = []
         self.cards: list[_Card] = []
+        self.reading: list[str] = []
 
     def run(self, html: str) -> None:
         position = 0
@@ -254,7 +262,13 @@ class _PageWalk:
         else:
             target, slot = found, name
             found[name] = ""
-        element.on_close.append(lambda: target.__setitem__(slot, "".join(parts)))
+        self.reading.append(name)
+
+        def finish() -> None:
+            target[slot] = "".join(parts)
+            self.reading.remove(name)
+
+        element.on_close.append(finish)
 
     def listen(self, element: _Element) -> list[str]:
         """Collect the stripped texts inside the element until it closes."""

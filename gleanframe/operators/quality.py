@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from gleanframe.schemas import REQUIRED_FIELDS
 
 
+UNREAD = "Page could not be read to its end"
+
+
 def missing_fields(required: tuple[str, ...] = REQUIRED_FIELDS) -> Column:
     """Error texts for required fields that are null or empty, in field order."""
     checks = [
@@ -17,9 +20,15 @@ def missing_fields(required: tuple[str, ...] = REQUIRED_FIELDS) -> Column:
     return F.array_compact(F.array(*checks))
 
 
-def validate(listings: DataFrame) -> DataFrame:
-    """Add ``validation: struct<is_valid, errors>``."""
+def validate(listings: DataFrame, error: str | None = None) -> DataFrame:
+    """Add ``validation: struct<is_valid, errors>``.
+
+    ``error`` names a column that tells why a page could not be read, which is an error of its own.
+    """
     errors = missing_fields()
+    if error is not None:
+        unread = F.when(F.col(error).isNotNull(), F.array(F.lit(UNREAD))).otherwise(F.array().cast("array<string>"))
+        errors = F.concat(errors, unread)
     return listings.withColumn(
         "validation", F.struct((F.size(errors) == 0).alias("is_valid"), errors.alias("errors"))
     )

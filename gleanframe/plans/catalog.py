@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gleanframe.operators.extract import export_rows
-from gleanframe.plans import log_queries, page_queries, run_queries, text_queries  # noqa: F401  (they register)
+from gleanframe.plans import log_queries, page_queries, run_queries, text_queries, whole_queries  # noqa: F401  (they register)
 from gleanframe.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES", "flagship"]

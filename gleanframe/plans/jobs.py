@@ -10,6 +10,8 @@ from gleanframe.functions.text import blank_to_null
 from gleanframe.functions.url import canonical_url
 from gleanframe.operators import dedup, ledger as failures, quality, runs
 from gleanframe.operators.extract import normalize_listing, raw_listing
+from gleanframe.operators.markup import READ_ERROR
+from gleanframe.session import written
 from gleanframe.sources.readers import read_exported_csv
 from gleanframe.sources.sinks import Exporter, SnapshotTable, write_csv
 
@@ -24,7 +26,8 @@ def unseen_pages(pages: DataFrame, known_urls: DataFrame | None) -> DataFrame:
 
 def clean_listings(pages: DataFrame, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Pages to validated listings in one pass, no shuffle."""
-    return quality.validate(normalize_listing(raw_listing(pages, keep=keep), keep=keep))
+    raw = raw_listing(pages, keep=keep, error=READ_ERROR)
+    return quality.validate(normalize_listing(raw, keep=(*keep, READ_ERROR)), error=READ_ERROR)
 
 
 def crawl_run(
@@ -42,45 +45,49 @@ def crawl_run(
 ) -> dict:
     """One run: examine pages in order, stop early in daily mode, export what is new.
 
-    Returns the run's flags, outcome, the mode of the next run and its counts. With
-    ``runs_path`` the runs table there gives the mode, unless ``mode`` does, and gets this
-    run at its end. ``started`` and ``ended`` are the caller's times in seconds.
+    Returns the run's flags, outcome, the mode of the next run, its counts and its elapsed time.
+    With ``runs_path`` the runs table there gives the mode, unless ``mode`` does, and gets this
+    run as it starts and again at its end. ``started`` and ``ended`` are the caller's times in
+    seconds.
     """
     spark = pages.sparkSession
     if mode is None:
         mode = next_mode(spark, runs_path) if runs_path else "resume"
-    daily = mode == "daily"
-    listings = clean_listings(unseen_pages(pages, known_urls)).persist()
-    try:
-        # streaks and stops need ids only; whole rows are fetched once at the end
-        items = listings.select(F.lit(run_id).alias("run_id"), "page_id", "property_id")
-        marked = dedup.mark_known(items, known, PAGE_ORDER)
-        examined = (
-            runs.early_stop(marked, PAGE_ORDER, mode=F.lit(mode), hit_name="stops")
-            if daily
-            else marked.withColumn("stops", F.lit(False))
-        )
-        examined = examined.select("page_id", "is_known", "stops").persist()
-        counts = examined.agg(
-            F.count(F.lit(1)).alias("scraped"),
-            F.count_if("is_known").alias("skipped"),
-            F.coalesce(F.bool_or("stops"), F.lit(False)).alias("stopped"),
-        ).first()
-        # the stop may come with the very last row and cut nothing
-        stopped = counts.stopped
-        new = listings.join(examined.filter(~F.col("is_known")), "page_id", "left_semi")
-        last_id = new.agg(F.max_by(blank_to_null("property_id"), F.when(blank_to_null("property_id").isNotNull(), F.col("page_id")))).first()[0]
-        taken = exporter.export(new.withColumn("_order", F.col("page_id")), run_id)
-        examined.unpersist()
-    finally:
-        listings.unpersist()
-    outcome = "COMPLETED" if pages_exhausted and not stopped else "EARLY_STOP" if stopped else "INTERRUPTED"
-    clean = outcome != "INTERRUPTED" and errors == 0
     report = {
         "run_id": run_id,
+        "started": started,
         "mode": mode,
-        "outcome": outcome,
-        "next_mode": "daily" if clean else "resume",
+        **_ending(stopped=False, pages_exhausted=False, errors=errors),
+        "stream_exhausted": False,
+        "scraped": 0,
+        "skipped": 0,
+        "last_exported_id": None,
+        "elapsed_secs": None,
+    }
+    if runs_path:
+        # a run that dies stays on record as interrupted, and the next one resumes
+        save_run(spark, runs_path, report)
+    listings = written(clean_listings(unseen_pages(pages, known_urls)))
+    # streaks and stops need ids only; whole rows are fetched once at the end
+    items = listings.select(F.lit(run_id).alias("run_id"), "page_id", "property_id")
+    marked = dedup.mark_known(items, known, PAGE_ORDER)
+    if mode == "daily":
+        examined = runs.early_stop(marked, PAGE_ORDER, mode=F.lit(mode), hit_name="stops")
+    else:
+        examined = marked.withColumn("stops", F.lit(False))
+    examined = written(examined.select("page_id", "is_known", "stops"))
+    counts = examined.agg(
+        F.count(F.lit(1)).alias("scraped"),
+        F.count_if("is_known").alias("skipped"),
+        # the stop may come with the very last row and cut nothing
+        F.coalesce(F.bool_or("stops"), F.lit(False)).alias("stopped"),
+    ).first()
+    new = listings.join(examined.filter(~F.col("is_known")), "page_id", "left_semi")
+    has_id = blank_to_null("property_id")
+    last_id = new.agg(F.max_by(has_id, F.when(has_id.isNotNull(), F.col("page_id")))).first()[0]
+    taken = exporter.export(new.withColumn("_order", F.col("page_id")), run_id)
+    report |= {
+        **_ending(counts.stopped, pages_exhausted, errors),
         "scraped": counts.scraped,
         "skipped": counts.skipped,
         "exported": taken,
@@ -88,17 +95,33 @@ def crawl_run(
         "elapsed_secs": None if ended is None else ended - started,
     }
     if runs_path:
-        save_run(spark, runs_path, report, started)
+        save_run(spark, runs_path, report)
     return report
 
 
-RUNS = "run_id string, started double, mode string, outcome string, next_mode string, scraped long, skipped long, last_exported_id string"
+def _ending(stopped: bool, pages_exhausted: bool, errors: int) -> dict:
+    """Flags of a run, its outcome, and the mode of the run after it."""
+    outcome = "COMPLETED" if pages_exhausted and not stopped else "EARLY_STOP" if stopped else "INTERRUPTED"
+    return {
+        "stream_exhausted": not stopped,
+        "pages_exhausted": pages_exhausted,
+        "early_stop": stopped,
+        "errors": errors,
+        "outcome": outcome,
+        "next_mode": "daily" if outcome != "INTERRUPTED" and errors == 0 else "resume",
+    }
+
+
+RUNS = (
+    "run_id string, started double, elapsed_secs double, mode string, stream_exhausted boolean, pages_exhausted boolean, "
+    "early_stop boolean, errors long, outcome string, next_mode string, scraped long, skipped long, last_exported_id string"
+)
 
 
-def save_run(spark: SparkSession, path: str, report: dict, started: float) -> None:
+def save_run(spark: SparkSession, path: str, report: dict) -> None:
     """Write one run's row; a run that is run again overwrites its own."""
-    row = [(started if name == "started" else report[name]) for name in (f.split()[0] for f in RUNS.split(", "))]
-    spark.createDataFrame([tuple(row)], RUNS).coalesce(1).write.mode("overwrite").json(f"{path}/run={report['run_id']}")
+    row = tuple(report[field.split()[0]] for field in RUNS.split(", "))
+    spark.createDataFrame([row], RUNS).coalesce(1).write.mode("overwrite").json(f"{path}/run={report['run_id']}")
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

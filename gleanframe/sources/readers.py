@@ -40,9 +40,15 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spread(spark.read.schema(PAGES).parquet(path))
 
 
-def stream_pages(spark: SparkSession, path: str, files_per_batch: int = 50) -> DataFrame:
-    """Pages as they arrive; the number of files bounds a micro-batch."""
-    return spark.readStream.schema(PAGES).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def stream_pages(spark: SparkSession, path: str, files_per_batch: int = 50, fetched: str | None = None) -> DataFrame:
+    """Pages as they arrive; the number of files bounds a micro-batch.
+
+    ``fetched`` adds a column with the time at which a page's file was written.
+    """
+    pages = spark.readStream.schema(PAGES).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    if fetched is None:
+        return pages
+    return pages.select("*", F.col("_metadata.file_modification_time").alias(fetched))
 
 
 def read_failure_ledger(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
@@ -73,10 +79,13 @@ def read_failure_ledger(spark: SparkSession, path: str, lines: bool = False) ->
     return latest.select("url", "error", "attempts", F.col("timestamp").alias("ts"))
 
 
-def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON object file as ``key, value_json`` rows; nothing when missing or corrupt."""
+def read_checkpoint(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """A JSON object file as ``key, value_json`` rows; nothing when missing or corrupt.
+
+    The file is one document for one task; ``lines`` reads one object from each line instead.
+    """
     text = T.StructType([T.StructField("value", T.StringType())])
-    whole = _or_empty(spark, lambda: spark.read.text(path, wholetext=True), text)
+    whole = _or_empty(spark, lambda: spark.read.text(path, wholetext=not lines), text)
     entries = whole.select(F.explode(F.from_json("value", "map<string,variant>")).alias("key", "value"))
     return entries.select("key", F.to_json("value").alias("value_json"))
 
@@ -96,6 +105,13 @@ def read_exported_csv(spark: SparkSession, path: str, position: bool = False) ->
     )
 
 
+def read_exported_json(spark: SparkSession, path: str, corrupt: str | None = None) -> DataFrame:
+    """Exported listings from JSON Lines; ``corrupt`` names a column for lines that are no valid listing."""
+    schema = EXPORT if corrupt is None else T.StructType([*EXPORT.fields, T.StructField(corrupt, T.StringType())])
+    options = {} if corrupt is None else {"columnNameOfCorruptRecord": corrupt}
+    return _or_empty(spark, lambda: spark.read.schema(schema).options(**options).json(path), schema)
+
+
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     """Structured log lines; fields beyond the fixed ones go to the map ``extra``."""
     fields = spark.read.text(path).select(F.from_json("value", "map<string,string>").alias("f"))

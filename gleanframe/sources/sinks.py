@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from gleanframe.operators.dedup import known_records, new_records
 from gleanframe.operators.extract import export_rows
 from gleanframe.operators.upsert import upsert_merge
-from gleanframe.schemas import EXPORT, EXPORT_COLUMNS, FAILURE_LEDGER, LONG, STRING, TIME, struct_of
+from gleanframe.schemas import EXPORT, EXPORT_COLUMNS, FAILURE_LEDGER, INT, LONG, STRING, TIME, struct_of
+from gleanframe.session import written
 from gleanframe.sources.readers import _or_empty
 
 logger = logging.getLogger(__name__)
@@ -99,26 +100,104 @@ class KnownIds:
         ids.write.mode("overwrite").parquet(f"{self._path}/batch={tag}")
 
 
+class LedgerFeed:
+    """The failure ledger as the changes of each batch; the latest change of a URL counts.
+
+    A batch writes only the URLs it names; one that is run again overwrites its own part.
+    """
+
+    _CHANGES = struct_of(url=STRING, error=STRING, attempts=INT, ts=TIME, batch=STRING)
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self._path = spark, path
+
+    def add(self, changes: DataFrame, tag: str) -> None:
+        changes.select("url", "error", "attempts", "ts").write.mode("overwrite").parquet(f"{self._path}/batch={tag}")
+
+    def read(self) -> DataFrame:
+        changes = _or_empty(self._spark, lambda: self._spark.read.schema(self._CHANGES).parquet(self._path), self._CHANGES)
+        entry = F.struct("error", "attempts", "ts")
+        latest = changes.groupBy("url").agg(F.max_by(entry, "batch").alias("entry"))
+        return latest.select("url", "entry.*").filter("attempts is not null")
+
+
+class BucketedTable:
+    """A keyed table in buckets by a hash of the key; a version replaces only the buckets it names.
+
+    A version's files come first, then the rows that make it the current one of its buckets.
+    Buckets it does not name keep their files. A tag names the batch a version came from, and a
+    batch run again starts from what was there before it, as in ``SnapshotTable``.
+    """
+
+    _LOG = struct_of(version=LONG, tag=STRING, bucket=INT)
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int = 64):
+        self._spark, self._path, self._schema, self._key, self.buckets = spark, path, schema, key, buckets
+
+    def bucket_of(self, key: Column | str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def _versions(self) -> DataFrame:
+        log = _or_empty(self._spark, lambda: self._spark.read.schema(self._LOG).json(f"{self._path}/versions"), self._LOG)
+        return log
+
+    def current(self, before_tag: str | None = None) -> dict[int, int]:
+        """The current version of each bucket that has rows; as many entries as buckets at most."""
+        log = self._versions()
+        if before_tag is not None:
+            own = log.filter(F.col("tag") == before_tag).agg(F.min("version").alias("v")).first().v
+            log = log if own is None else log.filter(F.col("version") < own)
+        return {row.bucket: row.v for row in log.groupBy("bucket").agg(F.max("version").alias("v")).collect()}
+
+    def read(self, only: list[int] | None = None, before_tag: str | None = None) -> DataFrame:
+        current = self.current(before_tag)
+        paths = [f"{self._path}/data/v={v}/bucket={b}" for b, v in sorted(current.items()) if only is None or b in only]
+        if not paths:
+            return self._spark.createDataFrame([], self._schema)
+        return self._spark.read.schema(self._schema).parquet(*paths)
+
+    def replace(self, rows: DataFrame, buckets: list[int], tag: str = "") -> None:
+        """Make ``rows`` the content of ``buckets``, all of which must then hold some row."""
+        latest = self._versions().agg(F.max("version").alias("v")).first().v
+        version = (latest or 0) + 1
+        placed = rows.select(*self._schema.names, self.bucket_of(self._key).alias("bucket"))
+        spread = placed.repartition("bucket", F.pmod(F.xxhash64(self._key, F.lit(1)), F.lit(8)))
+        spread.write.mode("overwrite").partitionBy("bucket").parquet(f"{self._path}/data/v={version}")
+        entries = [(version, tag, bucket) for bucket in buckets]
+        self._spark.createDataFrame(entries, self._LOG).coalesce(1).write.mode("append").json(f"{self._path}/versions")
+
+
 class ListingTable:
-    """The keyed listing table as a sink; a batch with an id-less row is refused.
+    """The keyed listing table as a sink; a merge reads and writes only the buckets of its ids.
 
-    ``_order`` tells which row of a repeated id is the last; without it the URL does.
+    Rows without id have no place in it and are set aside, batch by batch. ``_order`` tells
+    which row of a repeated id is the last; without it the URL does.
     """
 
-    def __init__(self, spark: SparkSession, path: str, now: Column | None = None):
+    def __init__(self, spark: SparkSession, path: str, now: Column | None = None, buckets: int = 64):
         schema = T.StructType([*EXPORT.fields, *struct_of(scraped_at=TIME).fields])
-        self._table, self._now = SnapshotTable(spark, path, schema), now
+        self._spark, self._path, self._now = spark, path, now
+        self._table = BucketedTable(spark, f"{path}/table", schema, "property_id", buckets)
 
     def read(self) -> DataFrame:
         return self._table.read()
 
+    def set_aside(self) -> DataFrame:
+        """The rows without id of all batches."""
+        return _or_empty(self._spark, lambda: self._spark.read.schema(EXPORT).json(f"{self._path}/set_aside/batch=*"), EXPORT)
+
     def __call__(self, rows: DataFrame, tag: str) -> None:
         ordered = rows if "_order" in rows.columns else rows.withColumn("_order", F.col("url"))
         batch = export_rows(ordered, keep=("_order",))
+        named = batch.filter("property_id <> ''")
+        write_json_lines(batch.filter("property_id is null or property_id = ''"), f"{self._path}/set_aside/batch={tag}", "overwrite")
+        touched = [row.b for row in named.select(self._table.bucket_of("property_id").alias("b")).distinct().collect()]
+        if not touched:
+            return
         now = self._now if self._now is not None else F.current_timestamp()
         # merging the same batch once more changes nothing, so no version is skipped
-        merged = upsert_merge(self._table.read(), batch, ["_order"], now, list(EXPORT_COLUMNS))
-        self._table.replace(merged, tag)
+        merged = upsert_merge(self._table.read(touched), named, ["_order"], now, list(EXPORT_COLUMNS))
+        self._table.replace(merged, touched, tag)
 
 
 def build_sinks(spark: SparkSession, names: str | list[str], out: str) -> dict[str, Sink]:
@@ -155,20 +234,18 @@ class Exporter:
 
     def export(self, rows: DataFrame, tag: str) -> dict[str, int | None]:
         """Rows each sink took, None for a sink that failed; raises if all failed."""
-        rows = rows.persist()
+        # in the shared folder, so that no lost executor makes the pages be read again
+        rows = written(rows)
         taken: dict[str, int | None] = {}
         failure: Exception | None = None
-        try:
-            if rows.isEmpty():
-                return dict.fromkeys(self.sinks, 0)
-            for name, sink in self.sinks.items():
-                try:
-                    taken[name] = self._write(name, sink, rows, tag)
-                except Exception as error:
-                    logger.error("sink %s failed on batch %s: %s", name, tag, error)
-                    taken[name], failure = None, error
-        finally:
-            rows.unpersist()
+        if rows.isEmpty():
+            return dict.fromkeys(self.sinks, 0)
+        for name, sink in self.sinks.items():
+            try:
+                taken[name] = self._write(name, sink, rows, tag)
+            except Exception as error:
+                logger.error("sink %s failed on batch %s: %s", name, tag, error)
+                taken[name], failure = None, error
         if failure is not None and all(count is None for count in taken.values()):
             raise failure
         return taken
@@ -177,15 +254,12 @@ class Exporter:
         # known ids outgrow any batch: first keep those the batch asks for, which
         # needs no shuffle of them while the ids of the batch fit a broadcast
         asked = rows.select("property_id").filter("property_id <> ''").distinct()
-        fresh = new_records(rows, known_records(self.known(name, before_tag=tag), asked)).persist()
-        try:
-            count = fresh.count()
-            if count:
-                sink(fresh, tag)
-                self._known[name].add(fresh, tag)
-            return count
-        finally:
-            fresh.unpersist()
+        fresh = written(new_records(rows, known_records(self.known(name, before_tag=tag), asked)))
+        count = fresh.count()
+        if count:
+            sink(fresh, tag)
+            self._known[name].add(fresh, tag)
+        return count
 
 
 def ledger_table(spark: SparkSession, path: str) -> SnapshotTable:

@@ -9,32 +9,70 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from gleanframe.operators import ledger as failures
-from gleanframe.operators.dedup import first_per_id
-from gleanframe.operators.extract import normalize_listing, raw_listing
+from gleanframe.operators.dedup import first_per_id, new_records
+from gleanframe.operators.extract import export_rows, normalize_listing, raw_listing
+from gleanframe.operators.markup import READ_ERROR
 from gleanframe.operators.quality import validate
-from gleanframe.sources.sinks import Exporter, SnapshotTable
+from gleanframe.operators.runs import EARLY_STOP_AFTER
+from gleanframe.sources.sinks import Exporter, LedgerFeed
+from gleanframe.streaming.control import ledger_entries, stop_early
 
 PROGRESS = "crawl_progress"
 
 
-def stream_listings(pages: DataFrame) -> DataFrame:
-    """Page stream to validated listings, with progress counters observed on it."""
-    listings = validate(normalize_listing(raw_listing(pages, keep=("page_id",)), keep=("page_id",)))
+def stream_listings(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Page stream to validated listings, with progress counters observed on it; ``keep`` passes columns through."""
+    kept = ("page_id", *keep)
+    raw = raw_listing(pages, keep=kept, error=READ_ERROR)
+    listings = validate(normalize_listing(raw, keep=(*kept, READ_ERROR)), error=READ_ERROR)
     return listings.observe(
         PROGRESS,
         F.count(F.lit(1)).alias("scraped"),
         F.count_if(~F.col("validation.is_valid")).alias("invalid"),
-    )
+        F.count(READ_ERROR).alias("unread"),
+    ).drop(READ_ERROR)
 
 
-def distinct_listings(listings: DataFrame) -> DataFrame:
+def distinct_listings(
+    listings: DataFrame, known: DataFrame | None = None, seen_at: str | None = None, within: str = "7 days"
+) -> DataFrame:
     """First listing of each id within the query; listings without id all pass.
 
-    The state never expires, as ids do not.
+    With ``seen_at``, the time a listing was fetched, an id is remembered for ``within`` after
+    its first listing and then leaves the state; ids exported before are left out by ``known``,
+    so the state holds what is new in that span. Without it, ids are remembered for ever.
     """
+    if known is not None:
+        listings = new_records(listings, known)
     named = F.coalesce(F.col("property_id"), F.lit("")) != ""
-    return listings.filter(named).dropDuplicates(["property_id"]).unionByName(listings.filter(~named))
+    if seen_at is None:
+        return listings.filter(named).dropDuplicates(["property_id"]).unionByName(listings.filter(~named))
+    # rows of a micro-batch lie within the span of the watermark, so none of them is late
+    timed = listings.withWatermark(seen_at, within)
+    alone = F.when(~named, F.col("page_id"))
+    return timed.withColumn("_alone", alone).dropDuplicatesWithinWatermark(["property_id", "_alone"]).drop("_alone")
+
+
+def daily_listings(
+    listings: DataFrame,
+    known: DataFrame,
+    crawl_id: int,
+    threshold: int = EARLY_STOP_AFTER,
+    ttl_ms: int | None = None,
+) -> DataFrame:
+    """Listing stream of one daily crawl up to its early stop, without the known listings.
+
+    ``known`` holds the ids exported before the crawl; an id that came earlier in the crawl is
+    known too. Rows are export rows plus ``page_id`` and ``crawl_id``. The stop depends on the
+    order of all rows of the crawl, so one task holds its rows of a micro-batch.
+    """
+    rows = export_rows(listings, keep=("page_id",))
+    exported = known.select(F.col("property_id").alias("_known")).distinct()
+    marked = rows.join(exported, F.nullif("property_id", F.lit("")) == F.col("_known"), "left").withColumns(
+        {"crawl_id": F.lit(crawl_id).cast("long"), "seq": F.col("page_id"), "is_known": F.col("_known").isNotNull()}
+    )
+    examined = stop_early(marked.drop("_known"), threshold, repeats=True, ttl_ms=ttl_ms)
+    return examined.filter("not is_known").drop("seq", "is_known", "streak")
 
 
 def batch_tag(batch_id: int) -> str:
@@ -64,16 +102,12 @@ def start_export(listings: DataFrame, exporter: Exporter, checkpoint: str) -> St
     )
 
 
-def start_ledger(log: DataFrame, table: SnapshotTable, checkpoint: str) -> StreamingQuery:
-    """Keep the failure ledger up to date from a request-log stream."""
-
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        tag = batch_tag(batch_id)
-        changes = failures.ledger_changes(batch)
-        table.replace(failures.merge_ledger(table.read(before_tag=tag), changes), tag)
-
+def start_ledger(log: DataFrame, table: LedgerFeed, checkpoint: str) -> StreamingQuery:
+    """Keep the failure ledger up to date from a request-log stream; a batch writes what it changes."""
     return (
-        log.writeStream.foreachBatch(fold)
+        ledger_entries(log)
+        .writeStream.outputMode("update")
+        .foreachBatch(lambda changes, batch_id: table.add(changes, batch_tag(batch_id)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -84,7 +118,7 @@ class ProgressCounters(StreamingQueryListener):
     """Adds up the observed counters of all batches and hands on each new total."""
 
     def __init__(self, report: Callable[[dict[str, int]], None] | None = None):
-        self.totals: dict[str, int] = {"scraped": 0, "invalid": 0}
+        self.totals: dict[str, int] = {"scraped": 0, "invalid": 0, "unread": 0}
         self._report = report
 
     def onQueryStarted(self, event) -> None:

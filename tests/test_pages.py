@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from gleanframe.functions.url import canonical_url
 from gleanframe.operators import links, quality
 from gleanframe.operators.extract import LISTING_RULES, export_rows, normalize_listing, raw_listing, read_page
 from gleanframe.operators.markup import PageReader, PageRules, Pick
+from gleanframe.plans import jobs
 from gleanframe.schemas import EXPORT_COLUMNS, RAW_FIELDS
 
 LISTING = """
@@ -104,7 +106,7 @@ def test_reader_tolerates_broken_nesting():
         "<script>'<p>no</p>'</script><p><b>one<br><p>two<div class=x><p>th<!-- <p> -->ree</i></div></p>four"
         "<style>p{}</style><a rel='next prev' href=/no></a><a rel=next href=/2>n</a><p/>"
     )
-    assert page == {"p": "three", "all": ["one", "two", "three", ""], "next": "/2"}
+    assert page == {"p": "three", "all": ["one", "two", "three", ""], "next": "/2", "read_error": None}
 
 
 def test_normalized_and_exported(spark):
@@ -147,6 +149,47 @@ def test_links(spark):
     assert [r.url for r in links.pages_without_links(read).collect()] == ["http://s.com/none"]
 
 
+def test_next_edges(spark):
+    rows = [
+        ("http://S.com/l/1?utm_id=2", "2"), ("http://s.com/l/2#x", "../l/3/"), ("http://s.com/l/3", ""), ("http://s.com/l/4", None),
+        ("http://s.com/l/5", "?page=2&ref=1"), ("http://s.com/l/6", "//T.com:80/a"), ("http://s.com/l/7", "#top"), (None, "x"),
+    ]
+    got = links.next_edges(spark.createDataFrame(rows, "url string, next string"))
+    assert [tuple(r) for r in got.collect()] == [
+        ("http://s.com/l/1", "http://s.com/l/2"), ("http://s.com/l/2", "http://s.com/l/3"), ("http://s.com/l/3", "http://s.com/l/3"),
+        ("http://s.com/l/4", None), ("http://s.com/l/5", "http://s.com/l/5?page=2"), ("http://s.com/l/6", "http://t.com/a"),
+        ("http://s.com/l/7", "http://s.com/l/7"), (None, None),
+    ]
+
+
+def test_walk_over_links_found_in_pages(spark):
+    page = "<html><a rel='next' href='{}'>n</a><li><a href='/x{}'>x</a><a href='/x{}'>x</a></li></html>"
+    urls = ["http://s.com/a", "http://s.com/b?utm_source=1", "http://s.com/c/"]
+    rows = [(u, page.format(target, k, k + 1)) for k, (u, target) in enumerate(zip(urls, ["b", "./c#x", "/a"]))]
+    rules = PageRules({"links": Pick("li a", attr="href", many=True), "next": Pick("a[rel='next']", attr="href")})
+    pages = spark.createDataFrame(rows, "url string, html string").select("url", read_page("html", rules).alias("page"))
+    pages = pages.select("url", "page.links", "page.next")
+    starts = spark.createDataFrame([(1, "http://s.com/a"), (2, "http://s.com/c"), (3, "http://s.com/gone")], "crawl_id int, url string")
+    walk = links.page_walk(starts, links.next_edges(pages))
+    edges = links.link_edges(pages.select(canonical_url("url").alias("url"), F.col("links").alias("hrefs")))
+    got = sorted((r.crawl_id, r.page_no, r.position, r.detail_url[-2:]) for r in links.crawl_frontier(walk, edges).collect())
+    first = [(1, n, p, f"x{n - 1 + p}") for n in (1, 2, 3) for p in (0, 1)]
+    assert got == first + [(2, 1, 0, "x2"), (2, 1, 1, "x3"), (2, 2, 0, "x0"), (2, 2, 1, "x1"), (2, 3, 0, "x1"), (2, 3, 1, "x2")]
+
+
+def test_a_broken_page_gives_nulls_and_one_error(spark):
+    good = '<meta name="crm-id" content="a"><h1 class="font-extrabold">t</h1>'
+    broken = f'<meta name="crm-id" content="b"><h1 class="font-extrabold">half &#{"9" * 5000};</h1><h2 class="font-bold text-gold-shade-55">1</h2>'
+    pages = spark.createDataFrame([(1, "http://s/1", good), (2, "http://s/2", broken), (3, "http://s/3", None)], "page_id long, url string, html string")
+    rows = {r.page_id: r for r in jobs.clean_listings(pages).collect()}
+    assert (rows[1].title, rows[1].read_error) == ("t", None)
+    assert (rows[2].property_id, rows[2].title, rows[2].price) == ("b", None, None)
+    assert rows[2].read_error.startswith("ValueError")
+    assert (rows[3].title, rows[3].read_error) == (None, None)
+    counts = {r.error: r.n for r in quality.quality_report(jobs.clean_listings(pages)).collect()}
+    assert counts == {"Missing required field: property_id": 1, "Missing required field: title": 2, quality.UNREAD: 1}
+
+
 def test_page_walk(spark):
     chain = [("a1", "a2"), ("a2", "a3"), ("a3", None), ("b1", "b2"), ("b2", "gone"), ("c1", "c2"), ("c2", "c3"), ("c3", "c2"), ("d1", "d1")]
     nexts = spark.createDataFrame(chain, "url string, next_url string")

@@ -87,7 +87,7 @@ def test_ledger_stream_equals_batch(spark, tmp_path):
     src = str(tmp_path / "log")
     for low in range(0, 240, 80):
         put(request_log(spark, rows[low : low + 80]), src)
-    table = sinks.ledger_table(spark, str(tmp_path / "ledger"))
+    table = sinks.LedgerFeed(spark, str(tmp_path / "ledger"))
     stream = spark.readStream.schema(REQUEST_LOG).option("maxFilesPerTrigger", 1).parquet(src)
     for checkpoint in ("ckpt", "ckpt2"):  # the second time all batches are replayed
         assert crawl.start_ledger(stream, table, str(tmp_path / checkpoint)).awaitTermination(120)
@@ -147,3 +147,60 @@ def test_admission_stream(spark, tmp_path):
     batch = spark.createDataFrame(rows, schema).withColumn("failed", F.col("outcome") != "success")
     closed = {r.seq for r in requestlog.circuit_state(batch, 2, 5.0).collect() if r.state == "CLOSED"}
     assert closed
+
+
+def test_a_batch_writes_only_its_urls(spark, tmp_path):
+    src, out, ckpt = (str(tmp_path / name) for name in ("log", "ledger", "ckpt"))
+    table = sinks.LedgerFeed(spark, out)
+    run = lambda: crawl.start_ledger(spark.readStream.schema(REQUEST_LOG).parquet(src), table, ckpt).awaitTermination(120)
+    lost, again, gone = (1, 1.0, 1, "a", "crawl", "timeout"), (2, 2.0, 1, "a", "retry", "HTTP 503"), (5, 5.0, 1, "a", "retry", None)
+    put(request_log(spark, [lost, (3, 1.5, 1, "b", "crawl", "timeout"), (4, 1.6, 1, "c", "crawl", None)]), src)
+    assert run()
+    put(request_log(spark, [again]), src)
+    assert run()
+    parts = spark.read.parquet(out).groupBy("batch").agg(F.sort_array(F.collect_set("url")).alias("urls")).orderBy("batch").collect()
+    assert [r.urls for r in parts] == [["a", "b"], ["a"]]
+    assert {(r.url, r.error, r.attempts, r.ts.timestamp()) for r in table.read().collect()} == {("a", "timeout", 2, 1.0), ("b", "timeout", 1, 1.5)}
+    put(request_log(spark, [gone]), src)
+    assert run()
+    assert {r.url for r in table.read().collect()} == {"b"}
+
+
+def test_daily_stop_inside_the_page_stream(spark, tmp_path):
+    src, out, ckpt = (str(tmp_path / name) for name in ("pages", "out", "ckpt"))
+    exporter = sinks.Exporter(spark, sinks.build_sinks(spark, "csv", out), out)
+    known = spark.createDataFrame([(f"k{n}",) for n in range(100)], "property_id string")
+    run = lambda: crawl.start_export(
+        crawl.daily_listings(crawl.stream_listings(readers.stream_pages(spark, src, 1)), known, 1), exporter, ckpt
+    ).awaitTermination(120)
+    ids = [f"k{n}" for n in range(20)] + ["n1", "n2", "n1"] + [f"k{n}" for n in range(10)]
+    put(pages(spark, *list(enumerate(ids))), src)
+    assert run()
+    # 11 known rows in a row so far, the repeated id among them; the 24th ends the crawl
+    more = [f"k{n}" for n in range(12)] + ["n2", "late", "n3"]
+    put(pages(spark, *[(100 + n, i) for n, i in enumerate(more)]), src)
+    assert run()
+    put(pages(spark, (200, "n4")), src)
+    assert run()
+    assert exported(out)(spark) == ["n1", "n2"]
+
+
+def test_ids_leave_the_state(spark, tmp_path):
+    src = str(tmp_path / "listings")
+    schema = "page_id long, property_id string, seen_at timestamp"
+    sizes = []
+    for hour in range(0, 40, 4):
+        rows = [(hour * 10 + n, f"p{hour}-{n // 2}", None) for n in range(8)] + [(hour * 10 + 9, None, None)]
+        df = spark.createDataFrame(rows, schema).withColumn("seen_at", F.timestamp_seconds(F.lit(hour * 3600) + F.col("page_id") % 10))
+        put(df, src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        known = spark.createDataFrame([("p8-1",)], "property_id string")
+        distinct = crawl.distinct_listings(stream, known, seen_at="seen_at", within="6 hours")
+        query = distinct.writeStream.option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ckpt"))
+        query = query.format("parquet").trigger(availableNow=True).start()
+        assert query.awaitTermination(120)
+        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    got = sorted(r.property_id or "" for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == sorted([""] * 10 + [f"p{h}-{n}" for h in range(0, 40, 4) for n in range(4) if (h, n) != (8, 1)])
+    # of ten batches with five rows each, three are remembered
+    assert max(sizes) <= 15

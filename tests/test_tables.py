@@ -193,6 +193,49 @@ def test_export_contract(spark, tmp_path):
     assert only.known("broken").count() == 0
 
 
+def test_merge_leaves_other_buckets_alone(spark, tmp_path):
+    table = sinks.ListingTable(spark, str(tmp_path), buckets=8)
+    rows = listings(spark, *[(f"p{n}", "a") for n in range(40)])
+    table(rows, "1")
+    before = {r.f for r in table.read().select(F.input_file_name().alias("f")).distinct().collect()}
+    table(listings(spark, ("p3", "b"), (None, "x"), ("", "y")), "2")
+    after = {r.f for r in table.read().select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len(after - before) == 1 and len(before & after) >= 5
+    assert {(r.property_id, r.title) for r in table.read().collect()} == {(f"p{n}", "b" if n == 3 else "a") for n in range(40)}
+    assert sorted(r.title for r in table.set_aside().collect()) == ["x", "y"]
+    # the same batch again, then one with nothing but rows without id
+    table(listings(spark, ("p3", "b"), (None, "x"), ("", "y")), "2")
+    table(listings(spark, (None, "z")), "3")
+    assert table.read().count() == 40 and sorted(r.title for r in table.set_aside().collect()) == ["x", "y", "z"]
+
+
+def test_corrupt_lines_of_an_export(spark, tmp_path):
+    sinks.write_json_lines(listings(spark, ("1", "a")), str(tmp_path / "json"))
+    (tmp_path / "json" / "more.json").write_text('{"property_id": "2", "price": 3}\n{"property_id": \n')
+    got = {(r.property_id, r.price, r.bad) for r in readers.read_exported_json(spark, str(tmp_path / "json"), corrupt="bad").collect()}
+    assert got == {("1", 1.5, None), ("2", 3.0, None), (None, None, '{"property_id": ')}
+    assert readers.read_exported_json(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_run_that_dies_makes_the_next_one_resume(spark, tmp_path):
+    out = str(tmp_path)
+
+    def broken(rows, tag):
+        raise RuntimeError("down")
+
+    schema = "page_id long, url string, html string"
+    pages = spark.createDataFrame([page(n, f"p{n}") for n in range(3)], schema)
+    good = sinks.Exporter(spark, sinks.build_sinks(spark, "json", out), out)
+    run = lambda exporter, run_id, at: jobs.crawl_run(pages, exporter, exporter.known(next(iter(exporter.sinks))), run_id, runs_path=f"{out}/runs", started=at, ended=at + 2)
+    assert run(good, "r1", 1.0)["next_mode"] == "daily"
+    with pytest.raises(RuntimeError):
+        run(sinks.Exporter(spark, {"broken": broken}, f"{out}/broken"), "r2", 2.0)
+    assert run(good, "r3", 3.0)["mode"] == "resume"
+    rows = {r.run_id: r for r in jobs.read_runs(spark, f"{out}/runs").collect()}
+    assert [(rows[k].outcome, rows[k].elapsed_secs) for k in ("r1", "r2", "r3")] == [("COMPLETED", 2.0), ("INTERRUPTED", None), ("COMPLETED", 2.0)]
+    assert (rows["r1"].stream_exhausted, rows["r1"].pages_exhausted, rows["r1"].early_stop, rows["r1"].errors) == (True, True, False, 0)
+
+
 def test_sink_names(spark, tmp_path):
     assert list(sinks.build_sinks(spark, ["CSV", "json"], str(tmp_path))) == ["csv", "json"]
     for names in ("csv,nope", "", []):
