@@ -5,12 +5,15 @@
    taken in one order for all texts: by hash, with shingles that a bounded sample shows to be
    frequent at the end, so that passages in many texts do not gather them all.
 2. Texts meet at shared prefix shingles. Shingles with the same members count once.
-3. A signature tree stands over the members of each meeting: nodes hold OR-combined bitmaps
-   and size ranges, and two nodes are only looked into if their largest possible overlap can
-   reach the threshold and they are not in one component already. Links to the first member
-   of each meeting come first, so large groups of near copies are one component by then.
-   Meetings of many members are split into blocks, and each two blocks meet.
-4. Pairs that the trees leave are verified on the whole sets.
+3. Large groups of near copies become one component first: in rounds, each meeting compares a
+   leader from its largest component with all members outside it, and what links is contracted.
+   A round takes as many pairs as there are memberships, and the rounds go on while they link
+   a fair share of what they compare.
+4. A signature tree stands over the members of each meeting that still holds several
+   components: nodes hold OR-combined bitmaps and size ranges, and two nodes are only looked
+   into if their largest possible overlap can reach the threshold and they are not in one
+   component already. Meetings of many members are split into blocks, and each two blocks meet.
+5. Pairs are verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -25,7 +28,6 @@ import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from gleanframe.llm.base import let, lower_ascii, stored
 from gleanframe.llm.components import components
@@ -44,6 +46,8 @@ BLOCK = 4000
 LEAF = 8
 #: Meetings of up to so many members are compared as leaves, many meetings at once.
 SMALL = 32
+#: Rounds of leaders end when fewer than one in so many compared pairs links.
+FAIR = 10
 
 
 def shingle_set(text: Column, n: int = WORDS) -> Column:
@@ -150,9 +154,12 @@ def _children(x: np.ndarray, y: np.ndarray, a: SignatureTree, b: SignatureTree,
 
 def describe(docs: DataFrame, id_col: str, text_col: str, percent: int, sample: int = SAMPLE) -> DataFrame:
     """Stored (doc_id, rid, n, key, digest, bits, prefix); the last two only where a task first sees a digest."""
-    ids = docs.select(F.col(id_col).alias("i")).orderBy(F.xxhash64("i")).limit(sample).distinct()
-    drawn = docs.join(F.broadcast(ids), docs[id_col].eqNullSafe(F.col("i")), "left_semi")  # at most ``sample`` ids
-    common = drawn.select(F.explode(shingle_set(F.col(text_col))).alias("h")).groupBy("h").count()
+    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    marks = given.select(F.xxhash64("doc_id", "text").alias("mark"))
+    drawn = F.broadcast(marks.orderBy("mark").limit(sample).distinct())  # at most ``sample`` numbers
+    texts = given.withColumn("mark", F.xxhash64("doc_id", "text")).join(drawn, "mark", "left_semi")
+    texts = texts.groupBy("mark").agg(F.max("text").alias("text"))  # rows that stand many times count once
+    common = texts.select(F.explode(shingle_set(F.col("text"))).alias("h")).groupBy("h").count()
     # bounded by the shingles of the sample
     rows = common.where(F.col("count") >= FREQUENT).select("h").toPandas()
     frequent = np.sort(rows["h"].to_numpy(np.int64)) if len(rows) else np.zeros(0, np.int64)
@@ -189,7 +196,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str, percent: int, sample:
                 ["doc_id", "rid", "n", "key", "digest", "bits", "prefix"],
             )
 
-    sets = docs.select(F.col(id_col).alias("doc_id"), shingle_set(F.col(text_col)).alias("s"))
+    sets = given.select("doc_id", shingle_set(F.col("text")).alias("s"))
     sets = sets.withColumn("key", F.xxhash64("s"))
     kind = sets.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, rid long, n long, key long, digest binary, bits binary, prefix array<bigint>"
@@ -199,7 +206,8 @@ def describe(docs: DataFrame, id_col: str, text_col: str, percent: int, sample:
 def meetings(described: DataFrame, reps: DataFrame) -> DataFrame:
     """(token, rep, members) of shared prefix shingles; of those with the same members only one."""
     tokens = described.select("rid", F.explode("prefix").alias("token"))
-    shared = tokens.withColumn("n_here", F.count("*").over(Window.partitionBy("token"))).where("n_here > 1")
+    twice = tokens.groupBy("token").agg(F.count("*").alias("n_here")).where("n_here > 1")
+    shared = tokens.join(twice, "token")
     rows = stored(shared.select("token", "rid").join(reps, "rid").select("token", "rep").distinct(), "meetings")
     signed = rows.groupBy("token").agg(
         F.count("*").alias("members"),
@@ -217,6 +225,40 @@ def mixed(met: DataFrame, known: DataFrame) -> DataFrame:
     return named.join(several, "token", "left_semi").drop("label").join(known, "rep")
 
 
+def leader_pairs(met: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """(a, b): a leader of each meeting's largest component with every member outside it."""
+    named = met.join(labels, "rep").select("token", "rep", "label")
+    parts = named.groupBy("token", "label").agg(
+        F.count("*").alias("size"), F.min_by("rep", F.xxhash64("rep", F.lit(turn))).alias("leader")
+    )
+    largest = F.max_by(F.struct("label", "leader"), F.struct("size", -F.col("label"))).alias("main")
+    mains = parts.groupBy("token").agg(F.count("*").alias("parts"), largest).where("parts > 1")
+    mains = mains.select("token", F.col("main.label").alias("main"), F.col("main.leader").alias("leader"))
+    outside = named.join(mains, "token").where("label <> main")
+    return outside.select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
+
+
+def leader_links(met: DataFrame, facts: DataFrame, sets: Sets, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that rounds of leaders find, and (rep, label) of all texts by them.
+
+    The first round covers all meetings, later ones those of more than ``SMALL`` members.
+    """
+    ends = [facts.select(F.col("rep").alias(c), F.col("n").alias("n" + c), F.col("bits").alias("bits" + c)) for c in "ab"]
+    labels, links, turn = facts.select("rep", F.col("rep").alias("label")), None, 0
+    while True:
+        pairs = leader_pairs(met if turn == 0 else met.where(F.col("members") > SMALL), labels, turn)
+        pairs = pairs.join(ends[0], "a").join(ends[1], "b").where(bitmaps_allow(percent)("na", "bitsa", "nb", "bitsb"))
+        pairs = stored(pairs.select("a", "b"), "leader-pairs")
+        found = stored(linked(pairs, sets.of(pairs), percent), "leader-links")
+        links = found if links is None else links.unionByName(found)
+        compared, new, turn = pairs.count(), found.count(), turn + 1
+        if new:
+            labelled = facts.select("rep").join(components(links).withColumnRenamed("id", "rep"), "rep", "left")
+            labels = stored(labelled.withColumn("label", F.coalesce("label", "rep")), "labels")
+        if new * FAIR < compared or not new:
+            return links, labels
+
+
 def tree_pairs(rows: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     """Distinct pairs (a, b) that the trees leave of ``rows`` (token, rep, members, n, bits, label).
 
@@ -317,15 +359,28 @@ def bitmaps_allow(percent: int):
     return allow
 
 
-def sets_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """Stored (rep, s): the sets of the ``wanted`` (i, rep, key), made again from the texts.
+class Sets:
+    """Shingle sets by rep, made from the texts when a pair first needs them."""
 
-    Rows may share an id: the key tells which is meant, the others have no set.
-    """
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    met = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("i")))
-    meant = let(shingle_set(F.col("text")), lambda s: F.when(F.xxhash64(s) == F.col("key"), s))
-    return stored(met.select("rep", meant.alias("s")), "pair-sets")
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, members: DataFrame):
+        self.texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+        self.keys = members.select(F.col("doc_id").alias("i"), F.col("rid").alias("rep"), "key")
+        self.made: DataFrame | None = None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        """(rep, s), those of all texts in ``pairs`` among them.
+
+        Rows may share an id: the key tells which is meant, the others have no set.
+        """
+        needed = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+        if self.made is not None:
+            needed = needed.join(self.made, "rep", "left_anti")
+        wanted = self.keys.join(needed, "rep")
+        met = self.texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("i")))
+        meant = let(shingle_set(F.col("text")), lambda s: F.when(F.xxhash64(s) == F.col("key"), s))
+        new = stored(met.select("rep", meant.alias("s")).where("s is not null"), "pair-sets")
+        self.made = new if self.made is None else self.made.unionByName(new)
+        return self.made
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -356,32 +411,11 @@ def jaccard_components(
     met = meetings(rows, reps)
     facts = rows.where("bits is not null").select(F.col("rid").alias("rep"), "n", "bits")
     facts = stored(facts.join(met.select("rep").distinct(), "rep"), "signatures")
-
-    # links to the first member of each meeting, as far as the bitmaps allow them
-    leader = Window.partitionBy("token")
-    star = met.withColumn("a", F.min("rep").over(leader)).where("a < rep").select("a", F.col("rep").alias("b")).distinct()
-    ends = [facts.select(F.col("rep").alias(c), F.col("n").alias("n" + c), F.col("bits").alias("bits" + c)) for c in "ab"]
-    star = star.join(ends[0], "a").join(ends[1], "b").where(bitmaps_allow(percent)("na", "bitsa", "nb", "bitsb"))
-    star = stored(star.select("a", "b"), "star-pairs")
-    tentative = components(star).withColumnRenamed("id", "rep")
-    known = stored(facts.join(tentative, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "labelled")
+    sets = Sets(docs, id_col, text_col, members)
+    links, labels = leader_links(met, facts, sets, percent)
+    known = stored(facts.join(labels, "rep"), "labelled")
     others = stored(tree_pairs(mixed(met, known), percent, block), "tree-pairs")
-
-    # the sets of all texts that any pair needs, from the texts themselves
-    pairs = star.unionByName(others)
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    wanted = members.join(needed, "rid", "left_semi").select(F.col("doc_id").alias("i"), F.col("rid").alias("rep"), "key")
-    sets = sets_of(docs, id_col, text_col, wanted)
-    links = stored(linked(pairs, sets, percent), "links")
-
-    # where a tentative link failed, the rest of its component is compared again
-    failed = star.join(links, ["a", "b"], "left_anti").select(F.col("a").alias("rep"))
-    broken = known.join(failed.distinct(), "rep", "left_semi").select("label").distinct()
-    again = known.join(broken, "label", "left_semi").drop("label")
-    true_labels = components(links).withColumnRenamed("id", "rep")
-    again = again.join(true_labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    rest = linked(tree_pairs(mixed(met, again), percent, block), sets, percent)
-    labels = components(links.unionByName(rest)).withColumnRenamed("id", "rep")
+    labels = components(links.unionByName(linked(others, sets.of(others), percent))).withColumnRenamed("id", "rep")
 
     named = members.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))

@@ -4,7 +4,8 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from gleanframe.llm import licenses, packing
+from gleanframe.llm import jaccard, licenses, packing
+from gleanframe.llm.base import stored
 
 MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."
 BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted."
@@ -47,3 +48,47 @@ def test_program_covers_every_length_by_itself():
             covered[n] += int(copies) * c
     assert len(histogram) > 1000 and covered == histogram
     assert sum(copies for copies, _ in configs) <= 1.002 * sum(lengths) / 2048 + 1
+
+
+def near_copies(n, words=60, seed=5):
+    """Edits of edits: each copy links to some others, but few link to any one."""
+    draw = random.Random(seed)
+    base = [f"w{k}" for k in range(words)]
+    texts = [base]
+    for k in range(1, n):
+        copy = list(texts[draw.randrange(max(0, k - 8), k)])
+        copy[draw.randrange(words)] = f"e{k}"
+        texts.append(copy)
+    return [(k, " ".join(t)) for k, t in enumerate(texts)]
+
+
+def test_candidates_grow_with_a_group_of_near_copies_and_not_with_its_square(spark, monkeypatch):
+    made = Counter()
+
+    def counted(df, name):
+        out = stored(df, name)
+        made[name] += out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    rows = {}
+    for n in (150, 600):
+        made.clear()
+        docs = near_copies(n)
+        got = jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+        sets = [{tuple(t.split()[i : i + 5]) for i in range(56)} for _, t in docs]
+        want = list(range(n))
+        for i in range(n):
+            for j in range(i):
+                if want[i] != want[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    a, b = sorted((want[i], want[j]))
+                    want = [a if w == b else w for w in want]
+        assert [r["component_id"] for r in sorted(got)] == want
+        rows[n] = made["leader-pairs"] + made["tree-pairs"]
+    assert rows[600] < 8 * rows[150] and rows[600] < 600 * 30
+
+
+def test_jaccard_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f", 1, 2, 3, 4), (2, "a b c d e f", 1, 2, 3, 4), (3, None, 1, 2, 3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, i int, rep int, label int, mark int")
+    assert sorted(map(tuple, jaccard.jaccard_components(docs).collect())) == [(1, 2, 1), (2, 2, 1), (3, 0, 3)]
