@@ -12,26 +12,36 @@ States and arcs are made when text first needs them and are kept in a table of b
 from __future__ import annotations
 
 import base64
+import codecs
 import gc
 import hashlib
 import math
 import re
 import sys
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Bounds of the tables in each Python worker; a full table starts anew.
+#: Bounds of the tables in each Python worker. Remembered texts go by halves: those not met since the last one go.
 MAX_ARCS = 400_000
 MAX_PIECES = 400_000
 MAX_PAIRS = 300_000
 #: Bytes read before what is settled is given out.
 SETTLE_EVERY = 1024
+#: Pieces of up to so many bytes are read side by side, many at once.
+SHORT = 64
+#: Bytes of text that are coded side by side.
+SLICE = 4 << 20
+#: Bytes that the decoder takes at a time.
+DECODE_EVERY = 1 << 16
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -40,6 +50,34 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
+class Recent(dict):
+    """A table of at most ``limit`` entries that forgets those longest unused, half the table at a time."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.half, self.older = max(1, limit // 2), {}
+
+    def known(self, keys: Iterable) -> tuple[dict, list]:
+        """The entries of ``keys`` that are remembered, and the keys that are not."""
+        found, new, get, older = {}, [], self.get, self.older.get
+        for key in keys:
+            value = get(key)
+            if value is None:
+                value = older(key)
+                if value is None:
+                    new.append(key)
+                    continue
+                self.keep(key, value)
+            found[key] = value
+        return found, new
+
+    def keep(self, key, value) -> None:
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class Transducer:
     """Encodes byte strings by the ranks of ``vocabulary``."""
 
@@ -55,6 +93,7 @@ class Transducer:
                 key = node << 8 | byte
                 node = self.next.get(key) or self._new_node(key)
             self.token[node] = number
+        self.lengths = np.array([len(self.bytes_of.get(i, b"")) for i in range(max(self.bytes_of, default=0) + 1)], np.int64)
         self._link()
         self.pairs: dict[int, bool] = {}
         self.plans: dict[int, tuple] = {}
@@ -219,146 +258,163 @@ class Transducer:
         return out + self._path(tokens, len(tokens) - 1)
 
 
-class Pieces(dict):
-    """Tokens of stretches of text in a form of the caller's, remembered up to a bound.
+    def encode_many(self, texts: list[bytes]) -> list[list[int]]:
+        """Tokens of each of many pieces; those of up to ``SHORT`` bytes go through the arcs together, byte by byte."""
+        out: list[list[int]] = [[] for _ in texts]
+        short = []
+        for i, text in enumerate(texts):
+            if (token := self.vocabulary.get(text)) is not None:
+                out[i] = [token]
+            elif len(text) > SHORT:
+                out[i] = self.encode(text)
+            elif text:
+                short.append(i)
+        short.sort(key=lambda i: -len(texts[i]))
+        if not short:
+            return out
+        if len(self.arcs) >= MAX_ARCS:
+            self.reset()
+        sizes = np.array([len(texts[i]) for i in short])
+        width = int(sizes[0])
+        read = np.frombuffer(b"".join(texts[i].ljust(width, b"\0") for i in short), np.uint8).reshape(len(short), width)
+        states, tokens = np.zeros(len(short), np.int64), np.zeros((len(short), width), np.int64)
+        for at in range(width):
+            n = int(np.searchsorted(-sizes, -at, "left"))  # pieces of more than ``at`` bytes come first
+            keys, where = np.unique(states[:n] << 8 | read[:n, at], return_inverse=True)
+            keys = keys.tolist()
+            arcs = [arc or self._arc(key >> 8, key & 255) for key, arc in zip(keys, map(self.arcs.get, keys), strict=True)]
+            step = np.array(arcs, np.int64)[where]
+            tokens[:n, at], states[:n] = step & 0xFFFFFF, step >> 24
+        # back from the ends, a token at a time
+        ends, rows, paths = sizes.copy(), np.arange(len(short)), []
+        while len(rows):
+            last = tokens[rows, ends[rows] - 1]
+            paths.append((rows, last))
+            ends[rows] -= self.lengths[last]
+            rows = rows[ends[rows] > 0]
+        for rows, last in reversed(paths):
+            for i, token in zip(rows.tolist(), last.tolist(), strict=True):
+                out[short[i]].append(token)
+        return out
+
+
+class Pieces(Recent):
+    """Packets of stretches of text, remembered up to a bound: decimal ids joined by one space, and their bytes.
 
     A place before a space or line end that follows a character that is no white space is a
     border of the pattern's matches, whatever stands around it. So a stretch from one such
     place to the next is coded on its own.
     """
 
-    def __init__(self, transducer: Transducer, find: Callable[[str], list[str]], form: Callable[[list[int]], object]):
-        super().__init__()
-        self.transducer, self.find, self.form = transducer, find, form
-        self.matches: dict[str, list[int]] = {}
-
-    def __missing__(self, stretch: str):
-        matches, ids = self.matches, []
-        for match in self.find(stretch):
-            if (tokens := matches.get(match)) is None:
-                tokens = self.transducer.encode(match.encode())
-                if len(match) <= 64:
-                    matches[match] = tokens
-            ids += tokens
-        if len(matches) >= MAX_PIECES:
-            matches.clear()
-        if len(self) >= MAX_PIECES:
-            self.clear()
-        value = self.form(ids)
-        if len(stretch) <= 64:
-            self[stretch] = value
-        return value
-
-    def of(self, text: str) -> list:
-        """The forms of a text's stretches, in order; of the whole text if white space stands side by side."""
-        if not text:
-            return []
-        if _SPACES_MEET(text):
-            return [self[text]]
-        first, *lines = text.split("\n")
-        head, *rest = first.split(" ")
-        stretches = [head] if head else []
-        stretches += [" " + x for x in rest]
-        for line in lines:
-            head, *rest = line.split(" ")
-            stretches.append("\n" + head)
-            stretches += [" " + x for x in rest]
-        return list(map(self.__getitem__, stretches))
+    def __init__(self, transducer: Transducer, split: Callable[[str], list[str]]):
+        super().__init__(MAX_PIECES)
+        self.transducer, self.split = transducer, split
+        self.matches = Recent(MAX_PIECES)
+
+    def packets(self, matches: Iterable[str]) -> dict[str, tuple[str, bytes]]:
+        """The packet of each match."""
+        known, new = self.matches.known(set(matches))
+        bytes_of = self.transducer.bytes_of
+        for match, ids in zip(new, self.transducer.encode_many([m.encode() for m in new]), strict=True):
+            known[match] = packet = (" ".join(map(str, ids)), b"".join([bytes_of[i] for i in ids]))
+            if len(match) <= SHORT:
+                self.matches.keep(match, packet)
+        return known
+
+    def learn(self, stretches: Iterable[str]) -> dict[str, tuple[str, bytes]]:
+        """The packet of each stretch."""
+        out, new = self.known(stretches)
+        # side by side these keep their borders; the others are split one by one
+        plain = [s for s in new if s[0] in " \n" and not s[-1].isspace()]
+        matches = self.split("".join(plain))
+        others = [(s, self.split(s)) for s in new if s[0] not in " \n" or s[-1].isspace()]
+        known = self.packets(chain(matches, *[found for _, found in others]))
+        at = 0
+        for stretch in plain:
+            first, size = at, len(matches[at])
+            at += 1
+            if size == len(stretch):
+                packet = known[matches[first]]
+            else:
+                while size < len(stretch):
+                    size += len(matches[at])
+                    at += 1
+                packet = _joined([known[match] for match in matches[first:at]])
+            out[stretch] = packet
+            if len(stretch) <= SHORT:
+                self.keep(stretch, packet)
+        for stretch, found in others:
+            out[stretch] = packet = _joined([known[match] for match in found])
+            if len(stretch) <= SHORT:
+                self.keep(stretch, packet)
+        return out
 
+    def of(self, texts: list[str]) -> list[list[tuple[str, bytes]]]:
+        """The packets of each text's stretches, in order; of a whole text if white space stands side by side in it."""
+        stretches = [[t] if t and _SPACES_MEET(t) else _STRETCHES(t) for t in texts]
+        packet_of = self.learn(set(chain.from_iterable(stretches))).__getitem__
+        return [list(map(packet_of, found)) for found in stretches]
 
-#: White space of any kind, the separators that only some libraries count among it included.
-_SPACES_MEET = re.compile(r"[\s\x1c-\x1f\x85\xa0]{2}").search
+
+def _joined(parts: list[tuple[str, bytes]]) -> tuple[str, bytes]:
+    return " ".join([ids for ids, _ in parts]), b"".join([data for _, data in parts])
 
 
-def decimal(ids: list[int]) -> str:
-    return " ".join(map(str, ids))
+#: White space of any kind, the separators that only some libraries count among it included.
+_SPACES_MEET = re.compile(r"[\s\x1c-\x1f\x85\xa0]{2}").search
+_STRETCHES = re.compile(r"[ \n]?[^ \n]+|[ \n]").findall
 
 
 class Decoder:
-    """Incremental UTF-8 machine over packets of tokens: its state is the start of an unfinished character.
+    """Bytes of tokens through an incremental UTF-8 machine, whose state is the start of an unfinished character.
 
-    A packet is decimal ids joined by one space. ``push`` gives the characters that it
-    finishes; ``end`` gives U+FFFD for a character that never ended. Bytes that cannot be
-    UTF-8 become U+FFFD, as in Python's replacement.
+    ``push`` takes a packet, decimal ids joined by one space, and gives the characters that it
+    finishes; ``end`` gives U+FFFD for a character that never ended. Bytes that cannot be UTF-8
+    become U+FFFD.
     """
 
     def __init__(self, bytes_of: dict[int, bytes]):
         self.bytes_of = bytes_of
-        self.tables: dict[bytes, _Steps] = {}
-        self.start = self.now = self.table(b"")
-
-    def table(self, held: bytes) -> _Steps:
-        if held not in self.tables:
-            self.tables[held] = _Steps(self, held)
-        return self.tables[held]
+        self.machine = codecs.getincrementaldecoder("utf-8")("replace")
 
     def push(self, packet: str) -> str:
-        text, self.now = self.now[packet]
-        return text
+        return self.machine.decode(b"".join([self.bytes_of[int(token)] for token in packet.split()]))
 
     def end(self) -> str:
-        held, self.now = self.now.held, self.start
-        return held.decode("utf-8", "replace")
-
-    def text(self, packets: Iterable[str]) -> str:
-        out, now = [], self.now
-        for packet in packets:
-            done, now = now[packet]
-            out.append(done)
-        self.now = now
-        out.append(self.end())
-        return "".join(out)
-
+        text = self.machine.decode(b"", True)
+        self.machine.reset()
+        return text
 
-class _Steps(dict):
-    """From one state of the decoder: packet to (finished text, next state)."""
-
-    def __init__(self, decoder: Decoder, held: bytes):
-        super().__init__()
-        self.decoder, self.held = decoder, held
-
-    def __missing__(self, packet: str):
-        bytes_of = self.decoder.bytes_of
-        data = self.held + b"".join([bytes_of[int(token)] for token in packet.split()])
-        cut = len(data) - unfinished(data)
-        step = (data[:cut].decode("utf-8", "replace"), self.decoder.table(data[cut:]))
-        if len(self) >= MAX_PIECES:
-            self.clear()
-        if len(packet) <= 64:
-            self[packet] = step
-        return step
-
-
-def unfinished(data: bytes) -> int:
-    """Number of bytes at the end that begin a character and may go on (0 to 3)."""
-    for back in range(1, min(3, len(data)) + 1):
-        lead = data[-back]
-        if lead >= 0xC0:
-            need = 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
-            try:
-                data[-back:].decode("utf-8")
-            except UnicodeDecodeError as error:
-                return back if need > back and error.reason == "unexpected end of data" else 0
-            return 0
-        if lead < 0x80:
-            return 0
-    return 0
+    def text(self, data: bytes) -> str:
+        """What the bytes of a whole text's tokens decode to."""
+        parts = [self.machine.decode(data[at : at + DECODE_EVERY]) for at in range(0, len(data), DECODE_EVERY)]
+        return "".join([*parts, self.end()])
 
 
 _coders: dict[tuple, tuple[Pieces, Decoder]] = {}
 
 
-def coder(path: str, pattern: str, form: Callable[[list[int]], object] = decimal) -> tuple[Pieces, Decoder]:
+def coder(path: str, pattern: str) -> tuple[Pieces, Decoder]:
     """Encoder and decoder of a vocabulary, made once in each Python worker."""
-    key = (path, pattern, form.__name__)
+    key = (path, pattern)
     if key not in _coders:
         import regex
 
         transducer = Transducer(load_ranks(path))
-        _coders[key] = Pieces(transducer, regex.compile(pattern).findall, form), Decoder(transducer.bytes_of)
+        _coders[key] = Pieces(transducer, regex.compile(pattern).findall), Decoder(transducer.bytes_of)
     return _coders[key]
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows that follow each other, with about ``SLICE`` bytes of text or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def _coded(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str, row: Callable, schema: str) -> DataFrame:
     names = ["doc_id", *(field.split()[0] for field in schema.split(", "))]
 
@@ -367,11 +423,11 @@ def _coded(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str,
         gc.disable()  # the large tables hold no cycles, and going through them again and again is slow
         try:
             for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    some, rows = batch.slice(at, 500), []
-                    for text in some.column(1):
-                        packets = pieces.of(text.as_py())
-                        rows.append(row(" ".join(packets), decoder.text(packets)))
+                for some in _slices(batch):
+                    rows = []
+                    for packets in pieces.of([text or "" for text in some.column(1).to_pylist()]):
+                        ids, data = _joined(packets)
+                        rows.append(row(ids, decoder.text(data)))
                     yield pa.RecordBatch.from_arrays([some.column(0), *map(pa.array, zip(*rows, strict=True))], names)
         finally:
             gc.enable()

@@ -57,6 +57,28 @@ def test_bpe_against_definition(every, monkeypatch):
             text = "".join(draw.choice(alphabet) for _ in range(size)).encode()
             want = [coder.vocabulary[text]] if text in coder.vocabulary else coder.merge(text)
             assert coder.encode(text) == want
+            assert coder.encode_many([text, b"a", text[:30], text[3:20]])[:2] == [want, coder.encode(b"a")]
+
+
+def test_bpe_pieces_side_by_side_and_forgetting(monkeypatch):
+    import regex
+    import tiktoken
+
+    ranks = bpe.load_ranks(RANKS)
+    library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    draw = random.Random(8)
+    texts = ["".join(draw.choice(["ab", "Ce", "don't", " ", "\n", " x", "é", "12", "!", "\t", "\u00a0", "a" * 70]) for _ in range(draw.randrange(30))) for _ in range(400)]
+    texts += ["", " ", "\n", "a ", " a", "\na", "a\n", "x\t", "\tx y", "word\u00a0 a"]
+    for limit in (10, 400_000):
+        monkeypatch.setattr(bpe, "MAX_PIECES", limit)
+        monkeypatch.setattr(bpe, "MAX_ARCS", 10 * limit)
+        pieces = bpe.Pieces(bpe.Transducer(ranks), regex.compile(public_tokenizers.PATTERN).findall)
+        decoder = bpe.Decoder(pieces.transducer.bytes_of)
+        for at in range(0, len(texts), 50):
+            for text, packets in zip(texts[at : at + 50], pieces.of(texts[at : at + 50]), strict=True):
+                assert " ".join(ids for ids, _ in packets) == " ".join(map(str, library.encode_ordinary(text)))
+                assert decoder.text(b"".join(data for _, data in packets)) == text
+        assert len(pieces) <= limit and len(pieces.older) <= limit
 
 
 def test_decoder_holds_unfinished_characters():
@@ -67,7 +89,7 @@ def test_decoder_holds_unfinished_characters():
 def test_lines(spark, none):
     key = "a line that is longer than forty characters, surely"
     docs = table(spark, [(i, f"  {key.upper()}\nshort\n{key}") for i in range(1, 6)] + [(None, key), (9, None), (5, key)])
-    got = [(r["row"]["doc_id"], r["lines"], r["kept"]) for r in lines.drop_repeated_lines(docs, batches=3, fanout=2).collect()]
+    got = [(r["row"]["doc_id"], r["lines"], r["kept"]) for r in lines.drop_repeated_lines(docs, batches=3).collect()]
     assert sorted(k for i, _, k in got if i in (1, 2, 3, 4)) == [["short"]] * 4
     assert sorted(len(k) for i, _, k in got if i == 5) == [1, 3]
     assert [k for i, _, k in got if i is None] == [[key]]
