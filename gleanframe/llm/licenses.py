@@ -1,10 +1,11 @@
-"""License scans by a positional index of the licence words.
-
-The postings of the licence templates say at which offset each of their telling words stands.
-Of a file, all licence words are looked up; places that agree on a template's start are
-intersected, and the mandatory key phrases are compared at the offsets that the start implies.
-Words weigh by their inverse document frequency, which comes from all rows. Templates are few
-and fixed, so the index is a constant of the expression.
+"""License scans by a positional index of rare licence words.
+
+Of each template the index holds its ``ANCHORS`` words of highest inverse document frequency,
+which comes from all rows, and the offsets they stand at. A file is looked through once for
+those words. Each place says where a template would start; starts that two of a template's
+words agree on are intersected, and there the mandatory key phrases are compared. Templates
+are few and fixed, so the index is a constant of the expression. All steps take time in
+proportion to a file's words.
 """
 
 from __future__ import annotations
@@ -38,22 +39,66 @@ TEMPLATES = (
         "permission is hereby granted free of charge to any person obtaining a copy of this software",
         ("permission is hereby granted", "this software"),
     ),
+    Template(
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software "
+        "and associated documentation files the software to deal in the software without restriction "
+        "including without limitation the rights to use copy modify merge publish distribute sublicense "
+        "and or sell copies of the software",
+        ("permission is hereby granted", "this software"),
+    ),
     Template("apache", "licensed under the apache license version 2 0", ("apache license",)),
+    Template(
+        "apache",
+        "licensed under the apache license version 2 0 the license you may not use this file except in "
+        "compliance with the license you may obtain a copy of the license at",
+        ("apache license",),
+    ),
     Template("gpl", "licensed under the gnu general public license version", ("general public license",)),
+    Template(
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+        "general public license as published by the free software foundation either version",
+        ("general public license",),
+    ),
     Template("lgpl", "gnu lesser general public license", ("lesser general public license",)),
+    Template("agpl", "gnu affero general public license", ("affero general public license",)),
     Template("mpl", "subject to the terms of the mozilla public license", ("mozilla public license",)),
     Template(
         "bsd",
         "redistribution and use in source and binary forms with or without modification are permitted",
         ("redistribution and use", "binary forms"),
     ),
+    Template(
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided "
+        "that the following conditions are met",
+        ("redistribution and use", "binary forms"),
+    ),
+    Template(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+        ("permission to use copy modify",),
+    ),
+    Template(
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be "
+        "held liable for any damages arising from the use of this software",
+        ("without any express or implied warranty",),
+    ),
+    Template("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software",)),
     Template("cc-by-nc", "licensed under cc by nc 4 0", ("cc by nc",)),
     Template("cc-by-sa", "licensed under cc by sa 4 0", ("cc by sa",)),
     Template("cc-by", "licensed under cc by 4 0", ("cc by",)),
     Template("reserved", "all rights reserved", ("all rights reserved",)),
 )
 #: Words of templates that tell nothing by themselves.
-COMMON = frozenset("the of and to in a is all this under or with for any are by use 2 4 0 nc sa without".split())
+COMMON = frozenset(
+    "the of and to in a is all this under or with for any are by use 2 4 0 nc sa without you may not it can as at that be will no from".split()
+)
+#: Words of a template that are looked up, its rarest; two of them must agree on where it starts.
+ANCHORS = 3
 MIN_SHARE = 0.5
 
 
@@ -76,39 +121,6 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> dict[str, f
     return {w: math.log((rows + 1) / (found.get(w, 0) + 0.5)) for w in vocabulary}
 
 
-def _constant(values: list, body) -> Column:
-    return F.array(*[body(v) for v in values])
-
-
-def _index(idf: dict[str, float]) -> tuple[Column, Column]:
-    """Templates with their telling words and key phrases, and the postings of all telling words."""
-    postings, templates = [], []
-    for number, template in enumerate(TEMPLATES):
-        text = template.text.split()
-        telling = [(w, at, idf[w]) for at, w in enumerate(text) if w not in COMMON]
-        phrases = []
-        for phrase in template.key_phrases:
-            wanted = phrase.split()
-            at = next(i for i in range(len(text)) if text[i : i + len(wanted)] == wanted)
-            phrases += [(w, at + j) for j, w in enumerate(wanted)]
-        postings += [(w, number, at) for w, at, _ in telling]
-        templates.append((template.label, telling, phrases, min(2, len({w for w, _, _ in telling}))))
-    pair = lambda v: F.struct(F.lit(v[0]).alias("w"), F.lit(v[1]).alias("at"))
-    weighted = lambda v: F.struct(F.lit(v[0]).alias("w"), F.lit(v[1]).alias("at"), F.lit(v[2]).alias("idf"))
-    return (
-        _constant(
-            templates,
-            lambda t: F.struct(
-                F.lit(t[0]).alias("label"),
-                _constant(t[1], weighted).alias("telling"),
-                _constant(t[2], pair).alias("key"),
-                F.lit(t[3]).alias("need"),
-            ),
-        ),
-        _constant(postings, lambda p: F.struct(F.lit(p[0]).alias("w"), F.lit(p[1]).alias("t"), F.lit(p[2]).alias("at"))),
-    )
-
-
 def _base_places(w: Column) -> Column:
     """(word number, label) of every place of a base phrase."""
 
@@ -130,40 +142,60 @@ def _base_places(w: Column) -> Column:
     return F.filter(places, lambda p: p["label"].isNotNull())
 
 
+def anchors(template: Template, idf: dict[str, float]) -> list[tuple[str, int]]:
+    """The template's rarest words, rarest first, and where each stands first in it."""
+    text = template.text.split()
+    rare = sorted(set(text) - COMMON, key=lambda w: (-idf[w], text.index(w)))[:ANCHORS]
+    return [(w, text.index(w)) for w in rare]
+
+
+def _starts(hits: Column, index: list[tuple[str, int]]) -> Column:
+    """Word numbers at which a template would start by two of its words."""
+
+    def by(word: str, at: int) -> Column:
+        return F.transform(F.filter(hits, lambda h: h["w"] == word), lambda h: h["p"] - at)
+
+    def agreed(lists: Column) -> Column:
+        pairs = [(i, j) for j in range(len(index)) for i in range(j)]
+        out = F.array().cast("array<int>")
+        for i, j in pairs:
+            out = F.array_union(out, F.array_intersect(lists[i], lists[j]))
+        return out
+
+    return let(F.array(*[by(word, at) for word, at in index]), agreed)
+
+
+def _judged(w: Column, start: Column, template: Template, idf: dict[str, float]) -> Column:
+    """(label, score) of a template at a start: the share of its words' weight that stands in place, 0 without a key phrase."""
+    text = template.text.split()
+    word = lambda at: F.when(start + at >= 0, F.get(w, start + at))
+    whole = F.lit(True)
+    for phrase in template.key_phrases:
+        wanted = phrase.split()
+        at = next(i for i in range(len(text)) if text[i : i + len(wanted)] == wanted)
+        for j, v in enumerate(wanted):
+            whole = whole & F.coalesce(word(at + j) == v, F.lit(False))
+    telling = [(v, at, idf[v]) for at, v in enumerate(text) if v not in COMMON]
+    total = sum(weight for _, _, weight in telling)
+    known = F.array(*[F.struct(F.lit(v).alias("w"), F.lit(at).alias("at"), F.lit(weight).alias("idf")) for v, at, weight in telling])
+    held = F.aggregate(known, F.lit(0.0), lambda a, v: a + F.when(word(v["at"]) == v["w"], v["idf"]).otherwise(0.0))
+    return F.struct(F.lit(template.label).alias("label"), F.when(whole, F.least(held / total, F.lit(1.0))).otherwise(0.0).alias("score"))
+
+
 def _found(w: Column, idf: dict[str, float]) -> Column:
     """(label, score) of every template that is verified in a file."""
-    templates, postings = _index(idf)
-    vocabulary = license_words()
-    hits = F.filter(
-        F.transform(w, lambda v, i: F.struct(F.when(v.isin(vocabulary), v).alias("w"), i.alias("p"))),
-        lambda h: h["w"].isNotNull(),
-    )
-
-    def starts(hit: Column) -> Column:
-        aligned = F.transform(
-            hit,
-            lambda h: F.transform(
-                F.filter(postings, lambda p: p["w"] == h["w"]),
-                lambda p: F.struct(p["t"].alias("t"), (h["p"] - p["at"]).alias("at"), h["w"].alias("w")),
-            ),
-        )
-        return F.sort_array(F.array_distinct(F.flatten(aligned)))
-
-    def agreed(s: Column) -> Column:
-        same = lambda x, y: (x["t"] == y["t"]) & (x["at"] == y["at"])
-        two = F.filter(s, lambda x, k: (F.get(templates, x["t"])["need"] == 1) | same(x, F.get(s, k + 1)))
-        return F.array_distinct(F.transform(two, lambda x: F.struct(x["t"].alias("t"), x["at"].alias("at"))))
-
-    def judged(c: Column) -> Column:
-        template = F.get(templates, c["t"])
-        word = lambda at: F.when(at >= 0, F.get(w, at))
-        whole = F.forall(template["key"], lambda k: F.coalesce(word(c["at"] + k["at"]) == k["w"], F.lit(False)))
-        total = lambda test: F.aggregate(template["telling"], F.lit(0.0), lambda a, v: a + F.when(test(v), v["idf"]).otherwise(0.0))
-        share = total(lambda v: word(c["at"] + v["at"]) == v["w"]) / total(lambda v: F.lit(True))
-        return F.struct(template["label"].alias("label"), F.when(whole, share).otherwise(0.0).alias("score"))
-
-    found = let(starts(hits), lambda s: F.transform(agreed(s), judged))
-    return F.filter(found, lambda f: f["score"] >= MIN_SHARE)
+    index = [(template, anchors(template, idf)) for template in TEMPLATES]
+    wanted = sorted({word for _, words in index for word, _ in words})
+    places = F.filter(positions(0, F.size(w) - 1), lambda i: F.get(w, i).isin(wanted))
+    hits = F.transform(places, lambda i: F.struct(F.get(w, i).alias("w"), i.alias("p")))
+    none = F.array().cast("array<struct<label:string,score:double>>")
+
+    def all_templates(h: Column) -> Column:
+        judge = lambda template: lambda at: _judged(w, at, template, idf)
+        each = [F.transform(_starts(h, words), judge(template)) for template, words in index]
+        return F.when(F.size(h) > 1, F.filter(F.concat(*each), lambda f: f["score"] >= MIN_SHARE)).otherwise(none)
+
+    return let(hits, all_templates)
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
