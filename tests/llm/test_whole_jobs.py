@@ -1,10 +1,12 @@
 """Cases in which an operator once did less than the whole job."""
 
+import pytest
+
 import random
 from collections import Counter
 
 import corpus_pipeline
-from gleanframe.llm import jaccard, licenses, packing
+from gleanframe.llm import jaccard, licenses, lines, packing
 from gleanframe.llm.base import stored
 
 MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."
@@ -92,3 +94,94 @@ def test_jaccard_columns_of_any_name(spark):
     rows = [(1, "a b c d e f", 1, 2, 3, 4), (2, "a b c d e f", 1, 2, 3, 4), (3, None, 1, 2, 3, 4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, i int, rep int, label int, mark int")
     assert sorted(map(tuple, jaccard.jaccard_components(docs).collect())) == [(1, 2, 1), (2, 2, 1), (3, 0, 3)]
+
+
+def line_batches(spark, n=7):
+    draw = random.Random(2)
+    batches = [[(draw.randrange(40), 0, 100 * k + j) for j in range(60)] for k in range(n)]
+    return batches, [spark.createDataFrame(b, "h1 long, h2 int, doc_id long") for b in batches]
+
+
+@pytest.mark.parametrize("fanout", [2, 3])
+def test_each_line_has_one_entry_in_the_runs(spark, fanout):
+    batches, frames = line_batches(spark)
+    runs = lines.LineRuns(spark, fanout)
+    try:
+        for k, frame in enumerate(frames):
+            runs.add(frame)
+            entries = [r["h1"] for names in runs.levels for name in names for r in spark.table(name).collect()]
+            assert sorted(entries) == sorted({h for b in batches[: k + 1] for h, _, _ in b})
+            assert all(len(names) < fanout for names in runs.levels)
+        count, last = Counter(h for b in batches for h, _, _ in b), {h: d for b in batches for h, _, d in sorted(b, key=lambda r: r[2])}
+        got = {r["h1"]: r["last"] for r in runs.frequent(10).collect()}
+        assert got == {h: last[h] for h in count if count[h] >= 10}
+        assert len(runs.levels) > 1 and runs.updates
+    finally:
+        runs.close()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run")]
+
+
+def test_counts_are_wrong_without_the_anti_join(spark, monkeypatch):
+    """The runs decide: entries that do not keep out known lines change the result."""
+    _, frames = line_batches(spark, 3)
+    join = type(frames[0]).join
+    for kind in ("left_anti", "left_semi"):
+        right, wrong = lines.LineRuns(spark), lines.LineRuns(spark)
+        for frame in frames:
+            right.add(frame)
+            with monkeypatch.context() as patch:
+                patch.setattr(type(frame), "join", lambda a, b, on, how="inner": a if how == kind else join(a, b, on, how))
+                wrong.add(frame)
+        rows = [Counter(map(tuple, runs.frequent(4).collect())) for runs in (right, wrong)]
+        assert rows[0] != rows[1]
+        right.close(), wrong.close()
+
+
+def test_runs_outlive_a_call(spark, tmp_path):
+    line = "this line is long enough to be counted as one of many"
+    docs = lambda ids: spark.createDataFrame([(i, f"{line}\nown {i}") for i in ids], "doc_id long, text string")
+    runs = lines.LineRuns(spark, folder=str(tmp_path / "runs"))
+    first = lines.drop_repeated_lines(docs(range(3)), runs=runs).collect()
+    assert all(len(r["kept"]) == 2 for r in first)
+    runs.close()
+    again = lines.LineRuns(spark, folder=str(tmp_path / "runs"))
+    kept = {r["row"]["doc_id"]: len(r["kept"]) for r in lines.drop_repeated_lines(docs(range(3, 6)), runs=again).collect()}
+    assert kept == {3: 1, 4: 1, 5: 2}
+    again.close()
+
+
+def test_a_failed_batch_leaves_no_table(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "x" * 50)], "doc_id long, text string")
+
+    def broken(self, min_documents):
+        raise RuntimeError("down")
+
+    monkeypatch.setattr(lines.LineRuns, "frequent", broken)
+    with pytest.raises(RuntimeError):
+        lines.drop_repeated_lines(docs)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run")]
+
+
+def test_licence_words_without_end_take_time_in_proportion(spark):
+    import time
+
+    seconds = []
+    for n in (20_000, 60_000):
+        docs = spark.createDataFrame([(1, "license " * n), (2, "general public license " * (n // 3)), (3, "mit license " * n)], "doc_id long, text string")
+        scan = licenses.license_scan(docs.coalesce(1))
+        scan.collect()
+        start = time.perf_counter()
+        got = {r["doc_id"]: r["labels"] for r in scan.collect()}
+        seconds.append(time.perf_counter() - start)
+        assert got == {1: "", 2: "gpl", 3: ""}
+    assert seconds[1] < 9 * max(seconds[0], 0.5)
+
+
+def test_whole_licence_texts_and_parts_of_them(spark):
+    whole = [t for t in licenses.TEMPLATES]
+    cut = [t for t in whole if len(t.text.split()) > 30]
+    rows = [(k, f"intro words. {t.text.upper()} and so on") for k, t in enumerate(whole)]
+    rows += [(100 + k, " ".join(t.text.split()[: int(0.8 * len(t.text.split()))])) for k, t in enumerate(cut)]
+    got = {r["doc_id"]: (set(r["labels"].split(",")), r["score"]) for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(t.label in got[k][0] and got[k][1] == 1 for k, t in enumerate(whole))
+    assert all(t.label in got[100 + k][0] for k, t in enumerate(cut))
