@@ -31,8 +31,8 @@ MAX_UNLABELLED = 3000
 MODELS = 3
 STEM = 5
 #: A feature is used if this share of the positives has it, and by this log ratio more often than the unlabelled.
-MIN_SHARE = 0.013
-MIN_LOG_RATIO = 1.2
+MIN_SHARE = 0.02
+MIN_LOG_RATIO = 0.3
 _LETTERS = re.compile(r"[^\W\d_]+").findall
 
 
