@@ -93,9 +93,17 @@ def mark_known(
     return found.withColumn("is_known", is_known).drop("_of", "_first", "_exported")
 
 
-def state_upsert(state: DataFrame, changes: DataFrame, key: str = "key", updated: str = "updated_at") -> DataFrame:
-    """State after the changes: the latest value per key."""
-    return _pick_row(state.unionByName(changes), [F.col(key)], [updated], latest=True)
+def state_upsert(
+    state: DataFrame, changes: DataFrame, key: str = "key", updated: str = "updated_at", value: str = "value_json", sequence: str | None = None
+) -> DataFrame:
+    """State after the changes: the latest value per key.
+
+    Of equal times a change counts before what was stored, then the change with the larger
+    ``sequence`` (a column of the changes), then the larger value.
+    """
+    place = F.lit(0).cast("long") if sequence is None else F.col(sequence).cast("long")
+    told = [state.withColumn("_turn", F.lit(-1).cast("long")), changes.withColumn("_turn", place).select(*state.columns, "_turn")]
+    return _pick_row(told[0].unionByName(told[1]), [F.col(key)], [updated, "_turn", value], latest=True).drop("_turn")
 
 
 def state_delete(state: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:

@@ -52,6 +52,11 @@ def test_state(spark):
     after = dedup.state_upsert(state, changes)
     assert {(r.key, r.value_json) for r in after.collect()} == {("exported:1", "false"), ("exported:2", "null"), ("other:3", "1")}
     assert {r.key for r in dedup.state_prefix(after, "exported:").collect()} == {"exported:1", "exported:2"}
+    tied = spark.createDataFrame([("exported:1", "\"b\"", 1, 7), ("exported:1", "\"a\"", 1, 9), ("other:3", "9", 0, 1)], schema + ", seq int")
+    for order, want in ((None, "\"b\""), ("seq", "\"a\"")):
+        settled = dedup.state_upsert(state, tied, sequence=order)
+        assert settled.columns == state.columns
+        assert {(r.key, r.value_json) for r in settled.collect()} == {("exported:1", want), ("other:3", "1")}
     gone = spark.createDataFrame([("exported:1",), ("none",)], "key string")
     assert {r.key for r in dedup.state_delete(after, gone).collect()} == {"exported:2", "other:3"}
     assert {r.key for r in dedup.state_lookup(after, gone).collect()} == {"exported:1"}
