@@ -83,13 +83,15 @@ def mark_known(
     has_id = blank_to_null(key)
     alone = F.when(has_id.isNull(), F.xxhash64(*order))
     identity = F.struct(F.col(run), has_id.alias("id"), alone.alias("alone"))
-    firsts = records.where(has_id.isNotNull()).groupBy(identity.alias("_of")).agg(F.min(_order(order)).alias("_first"))
+    # a single column is kept as it is: its minimum needs no sort
+    place = F.col(order[0]) if len(order) == 1 else _order(order)
+    firsts = records.where(has_id.isNotNull()).groupBy(identity.alias("_of")).agg(F.min(place).alias("_first"))
     exported = known.select(F.col(key).alias("_known")).distinct()
     firsts = firsts.join(exported, F.col("_of.id") == F.col("_known"), "left").select(
         "_of", "_first", F.col("_known").isNotNull().alias("_exported")
     )
     found = records.withColumn("_of", identity).join(firsts, "_of", "left")
-    is_known = F.coalesce(F.col("_exported") | (_order(order) > F.col("_first")), F.lit(False))
+    is_known = F.coalesce(F.col("_exported") | (place > F.col("_first")), F.lit(False))
     return found.withColumn("is_known", is_known).drop("_of", "_first", "_exported")
 
 
