@@ -8,8 +8,9 @@ A byte is removed if a string of ``length`` bytes that covers it starts anywhere
 2. Anchors whose bytes occur once in the corpus are dropped with their strings: an exact
    filter that leaves the suffixes that can have a partner.
 3. Those suffixes, as bytes around each anchor, are range-partitioned by sampled splitters of
-   the leading token, the anchor. Each bucket sorts its suffixes by multikey quicksort: the
-   tied ones are split again and again by their next token of 100 bytes.
+   their leading tokens: the anchor's first eight bytes, then the hash of all its bytes. Each
+   bucket sorts its suffixes by these and then by multikey quicksort: the tied ones are split
+   again and again by the hash of their next token of 100 bytes.
 4. An anchor may lie across a boundary between buckets; the suffixes at the ends of the
    buckets are compared once more among all buckets. So a frequent anchor spreads over many.
    This goes by stretches of ``STRETCH`` neighbouring suffixes first: what these share, at a
@@ -33,9 +34,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LENGTH = 400
 GRAM = 32
+#: Bytes of an anchor that order the buckets, as a number.
+LEAD = 8
 TOKENS = 4
 SEGMENT = 1 << 21
 STRETCH = 12
+#: Bytes of suffixes that one bucket holds, about; it is held by one task.
+BUCKET = 64 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.uint64((1 << 23) - 1)
 
@@ -190,7 +195,7 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
 
 
 def suffixes(docs: DataFrame, marked: DataFrame, length: int) -> DataFrame:
-    """Stored (g, doc_id, h, a, p, bytes): the bytes of all strings of each anchor that occurs twice or more."""
+    """Stored (lead, g, doc_id, h, a, p, bytes, size): the bytes of all strings of each anchor that occurs twice or more."""
     rows = marked.select("doc_id", "h", F.explode("anchors").alias("m")).select("doc_id", "h", "m.*")
     often = rows.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
     chosen = rows.join(often, "g", "left_semi").groupBy(F.col("doc_id").alias("i"), F.col("h").alias("k"))
@@ -200,7 +205,7 @@ def suffixes(docs: DataFrame, marked: DataFrame, length: int) -> DataFrame:
     met = unique.join(chosen, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("k")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["g", "doc_id", "h", "a", "p", "bytes"]
+        names = ["lead", "g", "doc_id", "h", "a", "p", "bytes", "size"]
         for batch in batches:
             for row in range(batch.num_rows):
                 text = batch.column(2)[row].as_py().encode()
@@ -208,18 +213,20 @@ def suffixes(docs: DataFrame, marked: DataFrame, length: int) -> DataFrame:
                 owner = pa.array([row] * len(marks), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array([int.from_bytes(text[m["p"] : m["p"] + LEAD], "big") - (1 << 63) for m in marks], pa.int64()),
                         pa.array([m["g"] for m in marks], pa.int64()),
                         batch.column(0).take(owner),
                         batch.column(1).take(owner),
                         pa.array([m["a"] for m in marks], pa.int64()),
                         pa.array([m["p"] for m in marks], pa.int64()),
                         pa.array([text[m["a"] : m["b"] + length] for m in marks], pa.binary()),
+                        pa.array([m["b"] + length - m["a"] for m in marks], pa.int64()),
                     ],
                     names,
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    cut = met.select("doc_id", "h", "text", "marks").mapInArrow(run, f"g long, doc_id {kind}, h long, a long, p long, bytes binary")
+    cut = met.select("doc_id", "h", "text", "marks").mapInArrow(run, f"lead long, g long, doc_id {kind}, h long, a long, p long, bytes binary, size long")
     return stored(cut, "suffixes")
 
 
@@ -246,8 +253,9 @@ def multikey_quicksort(rolling: Rolling, starts: np.ndarray, groups: np.ndarray,
 
 def repeated(rows: DataFrame, length: int) -> DataFrame:
     """(doc_id, h, a, b): first and last start of repeated strings among ``rows`` of ``suffixes``."""
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bucketed = rows.repartitionByRange(n, "g", "h", "a")
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
+    bucketed = rows.drop("size").repartitionByRange(n, "lead", "g", "h", "a")
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "h", "a", "b", "k1", "k2", "single"]
     singles = pa.struct([("a", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64())])
@@ -256,8 +264,8 @@ def repeated(rows: DataFrame, length: int) -> DataFrame:
         got = list(batches)
         if not sum(b.num_rows for b in got):
             return
-        # one bucket: its size is set by the number of partitions
-        table = pa.Table.from_batches(got).combine_chunks().sort_by("g")
+        # one bucket, of about ``BUCKET`` bytes
+        table = pa.Table.from_batches(got).combine_chunks().sort_by([("lead", "ascending"), ("g", "ascending")])
         g, at = table["g"].to_numpy(), table["a"].to_numpy()
         low, high = g[0], g[-1]
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(g)) + 1, [len(g)]])
