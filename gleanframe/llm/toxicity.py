@@ -139,13 +139,14 @@ def fit(
     ``max_unlabelled`` others, chosen by a hash of the id, from ids outside fold 0. The prior
     is the toxic share among the labelled ids outside fold 0. Null ids are in no fold and
     train nothing; null labels count as unlabelled. An id labelled more than once is toxic if
-    any of its labels is. Without positives every text scores the prior of 0.5 %.
+    any of its labels is, and of an id in more than one row one text counts. Without positives
+    every text scores the prior of 0.5 %.
     """
     known = labels.where(fold(F.col("doc_id")) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n, toxic = known.select(F.count("toxic"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     prior = min(0.5, max(0.005, toxic / n if n else 0.0))
     positive = known.where("toxic = 1").select("doc_id", F.lit(1).alias("positive"))
-    others = docs.where(fold(F.col("doc_id")) != 0).select("doc_id")
+    others = docs.where(fold(F.col("doc_id")) != 0).select("doc_id").distinct()
     picks = None
     for k in range(models):
         draw = F.xxhash64("doc_id", F.lit(k))
@@ -156,7 +157,9 @@ def fit(
     # at most models * (max_positive + max_unlabelled) ids
     picks = stored(picks, "toxicity-sample")
     hashed = F.pandas_udf(lambda texts: texts.map(lambda t: features(t).tolist()), "array<int>")
-    texts = docs.join(F.broadcast(picks.select("doc_id").distinct()), "doc_id", "left_semi")
+    texts = docs.select("doc_id", "text").join(F.broadcast(picks.select("doc_id").distinct()), "doc_id", "left_semi")
+    # one text of an id, however many rows it stands in
+    texts = texts.groupBy("doc_id").agg(F.max("text").alias("text"))
     sample = picks.join(texts.select("doc_id", hashed(F.col("text")).alias("x")), "doc_id")
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
