@@ -2,10 +2,12 @@
 
 The histogram of piece lengths has at most ``capacity`` rows, whatever the size of the corpus.
 Its covering program (fewest sequences such that each length is covered as often as it occurs)
-is solved by multiplicative weights: each round's knapsack dynamic program over the current
-prices gives every open length its best configuration, and the lengths that these cover become
-cheaper. Steps are whole sequences, so nothing is rounded off; rounds go on until every length
-is covered. Pieces take their places by their rank among pieces of their length; ranks are
+is solved in fractions by multiplicative weights: each round's knapsack dynamic program over
+the current prices gives every open length its best configuration, a step takes as much of it
+as is open, and the prices of what it covers fall by a factor. Prices over the value of the
+best configuration bound the program from below. The solution is rounded down to whole
+sequences; what that leaves, a few pieces for each configuration, is covered in whole steps of
+the same kind. Pieces take their places by their rank among pieces of their length; ranks are
 per-task counts plus sums over tasks, so no length is gathered in one place.
 """
 
@@ -34,10 +36,12 @@ PART, FALL = 3, 0.2
 #: First prices are lengths to this power: above 1, so that long pieces are not left without short ones.
 STEEP = 1.2
 _BIG = 1 << 40
+#: A fraction of a sequence that counts as none.
+_NOTHING = 1e-9
 
 
-def price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray:
-    """For each room, the last length (its index, or -1) of the configuration of the largest total value.
+def price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np.ndarray, float]:
+    """For each room, the last length (its index, or -1) of the configuration of the largest total value, and that value.
 
     An unbounded knapsack over ascending lengths.
     """
@@ -50,7 +54,7 @@ def price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray:
             at = int(options.argmax())
             if options[at] > best[room]:
                 best[room], last[room] = options[at], at
-    return last
+    return last, float(best[capacity])
 
 
 def configuration(lengths: np.ndarray, last: np.ndarray, room: int) -> Counter:
@@ -65,13 +69,14 @@ def configuration(lengths: np.ndarray, last: np.ndarray, room: int) -> Counter:
     return out
 
 
-def filled(config: Counter, lengths: np.ndarray, left: np.ndarray, capacity: int) -> Counter:
-    """``config`` with the longest of the pieces ``left`` that fit into the room it leaves."""
+def filled(config: Counter, lengths: np.ndarray, left: np.ndarray, capacity: int, whole: bool) -> Counter:
+    """``config`` with the longest of the open pieces that fit into the room it leaves; ``whole``: no more than are left."""
     config = Counter(config)
     room = capacity - sum(int(lengths[k]) * n for k, n in config.items())
     k = int(np.searchsorted(lengths, room, "right")) - 1
     while room and k >= 0:
-        fits = min(int(left[k]) - config[k], room // int(lengths[k]))
+        fits = room // int(lengths[k]) if left[k] > 0 else 0
+        fits = min(int(left[k]) - config[k], fits) if whole else fits
         if fits > 0:
             config[k] += fits
             room -= fits * int(lengths[k])
@@ -79,35 +84,64 @@ def filled(config: Counter, lengths: np.ndarray, left: np.ndarray, capacity: int
     return +config
 
 
-def solve(histogram: dict[int, int], capacity: int, rounds: int | None = None) -> list[tuple[int, Counter]]:
-    """(copies, configuration); they cover every length exactly, unless ``rounds`` are given and run out.
+def cover(histogram: dict[int, int], capacity: int, whole: bool, rounds: int | None = None) -> tuple[Counter, float]:
+    """How often each configuration ((length, count), ...) is used, and a lower bound of the program.
 
-    Each round covers some of the longest open length, so the rounds come to an end.
+    Every length is covered exactly, unless ``rounds`` are given and run out: each round covers
+    some of the longest open length, so the rounds come to an end. ``whole`` steps are whole
+    sequences, others are fractions.
     """
     lengths = np.array(sorted(histogram))
-    demand = np.array([histogram[int(x)] for x in lengths])
+    demand = np.array([histogram[int(x)] for x in lengths], np.int64 if whole else float)
     left, done = demand.copy(), 0
     uses: Counter = Counter()
+    # two sets of prices under which no configuration is worth more than one sequence
+    bound = max(float(demand @ lengths) / capacity, float(demand[2 * lengths > capacity].sum()))
     while left.any() and (rounds is None or done < rounds):
         done += 1
         open_ = np.flatnonzero(left)
         values = (lengths[open_] / capacity) ** STEEP * np.exp(-FALL * (1 - left[open_] / demand[open_]))
-        last = price(lengths[open_], values, capacity)
+        last, most = price(lengths[open_], values, capacity)
+        bound = max(bound, float(demand[open_] @ values) / most)
         for one in range(len(open_) - 1, -1, -1):
             config = configuration(lengths[open_], last, capacity - int(lengths[open_[one]]))
             config[one] += 1
             config = Counter({int(open_[k]): n for k, n in config.items()})
-            if any(left[k] < n for k, n in config.items()):
+            if any(left[k] < n if whole else not left[k] for k, n in config.items()):
                 if one < len(open_) - 1:
                     continue  # its time comes with the next prices
-                config = Counter({k: min(n, int(left[k])) for k, n in config.items()})
-            config = filled(config, lengths, left, capacity)
-            step = max(1, min(int(demand[k]) // n for k, n in config.items()) // PART)
-            step = min(step, *(int(left[k]) // n for k, n in config.items()))
+                config = Counter({k: min(n, int(left[k])) if whole else n for k, n in config.items() if left[k]})
+            config = filled(config, lengths, left, capacity, whole)
+            if whole:
+                step = max(1, min(int(demand[k]) // n for k, n in config.items()) // PART)
+                step = min(step, *(int(left[k]) // n for k, n in config.items()))
+            else:
+                step = min(float(left[k]) / n for k, n in config.items())
             for k, n in config.items():
                 left[k] -= step * n
+            if not whole:
+                left[left < _NOTHING] = 0
             uses[tuple(sorted((int(lengths[k]), n) for k, n in config.items()))] += step
-    return [(x, Counter(dict(key))) for key, x in uses.items()]
+    return uses, bound
+
+
+def solve(histogram: dict[int, int], capacity: int, rounds: int | None = None) -> list[tuple[int, Counter]]:
+    """(copies, configuration) that cover every length exactly: the fractional solution rounded down, the rest in whole steps.
+
+    With ``rounds``, neither part takes more of them, and what is then open stays so.
+    """
+    left = dict(histogram)
+    uses, _ = cover(histogram, capacity, whole=False, rounds=rounds)
+    out: Counter = Counter()
+    for key, x in uses.items():
+        if copies := min(int(x + _NOTHING), *(left[n] // c for n, c in key)):
+            out[key] += copies
+            for n, c in key:
+                left[n] -= copies * c
+    rest = {n: c for n, c in left.items() if c}
+    if rest:
+        out += cover(rest, capacity, whole=True, rounds=rounds)[0]
+    return [(x, Counter(dict(key))) for key, x in out.items()]
 
 
 def best_fit(left: dict[int, int], capacity: int) -> list[tuple[int, Counter]]:

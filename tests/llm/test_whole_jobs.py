@@ -96,16 +96,33 @@ def test_jaccard_columns_of_any_name(spark):
     assert sorted(map(tuple, jaccard.jaccard_components(docs).collect())) == [(1, 2, 1), (2, 2, 1), (3, 0, 3)]
 
 
-def line_batches(spark, n=7):
+def test_program_in_fractions_and_its_bound():
+    draw = random.Random(9)
+    for size in (1, 40, 5_000):
+        histogram = dict(Counter(min(2047, 1 + int(draw.expovariate(1 / 400))) for _ in range(size)))
+        uses, bound = packing.cover(histogram, 2048, whole=False)
+        covered = Counter()
+        for key, x in uses.items():
+            assert sum(n * c for n, c in key) <= 2048
+            for n, c in key:
+                covered[n] += x * c
+        assert all(abs(covered[n] - c) < 1e-6 for n, c in histogram.items())
+        assert bound <= sum(uses.values()) + 1e-6
+        whole = sum(copies for copies, _ in packing.solve(histogram, 2048))
+        assert bound - 1e-6 <= whole <= 1.02 * bound + 2
+        if size == 5_000:
+            assert sum(uses.values()) <= 1.002 * bound
+
+
+def line_batches(spark, n=4):
     draw = random.Random(2)
     batches = [[(draw.randrange(40), 0, 100 * k + j) for j in range(60)] for k in range(n)]
     return batches, [spark.createDataFrame(b, "h1 long, h2 int, doc_id long") for b in batches]
 
 
-@pytest.mark.parametrize("fanout", [2, 3])
-def test_each_line_has_one_entry_in_the_runs(spark, fanout):
+def test_each_line_has_one_entry_in_the_runs(spark):
     batches, frames = line_batches(spark)
-    runs = lines.LineRuns(spark, fanout)
+    runs, fanout = lines.LineRuns(spark, 2), 2
     try:
         for k, frame in enumerate(frames):
             runs.add(frame)
@@ -113,8 +130,8 @@ def test_each_line_has_one_entry_in_the_runs(spark, fanout):
             assert sorted(entries) == sorted({h for b in batches[: k + 1] for h, _, _ in b})
             assert all(len(names) < fanout for names in runs.levels)
         count, last = Counter(h for b in batches for h, _, _ in b), {h: d for b in batches for h, _, d in sorted(b, key=lambda r: r[2])}
-        got = {r["h1"]: r["last"] for r in runs.frequent(10).collect()}
-        assert got == {h: last[h] for h in count if count[h] >= 10}
+        got = {r["h1"]: r["last"] for r in runs.frequent(6).collect()}
+        assert got == {h: last[h] for h in count if count[h] >= 6}
         assert len(runs.levels) > 1 and runs.updates
     finally:
         runs.close()
@@ -123,7 +140,7 @@ def test_each_line_has_one_entry_in_the_runs(spark, fanout):
 
 def test_counts_are_wrong_without_the_anti_join(spark, monkeypatch):
     """The runs decide: entries that do not keep out known lines change the result."""
-    _, frames = line_batches(spark, 3)
+    _, frames = line_batches(spark, 2)
     join = type(frames[0]).join
     for kind in ("left_anti", "left_semi"):
         right, wrong = lines.LineRuns(spark), lines.LineRuns(spark)
@@ -132,7 +149,7 @@ def test_counts_are_wrong_without_the_anti_join(spark, monkeypatch):
             with monkeypatch.context() as patch:
                 patch.setattr(type(frame), "join", lambda a, b, on, how="inner": a if how == kind else join(a, b, on, how))
                 wrong.add(frame)
-        rows = [Counter(map(tuple, runs.frequent(4).collect())) for runs in (right, wrong)]
+        rows = [Counter(map(tuple, runs.frequent(2).collect())) for runs in (right, wrong)]
         assert rows[0] != rows[1]
         right.close(), wrong.close()
 
@@ -232,3 +249,24 @@ def test_spans_longer_than_a_window_are_whole():
         text = "a" * 50 + "1" * 700 + "b" * 80 + "2" * 20
         (_, spans), = pii.find_spans(weights, [text])
     assert [(s, e) for s, kind, e in spans] == [(50, 750), (830, 850)] and {kind for _, kind, _ in spans} == {4}
+
+
+@pytest.mark.parametrize("n", range(5))
+def test_stages_take_empty_tables_and_columns_of_any_name(spark, n, tmp_path):
+    _, stage = corpus_pipeline.STAGES[n]
+    names = "kept_text string, row_key int, row int, lines int, kept int, i int, rep int, mark long, h int, word_map map<string,int>"
+    schema = f"doc_id long, text string, lang string, source string, n_chars long, {names}"
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    extra = ("x", 1, 2, 3, 4, 5, 6, 7, 8, {"a": 1})
+    none = stage(spark, spark.createDataFrame([], schema), str(tmp_path))
+    assert none.count() == 0
+    words = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, words, "en", "s", 5, *extra), (1, words, "en", "s", 5, *extra), (2, None, None, None, None, *extra), (None, "", None, "s", 0, *extra)]
+    got = stage(spark, spark.createDataFrame(rows, schema), str(tmp_path))
+    if n < 4:
+        assert none.columns == got.columns == [f.split()[0] for f in schema.split(", ")]
+        kept = Counter((r["doc_id"], r["text"], r["kept_text"], r["row_key"]) for r in got.collect())
+        copies = 1 if n == 2 else 2
+        assert kept == {(1, words, "x", 1): copies, (2, None, "x", 1): 1, (None, "", "x", 1): 1}
+    else:
+        assert sorted((r["doc_id"] or 0) for r in got.collect() if r["piece"] == 0) == [0, 1, 1, 2]
