@@ -48,6 +48,8 @@ LEAF = 8
 SMALL = 32
 #: Rounds of leaders end when fewer than one in so many compared pairs links.
 FAIR = 10
+#: So many texts are looked up by broadcast, more by a shuffle of the texts.
+FEW = 200_000
 
 
 def shingle_set(text: Column, n: int = WORDS) -> Column:
@@ -375,7 +377,11 @@ class Sets:
         needed = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
         if self.made is not None:
             needed = needed.join(self.made, "rep", "left_anti")
-        wanted = self.keys.join(needed, "rep")
+        wanted = stored(self.keys.join(needed, "rep"), "wanted")
+        if (n := wanted.count()) == 0 and self.made is not None:
+            return self.made
+        if n <= FEW:
+            wanted = F.broadcast(wanted)  # so few rows at most; the texts then stay where they are
         met = self.texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("i")))
         meant = let(shingle_set(F.col("text")), lambda s: F.when(F.xxhash64(s) == F.col("key"), s))
         new = stored(met.select("rep", meant.alias("s")).where("s is not null"), "pair-sets")
