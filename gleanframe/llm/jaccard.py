@@ -48,6 +48,8 @@ LEAF = 8
 SMALL = 32
 #: Rounds of leaders end when fewer than one in so many compared pairs links.
 FAIR = 10
+#: Rows that a task describes at a time.
+ROWS = 1_000
 #: So many texts are looked up by broadcast, more by a shuffle of the texts.
 FEW = 200_000
 
@@ -168,7 +170,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str, percent: int, sample:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, count, seen = TaskContext.get().partitionId() << 33, 0, set()
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             lists = batch.column(1)
             offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
             out = []
