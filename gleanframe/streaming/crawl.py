@@ -14,6 +14,7 @@ from gleanframe.operators.extract import export_rows, normalize_listing, raw_lis
 from gleanframe.operators.markup import READ_ERROR
 from gleanframe.operators.quality import validate
 from gleanframe.operators.runs import EARLY_STOP_AFTER
+from gleanframe.session import typed_state
 from gleanframe.sources.sinks import Exporter, LedgerFeed
 from gleanframe.streaming.control import ledger_entries, stop_early
 
@@ -94,12 +95,13 @@ def start_export(listings: DataFrame, exporter: Exporter, checkpoint: str) -> St
             # not committed: the batch comes again, and sinks that took it overwrite the same files
             raise RuntimeError(f"batch {batch_id} was not taken by {', '.join(missed)}")
 
-    return (
-        listings.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with typed_state(listings.sparkSession):
+        return (
+            listings.writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 def start_ledger(log: DataFrame, table: LedgerFeed, checkpoint: str) -> StreamingQuery:

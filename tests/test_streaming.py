@@ -3,10 +3,12 @@
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from gleanframe.operators import ledger, requestlog
 from gleanframe.schemas import PAGES, REQUEST_LOG
+from gleanframe.session import STATE_STORE
 from gleanframe.sources import readers, sinks
 from gleanframe.streaming import control, crawl
 
@@ -204,3 +206,25 @@ def test_ids_leave_the_state(spark, tmp_path):
     assert got == sorted([""] * 10 + [f"p{h}-{n}" for h in range(0, 40, 4) for n in range(4) if (h, n) != (8, 1)])
     # of ten batches with five rows each, three are remembered
     assert max(sizes) <= 15
+
+
+@pytest.fixture
+def default_store(spark):
+    """Spark's own state store, as in a session that ``build_session`` did not make."""
+    before = spark.conf.get(STATE_STORE)
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(STATE_STORE, default)
+    yield default
+    spark.conf.set(STATE_STORE, before)
+
+
+def test_the_daily_stop_works_in_any_session(spark, tmp_path, default_store):
+    src, out, ckpt = (str(tmp_path / name) for name in ("pages", "out", "ckpt"))
+    exporter = sinks.Exporter(spark, sinks.build_sinks(spark, "csv", out), out)
+    known = spark.createDataFrame([("k",)], "property_id string")
+    for part in ([(1, "a"), (2, "k"), (3, "b")], [(4, "k"), (5, "a"), (6, "c")]):
+        put(pages(spark, *part), src)
+        daily = crawl.daily_listings(crawl.stream_listings(readers.stream_pages(spark, src)), known, 1, threshold=2)
+        assert crawl.start_export(daily, exporter, ckpt).awaitTermination(120)
+    assert exported(out)(spark) == ["a", "b"]
+    assert spark.conf.get(STATE_STORE) == default_store  # the session keeps its own settings
