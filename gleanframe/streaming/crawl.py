@@ -106,14 +106,15 @@ def start_export(listings: DataFrame, exporter: Exporter, checkpoint: str) -> St
 
 def start_ledger(log: DataFrame, table: LedgerFeed, checkpoint: str) -> StreamingQuery:
     """Keep the failure ledger up to date from a request-log stream; a batch writes what it changes."""
-    return (
-        ledger_entries(log)
-        .writeStream.outputMode("update")
-        .foreachBatch(lambda changes, batch_id: table.add(changes, batch_tag(batch_id)))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with typed_state(log.sparkSession):
+        return (
+            ledger_entries(log)
+            .writeStream.outputMode("update")
+            .foreachBatch(lambda changes, batch_id: table.add(changes, batch_tag(batch_id)))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 class ProgressCounters(StreamingQueryListener):

@@ -228,3 +228,14 @@ def test_the_daily_stop_works_in_any_session(spark, tmp_path, default_store):
         assert crawl.start_export(daily, exporter, ckpt).awaitTermination(120)
     assert exported(out)(spark) == ["a", "b"]
     assert spark.conf.get(STATE_STORE) == default_store  # the session keeps its own settings
+
+
+def test_the_ledger_stream_works_in_any_session(spark, tmp_path, default_store):
+    rows = request_rows(3)[:60]
+    put(request_log(spark, rows), str(tmp_path / "log"))
+    table = sinks.LedgerFeed(spark, str(tmp_path / "ledger"))
+    stream = spark.readStream.schema(REQUEST_LOG).parquet(str(tmp_path / "log"))
+    assert crawl.start_ledger(stream, table, str(tmp_path / "ckpt")).awaitTermination(120)
+    want = {(r.url, r.error, r.attempts) for r in ledger.failure_ledger(request_log(spark, rows)).collect()}
+    assert want and {(r.url, r.error, r.attempts) for r in table.read().collect()} == want
+    assert spark.conf.get(STATE_STORE) == default_store
