@@ -13,6 +13,8 @@
    components: nodes hold OR-combined bitmaps and size ranges, and two nodes are only looked
    into if their largest possible overlap can reach the threshold and they are not in one
    component already. Meetings of many members are split into blocks, and each two blocks meet.
+   Two texts that share many tokens are a pair in the first meeting only, told from the tokens
+   of earlier meetings that their rows list.
 5. Pairs are verified on the whole sets.
 """
 
@@ -46,6 +48,8 @@ BLOCK = 4000
 LEAF = 8
 #: Meetings of up to so many members are compared as leaves, many meetings at once.
 SMALL = 32
+#: Tokens of earlier meetings that a member lists; two that have only later ones in common may pair again.
+EARLIER = 64
 #: Rounds of leaders end when fewer than one in so many compared pairs links.
 FAIR = 10
 #: Rows that a task describes at a time.
@@ -223,10 +227,18 @@ def meetings(described: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def mixed(met: DataFrame, known: DataFrame) -> DataFrame:
-    """The members, with what is ``known`` of them, of meetings that hold more than one component."""
+    """The members, with what is ``known`` of them, of meetings that hold more than one component.
+
+    ``before`` has the smallest tokens of a member's other such meetings, as far as they are
+    smaller than the token itself; a member has no more tokens than its prefix.
+    """
     named = met.join(known.select("rep", "label"), "rep")
     several = named.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("token")
-    return named.join(several, "token", "left_semi").drop("label").join(known, "rep")
+    own = named.join(several, "token", "left_semi").groupBy("rep")
+    own = own.agg(F.sort_array(F.collect_list(F.struct("token", "members"))).alias("own")).join(known, "rep")
+    rows = own.select("rep", "n", "bits", "label", F.col("own.token").alias("tokens"), F.posexplode("own").alias("at", "here"))
+    before = F.slice("tokens", F.lit(1), F.least("at", F.lit(EARLIER)))
+    return rows.select("here.token", "rep", "here.members", "n", "bits", "label", before.alias("before"))
 
 
 def leader_pairs(met: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
@@ -264,7 +276,7 @@ def leader_links(met: DataFrame, facts: DataFrame, sets: Sets, percent: int) ->
 
 
 def tree_pairs(rows: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Distinct pairs (a, b) that the trees leave of ``rows`` (token, rep, members, n, bits, label).
+    """Distinct pairs (a, b) that the trees leave of ``rows`` (token, rep, members, n, bits, label, before).
 
     Texts meet by token, by bitmap size and, where many meet, by pairs of blocks. A text whose
     size is just above a bitmap size also meets those just below.
@@ -278,7 +290,7 @@ def tree_pairs(rows: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     keys = ["level", "token", "low", "high"]
     placed = placed.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = placed.select(*keys, "own", "rep", "n", "label", "bits").repartition(parts, *keys).sortWithinPartitions(*keys)
+    sorted_rows = placed.select(*keys, "own", "rep", "n", "label", "bits", "before").repartition(parts, *keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -327,7 +339,7 @@ def tree_pairs(rows: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
             starts = cuts[:-1][small & (sizes == size)]
             x, y = (starts[:, None] + i).ravel(), (starts[:, None] + j).ravel()
             keep = may_link(nodes, nodes, x, y, percent)
-            found.append((rep[x[keep]], rep[y[keep]]))
+            found.append((x[keep], y[keep]))
         for start, size in zip(cuts[:-1][~small].tolist(), sizes[~small].tolist(), strict=True):
             at = np.arange(start, start + size)
             left, right = at[own[at] == low[start]], at[own[at] == high[start]]
@@ -335,15 +347,28 @@ def tree_pairs(rows: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
                 one = SignatureTree(nodes[0][left], nodes[2][left], nodes[4][left])
                 two = one if low[start] == high[start] else SignatureTree(nodes[0][right], nodes[2][right], nodes[4][right])
                 x, y = dual_traversal(one, two, percent)
-                found.append((rep[left[x]], rep[right[y]]))
+                found.append((left[x], right[y]))
         if not found:
             return np.zeros((0, 2), np.int64)
-        a, b = (np.concatenate(side) for side in zip(*found, strict=True))
+        x, y = (np.concatenate(side) for side in zip(*found, strict=True))
+        keep = first_met(table["before"].combine_chunks(), x, y)
+        a, b = rep[x[keep]], rep[y[keep]]
         return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
 
     return sorted_rows.mapInArrow(run, "a long, b long").distinct()
 
 
+def first_met(before: pa.ListArray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which pairs of rows have no token of an earlier meeting in common; where they have, that meeting gave the pair."""
+    offsets, tokens = before.offsets.to_numpy(), before.values.to_numpy()
+    listed = {i: frozenset(tokens[offsets[i] : offsets[i + 1]].tolist()) for i in np.union1d(x, y).tolist()}
+    out = np.zeros(len(x), bool)
+    for at in range(0, len(x), 100_000):
+        part = slice(at, at + 100_000)
+        out[part] = [listed[i].isdisjoint(listed[j]) for i, j in zip(x[part].tolist(), y[part].tolist(), strict=True)]
+    return out
+
+
 def bitmaps_allow(percent: int):
     """Whether two texts may link by their sizes and bitmaps, as a column function."""
 
