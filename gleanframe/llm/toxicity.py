@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -117,11 +118,11 @@ class ToxicityModel:
         """0 to 1; a null text scores as an empty one."""
         weights = self.weights.astype(np.float64)
 
-        @F.pandas_udf("double")
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("double")
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for texts in batches:
-                margins = np.array([weights[features(t)].sum() + weights[-1] for t in texts], float)
-                yield pd.Series(1 / (1 + np.exp(-np.clip(margins, -50, 50))))
+                margins = np.array([weights[features(t.as_py())].sum() + weights[-1] for t in texts], float)
+                yield pa.array(1 / (1 + np.exp(-np.clip(margins, -50, 50))))
 
         return run(text)
 
@@ -156,7 +157,11 @@ def fit(
         picks = both if picks is None else picks.unionByName(both)
     # at most models * (max_positive + max_unlabelled) ids
     picks = stored(picks, "toxicity-sample")
-    hashed = F.pandas_udf(lambda texts: texts.map(lambda t: features(t).tolist()), "array<int>")
+
+    @F.arrow_udf("array<int>")
+    def hashed(texts: pa.Array) -> pa.Array:
+        return pa.array([features(t.as_py()).astype(np.int32) for t in texts], pa.list_(pa.int32()))
+
     texts = docs.select("doc_id", "text").join(F.broadcast(picks.select("doc_id").distinct()), "doc_id", "left_semi")
     # one text of an id, however many rows it stands in
     texts = texts.groupBy("doc_id").agg(F.max("text").alias("text"))

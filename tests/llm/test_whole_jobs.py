@@ -5,7 +5,10 @@ from collections import Counter
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+
 from gleanframe.llm import jaccard, licenses, lines, packing, pii
 from gleanframe.llm.base import stored
 
@@ -270,3 +273,32 @@ def test_stages_take_empty_tables_and_columns_of_any_name(spark, n, tmp_path):
         assert kept == {(1, words, "x", 1): copies, (2, None, "x", 1): 1, (None, "", "x", 1): 1}
     else:
         assert sorted((r["doc_id"] or 0) for r in got.collect() if r["piece"] == 0) == [0, 1, 1, 2]
+
+
+def test_texts_that_share_many_tokens_are_a_pair_once(spark, monkeypatch):
+    draw = random.Random(9)
+    texts = []
+    for k in range(40):  # alike, but too little to link; each pair shares tokens that others do not
+        words = [f"w{i}" for i in range(300)]
+        for i in draw.sample(range(300), 4):
+            words[i] = f"x{k}-{i}"
+        texts.append((k, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = stored(jaccard.describe(docs, "doc_id", "text", 80), "rows")
+    met = jaccard.meetings(rows, rows.select("rid", F.col("rid").alias("rep")))
+    known = rows.select(F.col("rid").alias("rep"), "n", "bits", F.col("rid").alias("label"))
+    members = jaccard.mixed(met, known)
+    distinct = jaccard.tree_pairs(members, 80).count()
+    monkeypatch.setattr(type(docs), "distinct", lambda df: df)
+    assert members.select("token").dropDuplicates().count() > 20 and distinct > 100
+    assert jaccard.tree_pairs(members, 80).count() <= 1.1 * distinct
+
+
+def test_masking_holds_a_bounded_number_of_texts(monkeypatch):
+    held = []
+    monkeypatch.setattr(pii, "find_spans", lambda weights, texts: held.append(len(texts)) or [([], [(2, 3, 4)] if t else []) for t in texts])
+    texts = ["a +1 b", None, ""] * 1500
+    got = pii.masked({}, pa.array(texts).slice(3)).to_pylist()
+    assert got == ["a [PHONE] b" if t else t for t in texts[3:]]
+    assert max(held) <= pii.ROWS and sum(held) == len(got)
+    assert pii.masked({}, pa.array([], pa.string())).to_pylist() == []
