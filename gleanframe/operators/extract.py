@@ -108,7 +108,7 @@ def read_page(html: Column | str, rules: PageRules) -> Column:
     def reader(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pages = PageReader(rules)
         for batch in batches:
-            yield pa.array([pages.read(html.as_py()) for html in batch], type=arrow_type)
+            yield pages.read_all(batch, arrow_type)
 
     return reader.asNondeterministic()(html)
 
@@ -129,8 +129,11 @@ def read_page_of_site(html: Column | str, url: Column | str, sites: dict[str, Pa
     def reader(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         readers = {domain: PageReader(own) for domain, own in sites.items()}
         for htmls, domains in batches:
-            pairs = zip(htmls, domains.to_pylist())
-            yield pa.array([d and readers[d].read(html.as_py()) for html, d in pairs], type=arrow_type)
+            done = [pa.array([], arrow_type)]
+            for at in range(0, len(htmls), markup.PAGES_AT_ONCE):
+                some = [part.slice(at, markup.PAGES_AT_ONCE).to_pylist() for part in (htmls, domains)]
+                done.append(pa.array([d and readers[d].read(html) for html, d in zip(*some)], arrow_type))
+            yield pa.concat_arrays(done)
 
     return reader.asNondeterministic()(html, site)
 

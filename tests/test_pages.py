@@ -1,10 +1,11 @@
 """Extraction, cleaning, validation and link graph on small fixtures."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from gleanframe.functions.url import canonical_url
-from gleanframe.operators import links, quality
+from gleanframe.operators import links, markup, quality
 from gleanframe.operators.extract import LISTING_RULES, export_rows, normalize_listing, raw_listing, read_page
 from gleanframe.operators.markup import PageReader, PageRules, Pick
 from gleanframe.plans import jobs
@@ -218,3 +219,36 @@ def test_funnel(spark):
     edges = spark.createDataFrame([("x",), ("x",), ("y",), ("z",)], "detail_url string")
     known = spark.createDataFrame([("y",), ("y",), ("q",)], "detail_url string")
     assert tuple(links.crawl_funnel(edges, known).first()) == (4, 3, 1, 2)
+
+
+def test_pages_are_read_a_few_at_a_time(monkeypatch):
+    kind = pa.struct([("title", pa.string()), ("read_error", pa.string())])
+    reader = markup.PageReader(PageRules({"title": Pick("h1")}))
+
+    class Page(dict):
+        alive = most = 0
+
+        def __init__(self, *args):
+            super().__init__(*args)
+            Page.alive += 1
+            Page.most = max(Page.most, Page.alive)
+
+        def __del__(self):
+            Page.alive -= 1
+
+    read = reader.read
+    monkeypatch.setattr(reader, "read", lambda html: Page(read(html)))
+    pages = [None, "<h1 class='a'>one</h1>", "<h1 class='a'>two"] * 500
+    got = reader.read_all(pa.array(pages).slice(1), kind).to_pylist()
+    assert [p["title"] for p in got] == ([None, "one", "two"] * 500)[1:]
+    assert Page.most <= 2 * markup.PAGES_AT_ONCE
+    assert len(reader.read_all(pa.array([], pa.string()), kind)) == 0
+
+
+def test_parsed_attributes_are_kept_within_bounds():
+    reader = markup.PageReader(PageRules({"link": Pick("a.x", attr="href")}))
+    for n in range(3 * markup.KEPT_ATTRS):
+        assert reader.read(f"<a class='x' href='/{n}'>")["link"] == f"/{n}"
+        assert len(reader._parsed) <= markup.KEPT_ATTRS
+    reader.read(f"<a class='{'y' * markup.KEPT_LENGTH}'>")
+    assert max(map(len, reader._parsed)) <= markup.KEPT_LENGTH
